@@ -13,6 +13,12 @@ def not_null(table: DataFrame, column: str) -> DataFrame:
     return table.where(F.col(column).isNull())
 
 
+def null_failures(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Failing rows of several not-null checks in one scan, once per failing check, named by ``column_name``."""
+    failing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
+    return table.select("*", F.explode(failing).alias("column_name"))
+
+
 def null_counts(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, failures`` for several not-null checks in one scan."""
     counts = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -56,3 +56,16 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
+    """A session for tests and measurements on one machine."""
+    return (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName("clickloom")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
