@@ -1,28 +1,21 @@
-"""Upsert by key within the days that a delta touches."""
+"""Upsert by key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.schemas import DAY
-
 
 class DuplicateMergeKey(ValueError):
     """Several delta rows would replace the same target row."""
 
 
-def merged_days(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
-    """All rows of the days of ``delta`` after the upsert: matched rows replaced, other delta rows added.
+def upsert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """All rows after the upsert: target rows whose key the delta has are replaced, its other rows are added.
 
-    Both sides are read several times, so pass stored tables. Rows with the same key must have the same day. The day
-    range is a literal filter, which prunes the target's partitions.
+    Both sides are read several times, so pass stored tables.
     """
-    first, last = delta.agg(F.min(DAY), F.max(DAY)).first()
-    if first is None:
-        return delta
-    touched = target.where(F.col(DAY).between(F.lit(first), F.lit(last)))
     repeated = delta.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.join(touched, key, "left_semi").isEmpty():
+    if not repeated.join(target.select(key), key, "left_semi").isEmpty():
         raise DuplicateMergeKey(f"several delta rows match one target row on {key}")
-    return touched.join(delta.select(key), key, "left_anti").unionByName(delta)
+    return target.join(delta.select(key), key, "left_anti").unionByName(delta)

@@ -264,9 +264,11 @@ ORACLE: dict[str, str] = {
     "fct_events_incremental": sql("SELECT * FROM fct", *star(CLICKSTREAM, fact())),
     "fct_events_merge_lookback": sql("SELECT * FROM fct", *star(CLICKSTREAM, *LOOKBACK, fact("stg_merged"))),
     "high_water_mark": sql(
-        "SELECT max(event_time) AS newest_event_at_utc, count(*) FILTER (event_time > newest - INTERVAL 1 DAY)"
-        " AS n_events_of_last_day FROM raw, (SELECT max(event_time) AS newest FROM raw)",
-        ORDER_LINES,
+        "SELECT newest AS newest_event_at_utc, count(*) AS n_events_of_last_day"
+        " FROM raw, (SELECT max(event_at_utc) AS newest FROM stg) WHERE event_time > newest - INTERVAL 1 DAY"
+        " GROUP BY newest",
+        CLICKSTREAM,
+        STG,
     ),
     "raw_append_history": sql(CATEGORY_AS_TEXT + "raw", CLICKSTREAM),
     "ingest_months": sql(
@@ -297,7 +299,7 @@ ORACLE: dict[str, str] = {
         NATURAL_FACT,
     ),
     "dq_suite": sql(suite_sql(known=True), *star(CLICKSTREAM, fact(known=True))),
-    "run_pipeline": sql(suite_sql(known=False), *star(ORDER_LINES, fact())),
+    "run_pipeline": sql(suite_sql(known=False), *star(CLICKSTREAM, fact())),
     "top_products": sql(TOP_PRODUCTS, *star(ORDER_LINES, fact())),
     "purchase_funnel": sql(FUNNEL, *star(CLICKSTREAM, fact())),
     "sales_by_hour": sql(sales("hour_utc"), *star(CLICKSTREAM, fact())),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from clickloom.session import work_folder
 from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Warehouse
 
+EPOCH = datetime(1970, 1, 1)
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
 DIMENSIONS = {
     "dim_datetime": dims.dim_datetime,
@@ -76,6 +78,22 @@ def link_events(warehouse: Warehouse, raw: DataFrame, broadcast_limit: int | Non
     return fact.fct_events_large_dims(staged, missing["product_id"], missing["user_id"], hours)
 
 
+def stored_mark(warehouse: Warehouse) -> int | None:
+    """High-water mark of the stored fact, from one column of its newest day; None if there is no fact row yet."""
+    if warehouse.exists("fct_events"):
+        for day in reversed(warehouse.days("fct_events")):
+            mark = fact.high_water_mark(warehouse.read_days("fct_events", day, day))
+            if mark is not None:
+                return mark
+    return None
+
+
+def events_after(warehouse: Warehouse, mark: int) -> DataFrame:
+    """Raw events strictly after ``mark``; older days of the history are not listed, older row groups not read."""
+    day = (EPOCH + timedelta(microseconds=mark)).date()
+    return fact.newer_than(warehouse.read_days("ecom_events", day), mark)
+
+
 def build_fact(warehouse: Warehouse, lookback_days: int | None = None, full_refresh: bool = False) -> None:
     """Bring ``fct_events`` up to date with the history.
 
@@ -83,19 +101,16 @@ def build_fact(warehouse: Warehouse, lookback_days: int | None = None, full_refr
     an event that arrives late is then never loaded. ``lookback_days`` moves the mark back and merges instead, so late
     or changed events of these days are loaded too. A fact without rows counts as a first run.
     """
-    raw = warehouse.read("ecom_events")
-    mark = None
-    if not full_refresh and warehouse.exists("fct_events"):
-        mark = fact.high_water_mark(warehouse.read("fct_events"))
+    mark = None if full_refresh else stored_mark(warehouse)
     if mark is None:
-        warehouse.overwrite("fct_events", link_events(warehouse, raw))
+        warehouse.overwrite("fct_events", link_events(warehouse, warehouse.read("ecom_events")))
     elif lookback_days:
-        recent = fact.newer_than(raw, mark - lookback_days * DAY_MICROS)
+        recent = events_after(warehouse, mark - lookback_days * DAY_MICROS)
         warehouse.merge("fct_events", link_events(warehouse, recent), "event_sk")
     else:
         # The event time is part of event_sk, so nothing after the mark can match a stored row: a merge would only
         # insert, which an append does without reading the fact.
-        warehouse.append("fct_events", link_events(warehouse, fact.newer_than(raw, mark)))
+        warehouse.append("fct_events", link_events(warehouse, events_after(warehouse, mark)))
 
 
 def transform(warehouse: Warehouse, lookback_days: int | None = None, full_refresh: bool = False) -> None:

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from clickloom import schemas as S
 from clickloom.functions.keys import surrogate_key, timestamp_text
 from clickloom.operators import members, quality
-from clickloom.plans import dims, fact, pipeline, reports, staging
-from clickloom.session import use_utc, work_folder
+from clickloom.plans import dims, pipeline, reports, staging
+from clickloom.session import prepare, work_folder
 from clickloom.sources import monthly_csv, samples
 from clickloom.sources.tables import Warehouse
 from clickloom.streaming.new_files import process_new_files
@@ -64,7 +64,7 @@ def stg_order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Keys over all events with their times at three precisions, and over parts that may be NULL."""
-    events = use_utc(spark).read.parquet(f"{folder}/events.parquet")
+    events = prepare(spark).read.parquet(f"{folder}/events.parquet")
     ts = F.col("ts").cast("timestamp")
 
     def key(*parts: Column) -> Column:
@@ -165,24 +165,27 @@ def fct_events_merge_lookback(spark: SparkSession, folder: str) -> DataFrame:
 def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     """The mark of a stored fact, and how many raw events a run with a look-back of one day would read."""
     warehouse = new_warehouse(spark)
-    raw = samples.order_lines(spark, folder)
-    warehouse.append("ecom_events", raw)
-    pipeline.build_dims(warehouse, raw)
-    pipeline.build_fact(warehouse)
-    mark = fact.high_water_mark(warehouse.read("fct_events"))
-    recent = fact.newer_than(warehouse.read("ecom_events"), mark - pipeline.DAY_MICROS)
+    warehouse.append("ecom_events", samples.clickstream(spark, folder))
+    pipeline.transform(warehouse)
+    mark = pipeline.stored_mark(warehouse)
+    recent = pipeline.events_after(warehouse, mark - pipeline.DAY_MICROS)
     return recent.agg(
         F.timestamp_micros(F.lit(mark)).alias("newest_event_at_utc"), F.count("*").alias("n_events_of_last_day")
     )
 
 
+def export_loads(spark: SparkSession, folder: str, inbox: str) -> None:
+    """Write the first delivery as one month's batch and the repeated one as the next month's."""
+    first, repeated = loads(spark, folder)
+    export_csv(first, f"{inbox}/2024-Jan.csv")
+    export_csv(repeated, f"{inbox}/2024-Feb.csv")
+
+
 def raw_append_history(spark: SparkSession, folder: str) -> DataFrame:
     """Two CSV batches, the second one with events that the first has too, appended one after the other."""
     warehouse = new_warehouse(spark)
     inbox, landing = work_folder(spark, "inbox"), work_folder(spark, "landing")
-    first, repeated = loads(spark, folder)
-    export_csv(first, f"{inbox}/2024-Jan.csv")
-    export_csv(repeated, f"{inbox}/2024-Feb.csv")
+    export_loads(spark, folder, inbox)
     for month in ("2024-01", "2024-02", "2024-03"):
         pipeline.ingest(warehouse, inbox, landing, [month], keep_staging=True)
     return warehouse.read("ecom_events").drop(S.DAY)
@@ -261,10 +264,10 @@ def dq_suite(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV batches of all months to checked tables."""
+    """Two monthly CSV batches, one after the other, to checked tables."""
     inbox, landing = work_folder(spark, "inbox"), work_folder(spark, "landing")
-    export_months(samples.order_lines(spark, folder), inbox)
-    return pipeline.run_pipeline(new_warehouse(spark), inbox, landing)
+    export_loads(spark, folder, inbox)
+    return pipeline.run_pipeline(new_warehouse(spark), inbox, landing, one_by_one=True)
 
 
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,4 +329,4 @@ QUERIES: dict[str, Query] = {
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(QUERIES[name](use_utc(spark), folder))
+    return comparable(QUERIES[name](prepare(spark), folder))

@@ -35,9 +35,16 @@ def cluster_conf(shuffled_bytes: int) -> dict[str, str]:
     }
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All event times are UTC instants; truncation, dates and key texts depend on the session zone."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings that the pipeline relies on in any session.
+
+    All event times are UTC instants, and truncation, dates and key texts depend on the session zone. Folders of
+    day-partitioned tables are listed with one task per core rather than one per day.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(spark.sparkContext.defaultParallelism)
+    )
     return spark
 
 
@@ -66,6 +73,7 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

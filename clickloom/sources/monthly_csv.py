@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.schemas import MONTH_LABELS, RAW
-from clickloom.session import use_utc
+from clickloom.session import prepare
 from clickloom.sources import files
 
 #: ``2019-Oct.csv``, also as the last part of a folder name such as ``batch=2019-Oct.csv``.
@@ -73,7 +73,7 @@ def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None
 
     ``quoted_newlines`` None looks first whether records span lines and lets Spark split the files if none does.
     """
-    use_utc(spark)
+    prepare(spark)
     if quoted_newlines is None:
         quoted_newlines = has_quoted_newlines(spark, paths)
     rows = spark.read.schema(RAW).options(**csv_options(quoted_newlines)).csv(list(paths))
@@ -108,5 +108,5 @@ def land(
 
 def read_landed(spark: SparkSession, landing: str, months: Sequence[str]) -> DataFrame:
     """Raw events of landed months."""
-    use_utc(spark)
+    prepare(spark)
     return spark.read.schema(RAW).parquet(*[landed_path(landing, month) for month in months])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.schemas import CATEGORY_TYPE, RAW
-from clickloom.session import use_utc
+from clickloom.session import prepare
 
 
 def clickstream_loads(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,7 +14,7 @@ def clickstream_loads(spark: SparkSession, folder: str) -> DataFrame:
 
     Every event is in; the modulo rules only blank out single fields and deliver some rows twice.
     """
-    use_utc(spark)
+    prepare(spark)
     events = spark.read.parquet(f"{folder}/events.parquet")
     part = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_size", "p_type", "p_brand")
     seq = F.col("event_id")
@@ -63,7 +63,7 @@ def clickstream(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Clean events over many months: every ``lineitem`` as an event of the customer that ordered it."""
-    use_utc(spark)
+    prepare(spark)
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice", "l_shipdate"
     )

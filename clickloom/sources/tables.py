@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import schemas as S
-from clickloom.operators.merge import merged_days
-from clickloom.session import use_utc, work_folder
+from clickloom.operators.merge import upsert
+from clickloom.session import prepare, work_folder
 from clickloom.sources import files
 
 
+#: Folder value of the rows without a day.
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Schema of a table; for a day-partitioned one also the timestamp that gives the day and the sort inside files."""
@@ -41,7 +46,7 @@ class Warehouse:
     """The pipeline's tables. Schemas are declared, never inferred, so reading costs no footer scan."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = use_utc(spark)
+        self.spark = prepare(spark)
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
@@ -53,6 +58,19 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].stored).parquet(self.path(name))
 
+    def days(self, name: str) -> list[date]:
+        """Days of a day-partitioned table in order, from its folder names alone."""
+        prefix = f"{S.DAY}="
+        entries = files.names(self.spark, self.path(name))
+        days = [entry.removeprefix(prefix) for entry in entries if entry.startswith(prefix)]
+        return sorted(date.fromisoformat(day) for day in days if day != NULL_DAY)
+
+    def read_days(self, name: str, first: date, last: date = date.max) -> DataFrame:
+        """The rows of some days; the folders of all other days are not even listed."""
+        folders = [f"{self.path(name)}/{S.DAY}={day}" for day in self.days(name) if first <= day <= last]
+        reader = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name))
+        return reader.parquet(*folders) if folders else self.spark.createDataFrame([], TABLES[name].stored)
+
     def stored_bytes(self, name: str) -> int:
         return files.stored_bytes(self.spark, self.path(name))
 
@@ -75,12 +93,13 @@ class Warehouse:
         The delta is stored first, as the merge reads it several times. Each day is replaced when the job commits; the
         commit of several days is not one atomic step, so after a crash there repeat the run with a look-back.
         """
-        layout = TABLES[name]
         held = work_folder(self.spark, f"{name}-delta")
         self._with_day(name, delta).write.parquet(held)
-        stored = self.spark.read.schema(layout.stored).parquet(held)
-        merged = merged_days(self.read(name), stored, key)
-        self._write(name, merged, "overwrite", overwrite_days="dynamic")
+        stored = self.spark.read.schema(TABLES[name].stored).parquet(held)
+        first, last = stored.agg(F.min(S.DAY), F.max(S.DAY)).first()
+        if first is not None:
+            merged = upsert(self.read_days(name, first, last), stored, key)
+            self._write(name, merged, "overwrite", overwrite_days="dynamic")
 
     def register(self, *names: str) -> None:
         """Make tables queryable by name in SQL."""
