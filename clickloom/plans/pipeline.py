@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.operators.dedup import latest_times
 from clickloom.operators.members import missing_keys
 from clickloom.plans import dims, fact, staging, suite
 from clickloom.session import work_folder
@@ -15,11 +16,7 @@ from clickloom.sources.tables import Warehouse
 
 EPOCH = datetime(1970, 1, 1)
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
-DIMENSIONS = {
-    "dim_datetime": dims.dim_datetime,
-    "dim_products": dims.dim_products,
-    "dim_users": dims.dim_users,
-}
+DIMENSIONS = ("dim_datetime", "dim_products", "dim_users")
 
 
 def ingest(
@@ -45,18 +42,38 @@ def ingest(
     return landed
 
 
-def build_dims(warehouse: Warehouse, raw: DataFrame) -> None:
-    """Rebuild the dimension tables from all raw events."""
-    events = staging.clean(raw)
-    for name, build in DIMENSIONS.items():
-        warehouse.overwrite(name, build(events))
-
-
 def session_broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast threshold in bytes."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
+def hold(spark: SparkSession, label: str, rows: DataFrame) -> tuple[DataFrame, int]:
+    """Write an intermediate result to the shared folder; returns it as read back, and its size in bytes."""
+    path = work_folder(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), files.stored_bytes(spark, path)
+
+
+def latest_candidates(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The events that may be a product's latest: those at its greatest time.
+
+    One cheap scan finds these times. If they are few enough to broadcast, the costly ranking by key then sees little
+    more than one event per product; otherwise all events stay in, and the ranking sorts them.
+    """
+    times, size = hold(spark, "latest-times", latest_times(events, "product_id", "event_time"))
+    if size > session_broadcast_limit(spark):
+        return events
+    return events.join(times, ["product_id", "event_time"], "left_semi")
+
+
+def build_dims(warehouse: Warehouse, raw: DataFrame) -> None:
+    """Rebuild the dimension tables from all raw events."""
+    events = staging.clean(raw)
+    warehouse.overwrite("dim_datetime", dims.dim_datetime(events))
+    warehouse.overwrite("dim_products", dims.dim_products(latest_candidates(warehouse.spark, events)))
+    warehouse.overwrite("dim_users", dims.dim_users(events))
+
+
 def link_events(warehouse: Warehouse, raw: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
     """Fact rows of the raw events, linked to the stored dimensions.
 
@@ -72,9 +89,7 @@ def link_events(warehouse: Warehouse, raw: DataFrame, broadcast_limit: int | Non
     events = staging.clean(raw)
     missing = {}
     for key, dim in (("product_id", products), ("user_id", users)):
-        held = work_folder(spark, f"missing-{key}")
-        missing_keys(events, dim, key).write.parquet(held)
-        missing[key] = spark.read.schema(f"{key} bigint").parquet(held)
+        missing[key], _ = hold(spark, f"missing-{key}", missing_keys(events, dim, key))
     return fact.fct_events_large_dims(staged, missing["product_id"], missing["user_id"], hours)
 
 

@@ -18,9 +18,8 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def deduplicate(events: DataFrame) -> DataFrame:
-    """One row per raw event key. The time leads the grouping, so a filter on it moves below the shuffle."""
-    keys = ["event_time", *[name for name in S.EVENT_KEY if name != "event_time"]]
-    return smallest_per_key(events, keys, S.SURVIVOR_ORDER)
+    """One row per raw event key. The time is part of the key, so a filter on it moves below the shuffle."""
+    return smallest_per_key(events, S.EVENT_KEY, S.SURVIVOR_ORDER)
 
 
 def event_key() -> Column:

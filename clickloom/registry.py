@@ -110,12 +110,12 @@ def fct_order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def known_members(spark: SparkSession, raw: DataFrame) -> Warehouse:
     """A warehouse whose dimensions hold some of the members only."""
-    warehouse = new_warehouse(spark)
-    events = staging.clean(raw)
-    known = {"dim_products": KNOWN_PRODUCT, "dim_users": KNOWN_USER, "dim_datetime": KNOWN_HOUR}
-    for name, build in pipeline.DIMENSIONS.items():
-        warehouse.overwrite(name, build(events).where(known[name]))
-    return warehouse
+    full, part = new_warehouse(spark), new_warehouse(spark)
+    pipeline.build_dims(full, raw)
+    part.overwrite("dim_products", full.read("dim_products").where(KNOWN_PRODUCT))
+    part.overwrite("dim_users", full.read("dim_users").where(KNOWN_USER))
+    part.overwrite("dim_datetime", full.read("dim_datetime").where(KNOWN_HOUR))
+    return part
 
 
 def fct_events_unknown_member(spark: SparkSession, folder: str) -> DataFrame:
