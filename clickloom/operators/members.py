@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from clickloom.schemas import UNKNOWN_MEMBER
 
 
-def attach_member(events: DataFrame, dim: DataFrame, event_key: Column, dim_key: str, sk: str) -> DataFrame:
-    """Left join that adds the dimension's ``sk``, or the unknown member where the dimension has no such row.
+def attach_member(events: DataFrame, dim: DataFrame, key: str, sk: str) -> DataFrame:
+    """Left join on ``key`` that adds the dimension's ``sk``, or the unknown member where it has no such row.
 
     No join hint: Catalyst broadcasts the dimension if its measured size is below the session's threshold, else
     sorts and merges, where adaptive execution splits the partitions of hot keys.
     """
-    members = dim.select(F.col(dim_key).alias("_member_key"), F.col(sk).alias("_member_sk"))
-    joined = events.join(members, event_key == F.col("_member_key"), "left")
+    members = dim.select(F.col(key).alias("_member_key"), F.col(sk).alias("_member_sk"))
+    joined = events.join(members, F.col(key) == F.col("_member_key"), "left")
     found = F.coalesce(F.col("_member_sk"), F.lit(UNKNOWN_MEMBER))
     return joined.withColumn(sk, found).drop("_member_key", "_member_sk")
 

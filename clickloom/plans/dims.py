@@ -23,6 +23,10 @@ def user_sk() -> Column:
     return surrogate_key(F.col("user_id"))
 
 
+def datetime_sk() -> Column:
+    return surrogate_key(timestamp_text(F.col("datetime_hour_utc")))
+
+
 def dim_datetime(events: DataFrame) -> DataFrame:
     """One row per hour with at least one event."""
     hour = F.col("datetime_hour_utc")
@@ -32,7 +36,7 @@ def dim_datetime(events: DataFrame) -> DataFrame:
         hours.withColumn("date_utc", F.to_date(hour))
         .select(
             hour,
-            surrogate_key(timestamp_text(hour)).alias("datetime_sk"),
+            datetime_sk().alias("datetime_sk"),
             day,
             F.year(day).alias("year_utc"),
             F.month(day).alias("month_utc"),

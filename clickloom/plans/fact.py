@@ -2,39 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom import schemas as S
-from clickloom.operators import members
+from clickloom.operators.members import attach_member
 from clickloom.plans import dims
 
 
-def fct_events(staged: DataFrame, dim_products: DataFrame, dim_users: DataFrame, dim_datetime: DataFrame) -> DataFrame:
-    """One row per staged event with the keys of its product, user and hour."""
-    events = members.attach_member(staged, dim_products, F.col("product_id"), "product_id", "product_sk")
-    events = members.attach_member(events, dim_users, F.col("user_id"), "user_id", "user_sk")
-    return with_hours(events, dim_datetime)
+@dataclass(frozen=True)
+class Link:
+    """How events find their row of a dimension: the shared key, the surrogate key, and the latter's formula."""
+
+    key: str
+    sk: str
+    formula: Callable[[], Column]
+
 
+LINKS = {
+    "dim_products": Link("product_id", "product_sk", dims.product_sk),
+    "dim_users": Link("user_id", "user_sk", dims.user_sk),
+    "dim_datetime": Link("datetime_hour_utc", "datetime_sk", dims.datetime_sk),
+}
 
-def fct_events_large_dims(
-    staged: DataFrame, missing_products: DataFrame, missing_users: DataFrame, dim_datetime: DataFrame
-) -> DataFrame:
-    """Same rows as :func:`fct_events`, from the keys that the dimensions lack instead of those they have.
 
-    For product and user dimensions above the broadcast threshold: their keys are hashes of the natural keys, so only
-    the (normally empty) sets of missing keys need a join with the events.
-    """
-    events = members.derive_member(staged, missing_products, "product_id", "product_sk", dims.product_sk())
-    events = members.derive_member(events, missing_users, "user_id", "user_sk", dims.user_sk())
-    return with_hours(events, dim_datetime)
+def with_hour(events: DataFrame, time: str) -> DataFrame:
+    """Adds the key of the datetime dimension."""
+    return events.withColumn("datetime_hour_utc", F.date_trunc("HOUR", time))
 
 
-def with_hours(events: DataFrame, dim_datetime: DataFrame) -> DataFrame:
-    hour = F.date_trunc("HOUR", "event_at_utc")
-    return members.attach_member(events, dim_datetime, hour, "datetime_hour_utc", "datetime_sk").select(
-        *S.FCT_EVENTS.names
-    )
+def fact_columns(linked: DataFrame) -> DataFrame:
+    """The fact's columns, without the surrogate keys of dimensions that were not linked."""
+    return linked.select(*[name for name in S.FCT_EVENTS.names if name in linked.columns])
+
+
+def fct_events(staged: DataFrame, dim_products: DataFrame, dim_users: DataFrame, dim_datetime: DataFrame) -> DataFrame:
+    """One row per staged event with the keys of its product, user and hour."""
+    events = with_hour(staged, "event_at_utc")
+    found = {"dim_products": dim_products, "dim_users": dim_users, "dim_datetime": dim_datetime}
+    for name, dim in found.items():
+        events = attach_member(events, dim, LINKS[name].key, LINKS[name].sk)
+    return fact_columns(events)
 
 
 def high_water_mark(fact: DataFrame) -> int | None:

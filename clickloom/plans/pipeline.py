@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.operators import members
 from clickloom.operators.dedup import latest_times
-from clickloom.operators.members import missing_keys
 from clickloom.plans import dims, fact, staging, suite
 from clickloom.session import work_folder
 from clickloom.sources import files, monthly_csv
@@ -66,31 +67,44 @@ def latest_candidates(spark: SparkSession, events: DataFrame) -> DataFrame:
     return events.join(times, ["product_id", "event_time"], "left_semi")
 
 
-def build_dims(warehouse: Warehouse, raw: DataFrame) -> None:
-    """Rebuild the dimension tables from all raw events."""
+def build_dims(warehouse: Warehouse, raw: DataFrame, names: Sequence[str] = DIMENSIONS) -> None:
+    """Rebuild dimension tables from all raw events.
+
+    They do not depend on each other, so their jobs run side by side and fill each other's idle executors.
+    """
     events = staging.clean(raw)
-    warehouse.overwrite("dim_datetime", dims.dim_datetime(events))
-    warehouse.overwrite("dim_products", dims.dim_products(latest_candidates(warehouse.spark, events)))
-    warehouse.overwrite("dim_users", dims.dim_users(events))
 
+    def build(name: str) -> None:
+        rows = latest_candidates(warehouse.spark, events) if name == "dim_products" else events
+        warehouse.overwrite(name, getattr(dims, name)(rows))
 
-def link_events(warehouse: Warehouse, raw: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
-    """Fact rows of the raw events, linked to the stored dimensions.
+    with ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(build, names))
 
-    Each dimension's stored size decides how: small ones are joined (Catalyst broadcasts them, knowing the size); if
-    products or users are too large for that, only the keys they lack are joined.
+
+def link_events(
+    warehouse: Warehouse,
+    raw: DataFrame,
+    names: Sequence[str] = DIMENSIONS,
+    broadcast_limit: int | None = None,
+) -> DataFrame:
+    """Fact rows of the raw events, linked to the named stored dimensions (all for the fact itself).
+
+    A dimension's stored size decides how. A small one is joined; Catalyst broadcasts it, knowing the size. For a
+    large one only the keys it lacks are looked for, without the de-duplication, and joined.
     """
     spark = warehouse.spark
-    staged = staging.stg_ecom_events(raw)
-    products, users, hours = (warehouse.read(n) for n in ("dim_products", "dim_users", "dim_datetime"))
     limit = session_broadcast_limit(spark) if broadcast_limit is None else broadcast_limit
-    if max(warehouse.stored_bytes("dim_products"), warehouse.stored_bytes("dim_users")) <= limit:
-        return fact.fct_events(staged, products, users, hours)
-    events = staging.clean(raw)
-    missing = {}
-    for key, dim in (("product_id", products), ("user_id", users)):
-        missing[key], _ = hold(spark, f"missing-{key}", missing_keys(events, dim, key))
-    return fact.fct_events_large_dims(staged, missing["product_id"], missing["user_id"], hours)
+    keys = fact.with_hour(staging.clean(raw), "event_time")
+    linked = fact.with_hour(staging.stg_ecom_events(raw), "event_at_utc")
+    for name in names:
+        link, dim = fact.LINKS[name], warehouse.read(name)
+        if warehouse.stored_bytes(name) <= limit:
+            linked = members.attach_member(linked, dim, link.key, link.sk)
+        else:
+            missing, _ = hold(spark, f"missing-{link.key}", members.missing_keys(keys, dim, link.key))
+            linked = members.derive_member(linked, missing, link.key, link.sk, link.formula())
+    return fact.fact_columns(linked)
 
 
 def stored_mark(warehouse: Warehouse) -> int | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +42,13 @@ def new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, work_folder(spark, "warehouse"))
 
 
-def star(spark: SparkSession, raw: DataFrame) -> tuple[Warehouse, DataFrame]:
-    """A warehouse with the stored dimensions of ``raw``, and its fact rows."""
+def star(
+    spark: SparkSession, raw: DataFrame, names: Sequence[str] = pipeline.DIMENSIONS
+) -> tuple[Warehouse, DataFrame]:
+    """A warehouse with the named dimensions of ``raw``, and the fact rows linked to them."""
     warehouse = new_warehouse(spark)
-    pipeline.build_dims(warehouse, raw)
-    return warehouse, pipeline.link_events(warehouse, raw)
+    pipeline.build_dims(warehouse, raw, names)
+    return warehouse, pipeline.link_events(warehouse, raw, names)
 
 
 def export_csv(rows: DataFrame, folder: str) -> None:
@@ -108,13 +110,13 @@ def fct_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return star(spark, samples.order_lines(spark, folder))[1]
 
 
-def known_members(spark: SparkSession, raw: DataFrame) -> Warehouse:
+def known_members(spark: SparkSession, raw: DataFrame, names: Sequence[str] = pipeline.DIMENSIONS) -> Warehouse:
     """A warehouse whose dimensions hold some of the members only."""
+    known = {"dim_products": KNOWN_PRODUCT, "dim_users": KNOWN_USER, "dim_datetime": KNOWN_HOUR}
     full, part = new_warehouse(spark), new_warehouse(spark)
-    pipeline.build_dims(full, raw)
-    part.overwrite("dim_products", full.read("dim_products").where(KNOWN_PRODUCT))
-    part.overwrite("dim_users", full.read("dim_users").where(KNOWN_USER))
-    part.overwrite("dim_datetime", full.read("dim_datetime").where(KNOWN_HOUR))
+    pipeline.build_dims(full, raw, names)
+    for name in names:
+        part.overwrite(name, full.read(name).where(known[name]))
     return part
 
 
@@ -239,7 +241,7 @@ def natural_fact(staged: DataFrame) -> DataFrame:
 
 def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
     raw = samples.clickstream(spark, folder)
-    warehouse = known_members(spark, raw)
+    warehouse = known_members(spark, raw, ["dim_products", "dim_users"])
     events = natural_fact(staging.stg_ecom_events(raw))
     users = quality.relationships(events, "user_sk", warehouse.read("dim_users"), "user_sk")
     products = quality.relationships(events, "product_sk", warehouse.read("dim_products"), "product_sk")
@@ -250,7 +252,7 @@ def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
 
 def orphan_events(spark: SparkSession, folder: str) -> DataFrame:
     raw = samples.clickstream(spark, folder)
-    products = known_members(spark, raw).read("dim_products")
+    products = known_members(spark, raw, ["dim_products"]).read("dim_products")
     return members.orphans(natural_fact(staging.stg_ecom_events(raw)), "product_sk", products, "product_sk")
 
 
@@ -271,26 +273,27 @@ def run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse, events = star(spark, samples.order_lines(spark, folder))
+    warehouse, events = star(spark, samples.order_lines(spark, folder), ["dim_products"])
     return reports.top_products(events, warehouse.read("dim_products"))
 
 
 def purchase_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.purchase_funnel(star(spark, samples.clickstream(spark, folder))[1])
+    """The funnel needs no dimension, so the staged events do for the fact."""
+    return reports.purchase_funnel(stg_clickstream(spark, folder))
 
 
 def sales_by_hour(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse, events = star(spark, samples.clickstream(spark, folder))
+    warehouse, events = star(spark, samples.clickstream(spark, folder), ["dim_datetime"])
     return reports.sales_by_hour(events, warehouse.read("dim_datetime"))
 
 
 def sales_by_weekday(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse, events = star(spark, samples.clickstream(spark, folder))
+    warehouse, events = star(spark, samples.clickstream(spark, folder), ["dim_datetime"])
     return reports.sales_by_weekday(events, warehouse.read("dim_datetime"))
 
 
 def sales_by_weekday_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    warehouse, events = star(spark, samples.order_lines(spark, folder))
+    warehouse, events = star(spark, samples.order_lines(spark, folder), ["dim_datetime"])
     return reports.sales_by_weekday(events, warehouse.read("dim_datetime"))
 
 
