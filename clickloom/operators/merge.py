@@ -16,6 +16,6 @@ def upsert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     Both sides are read several times, so pass stored tables.
     """
     repeated = delta.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.join(target.select(key), key, "left_semi").isEmpty():
+    if not repeated.isEmpty() and not repeated.join(target.select(key), key, "left_semi").isEmpty():
         raise DuplicateMergeKey(f"several delta rows match one target row on {key}")
     return target.join(delta.select(key), key, "left_anti").unionByName(delta)

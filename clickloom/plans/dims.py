@@ -54,22 +54,31 @@ def dim_datetime(events: DataFrame) -> DataFrame:
     )
 
 
-def dim_products(events: DataFrame) -> DataFrame:
-    """One row per product with the attributes of its latest event; at equal times the greatest event key wins.
+def product_events(events: DataFrame) -> DataFrame:
+    """What the events say about products, with all that decides which one is the latest."""
+    known = events.where(F.col("product_id").isNotNull())
+    return known.select("product_id", "event_time", staging.event_key().alias("event_sk"), *S.SURVIVOR_ORDER)
+
+
+def latest_per_product(rows: DataFrame) -> DataFrame:
+    """The latest row of each product; at equal times the greatest event key wins, then the survivor order.
 
     "Latest" is taken as the smallest of (minus time, key with its hex digits mirrored, survivor order), so that one
-    ``min`` settles the time, the tie and the copies, folded per task before the shuffle.
+    ``min`` settles the time, the tie and the copies, folded per task before the shuffle. Latest rows of parts of the
+    events may be combined the same way.
     """
-    mirrored = F.translate(staging.event_key(), "0123456789abcdef", "fedcba9876543210")
-    rank = F.struct(
-        (-F.unix_micros("event_time")).alias("age"), mirrored.alias("mirrored"), *[F.col(c) for c in S.SURVIVOR_ORDER]
-    )
-    latest = (
-        events.where(F.col("product_id").isNotNull())
-        .groupBy("product_id")
-        .agg(F.min(rank).alias("latest"))
-        .select("product_id", "latest.category_id", "latest.category_code", "latest.brand")
+    mirrored = F.translate("event_sk", "0123456789abcdef", "fedcba9876543210")
+    rank = F.struct((-F.unix_micros("event_time")).alias("age"), mirrored.alias("mirrored"), *S.SURVIVOR_ORDER)
+    latest = rows.groupBy("product_id").agg(F.min(rank).alias("latest"))
+    return latest.select(
+        "product_id",
+        F.timestamp_micros(-F.col("latest.age")).alias("event_time"),
+        F.translate("latest.mirrored", "0123456789abcdef", "fedcba9876543210").alias("event_sk"),
+        *[F.col(f"latest.{name}") for name in S.SURVIVOR_ORDER],
     )
+
+
+def describe_products(latest: DataFrame) -> DataFrame:
     return latest.select(
         "product_id",
         product_sk().alias("product_sk"),
@@ -79,6 +88,11 @@ def dim_products(events: DataFrame) -> DataFrame:
     )
 
 
+def dim_products(events: DataFrame) -> DataFrame:
+    """One row per product with the attributes of its latest event."""
+    return describe_products(latest_per_product(product_events(events)))
+
+
 def dim_users(events: DataFrame) -> DataFrame:
     """One row per user; each key is hashed once, after the distinct."""
     users = events.select("user_id").where(F.col("user_id").isNotNull()).distinct()

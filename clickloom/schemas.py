@@ -71,6 +71,19 @@ DIM_PRODUCTS = T.StructType(
     ]
 )
 
+#: The latest event of each product, from which its dimension is described and later updated.
+PRODUCT_LATEST = T.StructType(
+    [
+        T.StructField("product_id", T.LongType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("event_sk", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("brand", T.StringType()),
+        T.StructField("category_code", T.StringType()),
+        T.StructField("category_id", CATEGORY_TYPE),
+    ]
+)
+
 DIM_USERS = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

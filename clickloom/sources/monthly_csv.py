@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.schemas import MONTH_LABELS, RAW
 from clickloom.session import prepare
@@ -56,18 +57,31 @@ def has_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> bool:
     return not lines.where(quotes % 2 == 1).isEmpty()
 
 
+#: Stands for a quoted empty text while a file is parsed; an empty field without quotes is NULL.
+EMPTY_TEXT = "\x01empty\x01"
+
+
 def csv_options(quoted_newlines: bool) -> dict[str, str]:
     """A header line, commas, quotes doubled inside quotes. A record that does not fit the schema fails the job."""
     return {
         "header": "true",
         "sep": ",",
         "escape": '"',
+        "emptyValue": EMPTY_TEXT,
         "mode": "FAILFAST",
         "multiLine": str(quoted_newlines).lower(),
         "recursiveFileLookup": "true",
     }
 
 
+def restore_empty(rows: DataFrame) -> DataFrame:
+    """Raw events of a scan with :func:`csv_options`, with quoted empty texts as such."""
+    texts = {f.name for f in RAW.fields if isinstance(f.dataType, T.StringType)}
+    return rows.select(
+        *[F.when(F.col(c) == EMPTY_TEXT, "").otherwise(F.col(c)).alias(c) if c in texts else c for c in rows.columns]
+    )
+
+
 def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None = None) -> DataFrame:
     """Raw events of CSV files with a ``month`` column from the batch name.
 
@@ -78,7 +92,7 @@ def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None
         quoted_newlines = has_quoted_newlines(spark, paths)
     rows = spark.read.schema(RAW).options(**csv_options(quoted_newlines)).csv(list(paths))
     label = F.regexp_extract("_metadata.file_path", BATCH_IN_PATH, 1)
-    return rows.withColumn("month", month_of(label))
+    return restore_empty(rows.withColumn("month", month_of(label)))
 
 
 def landed_path(landing: str, month: str) -> str:

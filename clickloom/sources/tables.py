@@ -38,6 +38,7 @@ TABLES = {
     "dim_datetime": Layout(S.DIM_DATETIME),
     "dim_products": Layout(S.DIM_PRODUCTS),
     "dim_users": Layout(S.DIM_USERS),
+    "product_latest": Layout(S.PRODUCT_LATEST),
     "fct_events": Layout(S.FCT_EVENTS, "event_at_utc", ("product_sk", "user_sk")),
 }
 
@@ -53,7 +54,8 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return files.exists(self.spark, self.path(name))
+        """Whether the table was written and its last overwrite, if any, came to an end."""
+        return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].stored).parquet(self.path(name))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.plans import pipeline
 from clickloom.schemas import RAW
-from clickloom.sources.monthly_csv import csv_options
+from clickloom.sources.monthly_csv import csv_options, restore_empty
 from clickloom.sources.tables import Warehouse
 
 
@@ -17,13 +17,13 @@ def process_new_files(
     quoted_newlines: bool = True,
     max_files: int | None = None,
     lookback_days: int | None = None,
-    transform: bool = True,
 ) -> int:
-    """Append all files not yet seen to the history, then transform it; returns the number of batches run.
+    """Take all files not yet seen into the history and the star schema; returns the number of batches run.
 
-    Stops when no new file is left. A batch that is repeated after a failure is appended again, and staging drops the
-    copies. ``source`` may hold files or folders of part files named ``*.csv``. Set ``quoted_newlines`` to False if no
-    record spans lines, so that large files are split.
+    Stops when no new file is left. A batch is parsed once and kept as parquet for its several uses. If it fails it is
+    run again from its start: its rows may then be in the history twice, which staging undoes, and every other step
+    gives the same result again. ``source`` may hold files or folders of part files. Set ``quoted_newlines`` to False
+    if no record spans lines, so that large files are split.
     """
     options = csv_options(quoted_newlines)
     if max_files:
@@ -32,17 +32,17 @@ def process_new_files(
     stream = warehouse.spark.readStream.schema(RAW).options(**options).csv(source)
     batches = []
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        warehouse.append("ecom_events", batch)
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        added, _ = pipeline.hold(warehouse.spark, "new-files", restore_empty(batch))
+        warehouse.append("ecom_events", added)
+        pipeline.transform(warehouse, lookback_days, added=added)
         batches.append(batch_id)
 
     query = (
-        stream.writeStream.foreachBatch(append)
+        stream.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if batches and transform:
-        pipeline.transform(warehouse, lookback_days)
     return len(batches)

@@ -87,6 +87,27 @@ def test_latest_candidates_do_not_change_the_products(spark, samples_folder, tmp
     assert tables[0] == tables[1]
 
 
+def test_extended_dimensions_equal_rebuilt_ones(spark, samples_folder, tmp_path):
+    """Batches overlap in days, users, products and even events, and later ones hold earlier times."""
+    raw = samples.clickstream(spark, samples_folder)
+    parts = [raw.where(f"day(event_time) % 3 = {n}").withColumn("brand", F.lit(f"b{n}")) for n in (2, 0, 1)]
+    grown = Warehouse(spark, str(tmp_path / "grown"))
+    for part in [*parts, parts[0]]:
+        grown.append("ecom_events", part)
+        pipeline.transform(grown, added=part)
+    built = Warehouse(spark, str(tmp_path / "built"))
+    pipeline.build_dims(built, grown.read("ecom_events"))
+    for name in (*pipeline.DIMENSIONS, "product_latest"):
+        expected = sorted(map(str, built.read(name).collect()))
+        assert sorted(map(str, grown.read(name).collect())) == expected and expected
+
+
+def test_quoted_empty_text_is_not_null(spark, tmp_path):
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD.replace("runail", '""'), GOOD.replace("runail", ""))
+    rows = monthly_csv.scan(spark, [str(tmp_path / "in/2019-Oct.csv")])
+    assert [r.brand for r in rows.collect()] == ["", None]
+
+
 def test_upsert_replaces_and_adds(spark):
     target = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     delta = spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int")
