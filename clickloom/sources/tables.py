@@ -108,6 +108,20 @@ class Warehouse:
         for name in names:
             self.read(name).createOrReplaceTempView(name)
 
+    def publish(self, database: str) -> None:
+        """Declare the tables in the session's catalog, over the same files, with the days that exist now."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}'")
+        for name, layout in TABLES.items():
+            if not self.exists(name):
+                continue
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout.stored.fields)
+            days = f"PARTITIONED BY ({S.DAY})" if layout.day_of else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {days}"
+                f" LOCATION '{self.path(name)}'"
+            )
+            self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}" if days else f"REFRESH TABLE {database}.{name}")
+
     def _with_day(self, name: str, rows: DataFrame) -> DataFrame:
         layout = TABLES[name]
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema.fields]

@@ -161,6 +161,21 @@ def test_tables_and_staging_view_have_names(spark, warehouse, raw_rows):
     assert counts == {"ecom_events": 2, "stg_ecom_events": 1, "fct_events": 1}
 
 
+def test_published_tables_are_in_the_catalog(spark, warehouse, raw_rows):
+    load(warehouse, raw_rows({"event_time": "2020-01-01 00:00:00"}))
+    warehouse.publish("ecom")
+    load(warehouse, raw_rows({"event_time": "2020-01-02 00:00:00"}))
+    warehouse.publish("ecom")
+    assert spark.table("ecom.ecom_events").count() == 2
+    assert [r.partition for r in spark.sql("SHOW PARTITIONS ecom.fct_events").collect()] == [
+        f"{DAY}=2020-01-01",
+        f"{DAY}=2020-01-02",
+    ]
+    joined = spark.sql("SELECT hour_utc, count(*) AS n FROM ecom.fct_events JOIN ecom.dim_datetime USING (datetime_sk)"
+                       " GROUP BY hour_utc")
+    assert [tuple(r) for r in joined.collect()] == [(0, 2)]
+
+
 def test_hot_day_is_split_over_tasks(spark, warehouse, raw_rows, samples_folder):
     """All rows on one day: adaptive execution still writes them with several tasks."""
     raw = samples.order_lines(spark, samples_folder)
