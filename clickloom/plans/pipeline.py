@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +15,9 @@ from clickloom.session import work_folder
 from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Warehouse
 
-EPOCH = datetime(1970, 1, 1)
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
+#: How much of the stored history one fact job takes on.
+SLICE_BYTES = 4 * 1024**4
 DIMENSIONS = ("dim_datetime", "dim_products", "dim_users")
 
 
@@ -151,29 +152,52 @@ def stored_mark(warehouse: Warehouse) -> int | None:
     return None
 
 
+def day_of(micros: int) -> date:
+    return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).date()
+
+
+def events_of(warehouse: Warehouse, days: Sequence[tuple[date, date]]) -> DataFrame:
+    """Raw events of at most one range of days; of no day at all if there is none."""
+    first, last = days[0] if days else (date.max, date.min)
+    return warehouse.read_days("ecom_events", first, last)
+
+
 def events_after(warehouse: Warehouse, mark: int) -> DataFrame:
     """Raw events strictly after ``mark``; older days of the history are not listed, older row groups not read."""
-    day = (EPOCH + timedelta(microseconds=mark)).date()
-    return fact.newer_than(warehouse.read_days("ecom_events", day), mark)
+    return fact.newer_than(warehouse.read_days("ecom_events", day_of(mark)), mark)
 
 
-def build_fact(warehouse: Warehouse, lookback_days: int | None = None, full_refresh: bool = False) -> None:
+def build_fact(
+    warehouse: Warehouse,
+    lookback_days: int | None = None,
+    full_refresh: bool = False,
+    slice_bytes: int = SLICE_BYTES,
+) -> None:
     """Bring ``fct_events`` up to date with the history.
 
     The first run and a full refresh write everything. Later runs add the events strictly after the newest fact row;
     an event that arrives late is then never loaded. ``lookback_days`` moves the mark back and merges instead, so late
     or changed events of these days are loaded too. A fact without rows counts as a first run.
+
+    Copies of an event share its day, so the history is worked off in slices of whole days, oldest first. No shuffle
+    grows beyond a slice, and after a break the next run goes on from the last slice written.
     """
     mark = None if full_refresh else stored_mark(warehouse)
     if mark is None:
-        warehouse.overwrite("fct_events", link_events(warehouse, warehouse.read("ecom_events")))
-    elif lookback_days:
-        recent = events_after(warehouse, mark - lookback_days * DAY_MICROS)
-        warehouse.merge("fct_events", link_events(warehouse, recent), "event_sk")
-    else:
-        # The event time is part of event_sk, so nothing after the mark can match a stored row: a merge would only
-        # insert, which an append does without reading the fact.
-        warehouse.append("fct_events", link_events(warehouse, events_after(warehouse, mark)))
+        slices = warehouse.day_slices("ecom_events", slice_bytes)
+        warehouse.overwrite("fct_events", link_events(warehouse, events_of(warehouse, slices[:1])))
+        for days in slices[1:]:
+            warehouse.append("fct_events", link_events(warehouse, events_of(warehouse, [days])))
+        return
+    since = mark - (lookback_days or 0) * DAY_MICROS
+    for days in warehouse.day_slices("ecom_events", slice_bytes, day_of(since)):
+        events = fact.newer_than(events_of(warehouse, [days]), since)
+        if lookback_days:
+            warehouse.merge("fct_events", link_events(warehouse, events), "event_sk")
+        else:
+            # The event time is part of event_sk, so nothing after the mark can match a stored row: a merge would
+            # only insert, which an append does without reading the fact.
+            warehouse.append("fct_events", link_events(warehouse, events))
 
 
 def transform(
@@ -194,7 +218,8 @@ def transform(
     else:
         build_dims(warehouse, raw)
     build_fact(warehouse, lookback_days, full_refresh)
-    warehouse.register("ecom_events", *DIMENSIONS, "fct_events")
+    warehouse.register(*DIMENSIONS, "fct_events")
+    raw.createOrReplaceTempView("ecom_events")
     staging.stg_ecom_events(raw).createOrReplaceTempView("stg_ecom_events")
 
 

@@ -7,17 +7,24 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SHUFFLE_PARTITION_BYTES = 192 * 1024 * 1024
-MIN_SHUFFLE_PARTITIONS = 200
+MB = 1024 * 1024
+#: Size that a shuffle partition should have, and how many there may be before they are better made larger: every map
+#: task keeps a block for every partition, and sorts and aggregates spill, so larger partitions cost less than more.
+SHUFFLE_PARTITION_BYTES = 192 * MB
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 40_000
 
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
     """Shuffle partitions for a job that moves ``shuffled_bytes``; adaptive execution merges the ones too many."""
-    return max(MIN_SHUFFLE_PARTITIONS, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+    wanted = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
+    return min(max(MIN_SHUFFLE_PARTITIONS, wanted), MAX_SHUFFLE_PARTITIONS)
 
 
 def cluster_conf(shuffled_bytes: int) -> dict[str, str]:
-    """Settings for a large run, e.g. ``cluster_conf(100 * 2**40)`` for a rebuild over 100 TB of events."""
+    """Settings for a large run whose largest shuffle moves ``shuffled_bytes``.
+
+    A fact rebuild shuffles one slice of the history at a time (``pipeline.SLICE_BYTES``), however long the history.
+    """
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -26,6 +33,9 @@ def cluster_conf(shuffled_bytes: int) -> dict[str, str]:
         # Favour full-sized partitions and output files over one partition per core.
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "192m",
+        # With many partitions map tasks report average block sizes; hot days and keys must be reported as they are,
+        # or adaptive execution cuts them into too few pieces.
+        "spark.shuffle.accurateBlockSkewedFactor": "5",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.parquet.compression.codec": "zstd",
         # A lost executor should cost its own tasks only, not the stages before them.

@@ -53,6 +53,9 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def day_path(self, name: str, day: date) -> str:
+        return f"{self.path(name)}/{S.DAY}={day}"
+
     def exists(self, name: str) -> bool:
         """Whether the table was written and its last overwrite, if any, came to an end."""
         return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
@@ -67,9 +70,24 @@ class Warehouse:
         days = [entry.removeprefix(prefix) for entry in entries if entry.startswith(prefix)]
         return sorted(date.fromisoformat(day) for day in days if day != NULL_DAY)
 
+    def day_slices(self, name: str, max_bytes: int, first: date = date.min) -> list[tuple[date, date]]:
+        """The days from ``first`` on as ranges of at most ``max_bytes`` of stored data, or of one day, in order."""
+        ranges: list[tuple[date, date]] = []
+        filled = 0
+        for day in self.days(name):
+            if day < first:
+                continue
+            size = files.stored_bytes(self.spark, self.day_path(name, day))
+            if ranges and filled + size <= max_bytes:
+                ranges[-1], filled = (ranges[-1][0], day), filled + size
+            else:
+                ranges.append((day, day))
+                filled = size
+        return ranges
+
     def read_days(self, name: str, first: date, last: date = date.max) -> DataFrame:
         """The rows of some days; the folders of all other days are not even listed."""
-        folders = [f"{self.path(name)}/{S.DAY}={day}" for day in self.days(name) if first <= day <= last]
+        folders = [self.day_path(name, day) for day in self.days(name) if first <= day <= last]
         reader = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name))
         return reader.parquet(*folders) if folders else self.spark.createDataFrame([], TABLES[name].stored)
 
