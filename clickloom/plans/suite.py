@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickloom import schemas as S
 from clickloom.operators import quality
 
+RESULT = "table_name string, column_name string, check_name string, failures bigint"
 NOT_NULL = {
     "ecom_events": ("event_time", "product_id", "user_id"),
     "dim_datetime": ("datetime_sk", "datetime_hour_utc"),
