@@ -289,14 +289,33 @@ def test_files_without_quoted_newlines_can_be_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_bad_number_fails_the_load(spark, tmp_path, warehouse):
-    csv(tmp_path / "in", "2019-Oct.csv", GOOD, GOOD.replace("5773203", "zz"))
+@pytest.mark.parametrize(
+    "bad",
+    [
+        GOOD.replace("5773203", "zz"),
+        GOOD.replace("2.62", "cheap"),
+        GOOD.replace("2019-10-01", "2019-31-01"),
+        GOOD.replace("1487580005134238553", "1" * 30),
+        GOOD.rsplit(",", 2)[0],
+        GOOD + ",more",
+    ],
+    ids=["number", "price", "time", "wide category", "short row", "long row"],
+)
+def test_bad_record_fails_the_load(spark, tmp_path, warehouse, bad):
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD, bad)
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
         pipeline.ingest(warehouse, str(tmp_path / "in"), str(tmp_path / "landing"))
     assert not files.exists(spark, monthly_csv.landed_path(str(tmp_path / "landing"), "2019-10"))
     assert not warehouse.exists("ecom_events")
 
 
+def test_category_is_rounded_half_away_from_zero(spark, tmp_path):
+    values = {"0.0000000005": "0.000000001", "-0.0000000005": "-0.000000001", "7": "7.000000000"}
+    csv(tmp_path / "in", "2019-Oct.csv", *[GOOD.replace("1487580005134238553", v) for v in values])
+    rows = monthly_csv.scan(spark, [str(tmp_path / "in/2019-Oct.csv")])
+    assert [r[0] for r in rows.selectExpr("CAST(category_id AS string)").collect()] == list(values.values())
+
+
 def test_absent_month_writes_nothing(spark, tmp_path, warehouse):
     csv(tmp_path / "in", "2019-Oct.csv", GOOD)
     assert pipeline.ingest(warehouse, str(tmp_path / "in"), str(tmp_path / "landing"), ["2019-11"]) == []
