@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -65,9 +66,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return one_machine_folder()
+
+
+@cache
+def one_machine_folder() -> str:
+    """Stands in for the shared folder where a single process is the whole cluster, as in tests."""
+    return tempfile.mkdtemp(prefix="clickloom-")
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
