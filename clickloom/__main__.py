@@ -44,7 +44,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
             command.add_argument("--one-by-one", action="store_true", help="one month after the other")
         if name == "stream":
             command.add_argument("--state", required=True, help="folder that remembers the files seen")
-            command.add_argument("--max-files", type=int, help="files per batch")
+            command.add_argument("--max-files", type=int, default=1000, help="files per batch")
         if name in ("run", "stream", "rebuild"):
             command.add_argument("--publish", metavar="DATABASE", help="declare the tables in the catalog")
         if name == "report":

@@ -6,40 +6,50 @@ from pyspark.sql import DataFrame
 
 from clickloom.plans import pipeline
 from clickloom.schemas import RAW
-from clickloom.sources.monthly_csv import csv_options, restore_empty
+from clickloom.sources import monthly_csv
 from clickloom.sources.tables import Warehouse
 
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def process_new_files(
     warehouse: Warehouse,
     source: str,
     checkpoint: str,
-    quoted_newlines: bool = True,
-    max_files: int | None = None,
+    quoted_newlines: bool | None = None,
+    max_files: int = 1000,
     lookback_days: int | None = None,
 ) -> int:
     """Take all files not yet seen into the history and the star schema; returns the number of batches run.
 
-    Stops when no new file is left. A batch is parsed once and kept as parquet for its several uses. If it fails it is
-    run again from its start: its rows may then be in the history twice, which staging undoes, and every other step
-    gives the same result again. ``source`` may hold files or folders of part files. Set ``quoted_newlines`` to False
-    if no record spans lines, so that large files are split.
+    Stops when no new file is left. The stream remembers the files seen and hands over the names of the new ones, at
+    most ``max_files`` at a time; their contents are scanned like any monthly batch, so large files are split where
+    that is safe. A batch is parsed once and kept as parquet for its several uses. If it fails it is run again from
+    its start: its rows may then be in the history twice, which staging undoes, and every other step gives the same
+    result again. ``source`` may hold files or folders of part files.
     """
-    options = csv_options(quoted_newlines)
-    if max_files:
-        options["maxFilesPerTrigger"] = str(max_files)
+    spark = warehouse.spark
     warehouse.create("ecom_events")
-    stream = warehouse.spark.readStream.schema(RAW).options(**options).csv(source)
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", max_files)
+        .load(source)
+        .select("path")
+    )
     batches = []
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        added, _ = pipeline.hold(warehouse.spark, "new-files", restore_empty(batch))
+        paths = [row.path for row in batch.collect()]
+        rows = monthly_csv.scan(spark, paths, quoted_newlines).select(*RAW.names)
+        added, _ = pipeline.hold(spark, "new-files", rows)
         warehouse.append("ecom_events", added)
         pipeline.transform(warehouse, lookback_days, added=added)
         batches.append(batch_id)
 
     query = (
-        stream.writeStream.foreachBatch(take_in)
+        found.writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

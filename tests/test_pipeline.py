@@ -246,7 +246,7 @@ def test_cluster_settings_grow_with_the_data():
 
 def csv(folder, name: str, *lines: str) -> None:
     header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("\n".join([header, *lines]) + "\n")
 
 
@@ -359,10 +359,24 @@ def test_stream_takes_each_file_once(spark, tmp_path, warehouse):
         return process_new_files(warehouse, str(tmp_path / "in"), str(tmp_path / "seen"), max_files=1)
 
     csv(tmp_path / "in", "2019-Oct.csv", GOOD)
-    csv(tmp_path / "in", "2019-Nov.csv", GOOD.replace("2019-10", "2019-11"))
+    csv(tmp_path / "in/2019-Nov.csv", "part-0.csv", GOOD.replace("2019-10", "2019-11").replace("runail", '"a\nb"'))
     assert run() == 2
     assert run() == 0
     csv(tmp_path / "in", "2019-Dec.csv", GOOD.replace("2019-10", "2019-12"))
     assert run() == 1
-    assert warehouse.read("ecom_events").count() == 3
+    assert sorted(r.brand for r in warehouse.read("ecom_events").collect()) == ["a\nb", "runail", "runail"]
     assert len(facts(warehouse)) == 3
+
+
+def test_stream_repeats_a_failed_batch(spark, tmp_path, warehouse, monkeypatch):
+    from clickloom.streaming.new_files import process_new_files
+
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD)
+    arguments = (warehouse, str(tmp_path / "in"), str(tmp_path / "seen"))
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "transform", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            process_new_files(*arguments)
+    assert process_new_files(*arguments) == 1
+    assert warehouse.read("ecom_events").count() == 2
+    assert len(facts(warehouse)) == 1
