@@ -40,7 +40,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
             command.add_argument("--lookback-days", type=int, help="merge late events of so many days")
         if name == "run":
             command.add_argument("--landing", required=True, help="folder of the landed months")
-            command.add_argument("--months", nargs="+", help="YYYY-MM; all that the source has by default")
+            command.add_argument("--months", nargs="+", help="YYYY-MM; by default all that are new")
             command.add_argument("--one-by-one", action="store_true", help="one month after the other")
         if name == "stream":
             command.add_argument("--state", required=True, help="folder that remembers the files seen")

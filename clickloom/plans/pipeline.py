@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom import schemas as S
 from clickloom.operators import members
 from clickloom.operators.dedup import latest_times
 from clickloom.plans import dims, fact, staging, suite
-from clickloom.session import work_folder
+from clickloom.session import side_by_side, work_folder
 from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Warehouse
 
@@ -21,6 +21,15 @@ SLICE_BYTES = 4 * 1024**4
 DIMENSIONS = ("dim_datetime", "dim_products", "dim_users")
 
 
+def new_months(warehouse: Warehouse, source: str) -> list[str]:
+    """Months that ``source`` has and no run has finished, oldest first."""
+    found = list(monthly_csv.find_batches(warehouse.spark, source))
+    if not warehouse.exists("finished_months"):
+        return found
+    known = {row.month for row in warehouse.read("finished_months").distinct().collect()}
+    return [month for month in found if month not in known]
+
+
 def ingest(
     warehouse: Warehouse,
     source: str,
@@ -28,7 +37,7 @@ def ingest(
     months: Sequence[str] | None = None,
     keep_staging: bool = False,
 ) -> list[str]:
-    """Land the months that ``source`` has and append them to the history in one job; returns these months.
+    """Land the given months that ``source`` has (all if None), append them to the history in one job, return them.
 
     No matching file means nothing is written. The append does not look for copies, so ingesting a month again
     doubles its rows; staging removes them. ``keep_staging`` also leaves the batch in ``ecom_staging``.
@@ -68,13 +77,6 @@ def latest_candidates(spark: SparkSession, events: DataFrame) -> DataFrame:
     return events.join(times, ["product_id", "event_time"], "left_semi")
 
 
-def side_by_side(*jobs: Callable[[], None]) -> None:
-    """Run jobs that do not depend on each other, so that they fill each other's idle executors."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        for done in [pool.submit(job) for job in jobs]:
-            done.result()
-
-
 def build_dims(warehouse: Warehouse, raw: DataFrame, names: Sequence[str] = DIMENSIONS) -> None:
     """Rebuild dimension tables from all raw events."""
     events = staging.clean(raw)
@@ -238,13 +240,21 @@ def run_pipeline(
     one_by_one: bool = False,
     lookback_days: int | None = None,
 ) -> DataFrame:
-    """Ingest the months, transform, and return the check results.
+    """Ingest months, transform, and return the check results.
 
-    All months go through one ingest and one transform; ``one_by_one`` runs both for each month, oldest first. Months
-    without a file are left out, and nothing is done if there is none. If a run breaks off, run its months again: the second copy of their events changes nothing downstream.
+    By default these are the months found that no run has finished yet; given months are taken in again. All go
+    through one ingest and one transform; ``one_by_one`` runs both for each month, oldest first. Months without a file
+    are left out, and nothing is done if there is none. A broken run is simply run again: a second copy of its events
+    in the history changes nothing downstream.
     """
-    found = list(monthly_csv.find_batches(warehouse.spark, source, months))
+    spark = warehouse.spark
+    if months is None:
+        found = new_months(warehouse, source)
+    else:
+        found = list(monthly_csv.find_batches(spark, source, months))
     for batch in [[m] for m in found] if one_by_one else [found] if found else []:
         ingest(warehouse, source, landing, batch)
-        transform(warehouse, lookback_days, added=monthly_csv.read_landed(warehouse.spark, landing, batch))
+        transform(warehouse, lookback_days, added=monthly_csv.read_landed(spark, landing, batch))
+        finished = spark.createDataFrame([(month,) for month in batch], S.FINISHED_MONTHS)
+        warehouse.append("finished_months", finished)
     return check(warehouse)

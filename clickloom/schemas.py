@@ -84,6 +84,9 @@ PRODUCT_LATEST = T.StructType(
     ]
 )
 
+#: Months whose events are in the history and in the star schema.
+FINISHED_MONTHS = T.StructType([T.StructField("month", T.StringType())])
+
 DIM_USERS = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -13,6 +15,7 @@ MB = 1024 * 1024
 #: task keeps a block for every partition, and sorts and aggregates spill, so larger partitions cost less than more.
 SHUFFLE_PARTITION_BYTES = 192 * MB
 MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 40_000
+JOBS_AT_A_TIME = 4
 
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
@@ -80,6 +83,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def side_by_side(*jobs: Callable[[], None]) -> None:
+    """Run jobs that do not depend on each other, some at a time, so that they fill each other's idle executors."""
+    with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
     """A session for tests and measurements on one machine."""
     return (

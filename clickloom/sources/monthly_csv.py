@@ -9,18 +9,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.schemas import MONTH_LABELS, RAW
-from clickloom.session import prepare
+from clickloom.session import prepare, side_by_side
 from clickloom.sources import files
 
 #: ``2019-Oct.csv``, also as the last part of a folder name such as ``batch=2019-Oct.csv``.
 BATCH_NAME = r"(?:^|=)(\d{4}-(?:" + "|".join(MONTH_LABELS) + r"))\.csv$"
-BATCH_IN_PATH = r"(\d{4}-(?:" + "|".join(MONTH_LABELS) + r"))\.csv(?:/|$)"
 
 
 def batch_label(month: str) -> str:
@@ -31,11 +31,6 @@ def batch_label(month: str) -> str:
     return f"{match[1]}-{MONTH_LABELS[int(match[2]) - 1]}"
 
 
-def month_of(label: Column) -> Column:
-    """Column form of the reverse: ``2019-Oct`` to ``2019-10``."""
-    return F.date_format(F.to_date(label, "yyyy-MMM"), "yyyy-MM")
-
-
 def find_batches(spark: SparkSession, folder: str, months: Sequence[str] | None = None) -> dict[str, str]:
     """Month to path, oldest first, of the wanted months (all if None) that ``folder`` has. Absent ones are left out."""
     paths = {}
@@ -83,16 +78,14 @@ def restore_empty(rows: DataFrame) -> DataFrame:
 
 
 def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None = None) -> DataFrame:
-    """Raw events of CSV files with a ``month`` column from the batch name.
+    """Raw events of CSV files.
 
     ``quoted_newlines`` None looks first whether records span lines and lets Spark split the files if none does.
     """
     prepare(spark)
     if quoted_newlines is None:
         quoted_newlines = has_quoted_newlines(spark, paths)
-    rows = spark.read.schema(RAW).options(**csv_options(quoted_newlines)).csv(list(paths))
-    label = F.regexp_extract("_metadata.file_path", BATCH_IN_PATH, 1)
-    return restore_empty(rows.withColumn("month", month_of(label)))
+    return restore_empty(spark.read.schema(RAW).options(**csv_options(quoted_newlines)).csv(list(paths)))
 
 
 def landed_path(landing: str, month: str) -> str:
@@ -107,16 +100,19 @@ def land(
     overwrite: bool = False,
     quoted_newlines: bool | None = None,
 ) -> list[str]:
-    """Land the wanted months that ``folder`` has, in one job, and return all of these that are now landed.
+    """Land the wanted months that ``folder`` has, and return all of these that are now landed.
 
-    A landed month is left as it is unless ``overwrite`` is set. Spark moves the month folders into place when the
-    whole job has succeeded, so a month folder is always complete.
+    A landed month is left as it is unless ``overwrite`` is set. Each month is a job of its own, so one bad file holds
+    up its own month only, and a month whose job broke off is landed anew.
     """
     found = find_batches(spark, folder, months)
-    pending = [m for m in found if overwrite or not files.exists(spark, landed_path(landing, m))]
-    if pending:
-        rows = scan(spark, [found[m] for m in pending], quoted_newlines)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(landing)
+
+    def land_month(month: str) -> None:
+        rows = scan(spark, [found[month]], quoted_newlines)
+        rows.write.mode("overwrite").parquet(landed_path(landing, month))
+
+    pending = [m for m in found if overwrite or not files.exists(spark, f"{landed_path(landing, m)}/_SUCCESS")]
+    side_by_side(*[partial(land_month, month) for month in pending])
     return list(found)
 
 

@@ -39,6 +39,7 @@ TABLES = {
     "dim_products": Layout(S.DIM_PRODUCTS),
     "dim_users": Layout(S.DIM_USERS),
     "product_latest": Layout(S.PRODUCT_LATEST),
+    "finished_months": Layout(S.FINISHED_MONTHS),
     "fct_events": Layout(S.FCT_EVENTS, "event_at_utc", ("product_sk", "user_sk")),
 }
 
