@@ -21,27 +21,24 @@ def null_failures(table: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def null_counts(table: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, failures`` for several not-null checks in one scan."""
-    counts = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = table.selectExpr(*[f"count_if({c} IS NULL) AS {c}" for c in columns])
     return counts.unpivot([], list(columns), "column_name", "failures")
 
 
+def counted(table: DataFrame, column: str, name: str) -> DataFrame:
+    """``name, n_records``: how often each value other than NULL occurs."""
+    values = table.where(f"{column} IS NOT NULL").selectExpr(f"{column} AS {name}")
+    return values.groupBy(name).count().withColumnRenamed("count", "n_records")
+
+
 def unique(table: DataFrame, column: str) -> DataFrame:
     """``unique_field, n_records`` for each value that occurs more than once; NULLs are ignored."""
-    return (
-        table.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("unique_field"))
-        .agg(F.count("*").alias("n_records"))
-        .where("n_records > 1")
-    )
+    return counted(table, column, "unique_field").where("n_records > 1")
 
 
 def accepted_values(table: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """``value_field, n_records`` for each value outside ``values``; NULLs never fail."""
-    return (
-        table.where(~F.col(column).isin(*values))
-        .groupBy(F.col(column).alias("value_field"))
-        .agg(F.count("*").alias("n_records"))
-    )
+    return counted(table.where(~F.col(column).isin(*values)), column, "value_field")
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
@@ -49,10 +46,5 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
 
     Child rows are counted per key before the anti join, so a hot key cannot overload one join task.
     """
-    keys = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("from_field"))
-        .agg(F.count("*").alias("n_records"))
-    )
-    fields = parent.select(F.col(field).alias("to_field"))
-    return keys.join(fields, F.col("from_field") == F.col("to_field"), "left_anti")
+    parents = parent.selectExpr(f"{field} AS from_field")
+    return counted(child, column, "from_field").join(parents, "from_field", "left_anti")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickloom import schemas as S
 from clickloom.operators import quality
@@ -40,25 +39,26 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """
     results = []
 
-    def add(table: str, check: str, counts: DataFrame) -> None:
+    def add(table: str, column: str, check: str, counts: DataFrame) -> None:
         results.append(
-            counts.select(
-                F.lit(table).alias("table_name"), "column_name", F.lit(check).alias("check_name"), "failures"
+            counts.selectExpr(
+                f"'{table}' AS table_name", f"{column} AS column_name", f"'{check}' AS check_name", "failures"
             )
         )
 
-    def one(column: str, failing: DataFrame, count=None) -> DataFrame:
-        failures = F.count("*") if count is None else F.coalesce(F.sum(count), F.lit(0))
-        return failing.agg(failures.alias("failures")).withColumn("column_name", F.lit(column))
+    def rows(failing: DataFrame) -> DataFrame:
+        return failing.selectExpr("count(*) AS failures")
 
     for table, columns in NOT_NULL.items():
-        add(table, "not_null", quality.null_counts(tables[table], columns))
+        add(table, "column_name", "not_null", quality.null_counts(tables[table], columns))
     for table, columns in UNIQUE.items():
         for column in columns:
-            add(table, "unique", one(column, quality.unique(tables[table], column)))
+            add(table, f"'{column}'", "unique", rows(quality.unique(tables[table], column)))
     for (table, column), values in ACCEPTED.items():
-        add(table, "accepted_values", one(column, quality.accepted_values(tables[table], column, values)))
+        failing = quality.accepted_values(tables[table], column, values)
+        add(table, f"'{column}'", "accepted_values", rows(failing))
     for (table, column), (parent, field) in RELATIONSHIPS.items():
         failing = quality.relationships(tables[table], column, tables[parent], field)
-        add(table, "relationships", one(column, failing, F.col("n_records")))
-    return reduce(DataFrame.unionByName, results)
+        orphans = failing.selectExpr("coalesce(sum(n_records), 0) AS failures")
+        add(table, f"'{column}'", "relationships", orphans)
+    return reduce(DataFrame.union, results)
