@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import packing
+from clickloom.llm import chunk_reuse, packing, token_output
 from clickloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,17 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir), path))
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.packed_rows(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_reuse.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_token_output": op8_token_output,
+    "op9_bpe_chunk_reuse": op9_bpe_chunk_reuse,
 }
 ORACLE: dict[str, str] = {}
