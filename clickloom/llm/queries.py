@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import chunk_reuse, packing, token_output
+from clickloom.llm import chunk_reuse, embedding_dedup, packing, simhash, token_output
 from clickloom.llm.common import documents
+from clickloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +21,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir), path))
 
 
+def op5_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_rows(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -28,7 +39,8 @@ def op9_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_embedding_tiles": op5_embedding_tiles,
+    "op6_simhash_anchors": op6_simhash_anchors,
     "op8_token_output": op8_token_output,
     "op9_bpe_chunk_reuse": op9_bpe_chunk_reuse,
 }
-ORACLE: dict[str, str] = {}
