@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import clickloom
 from clickloom.session import work_folder
@@ -58,7 +59,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_rows(
-    rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    rows: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
     """``mapInArrow`` with this package at hand."""
     ship(rows.sparkSession)

@@ -6,8 +6,8 @@ EMBEDDINGS = """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
@@ -24,4 +24,23 @@ SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, least(e.vec_id, coalesce(s.b
 FROM embeddings e LEFT JOIN counted c ON c.a = e.vec_id LEFT JOIN smallest s ON s.a = e.vec_id
 """
 
-ORACLE: dict[str, str] = {"op5_embedding_tiles": EMBEDDINGS}
+LINES = r"""
+WITH lines AS (
+    SELECT doc_id, line, place FROM (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+        FROM documents
+    )
+),
+keyed AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+),
+often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.place) FILTER (WHERE o.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN often o ON o.key = k.key GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op5_embedding_tiles": EMBEDDINGS, "op7_line_dedup": LINES}

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import chunk_reuse, embedding_dedup, packing, simhash, token_output
+from clickloom.llm import chunk_reuse, embedding_dedup, line_dedup, packing, quality, simhash, token_output
 from clickloom.llm.common import documents
 from clickloom.llm.oracle import ORACLE
 
@@ -29,6 +30,11 @@ def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_rows(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -37,10 +43,23 @@ def op9_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_reuse.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    field = quality.learn(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(rows, field).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_tiles": op5_embedding_tiles,
     "op6_simhash_anchors": op6_simhash_anchors,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_output": op8_token_output,
     "op9_bpe_chunk_reuse": op9_bpe_chunk_reuse,
+    "op10_quality_crf": op10_quality_crf,
 }
