@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chunk_reuse, embedding_dedup, line_dedup, packing, quality, simhash, token_output
+from clickloom.llm import chunk_reuse, embedding_dedup, fingerprints, line_dedup, packing, quality, simhash, token_output
 from clickloom.llm.common import documents
 from clickloom.llm.oracle import ORACLE
 
@@ -17,6 +17,10 @@ __all__ = ["ORACLE", "QUERIES"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(documents(spark, sf_dir), path))
@@ -55,6 +59,7 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_tiles": op5_embedding_tiles,
     "op6_simhash_anchors": op6_simhash_anchors,
