@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chunk_reuse, embedding_dedup, fingerprints, line_dedup, packing, quality, simhash, token_output
+from clickloom.llm import chunk_reuse, embedding_dedup, fingerprints, line_dedup, packing, pseudonyms, quality, secrets, simhash, token_output
 from clickloom.llm.common import documents
 from clickloom.llm.oracle import ORACLE
 
@@ -21,6 +21,15 @@ def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, sf_dir))
+
+
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [f"n_{kind}" for kind in pseudonyms.PATTERNS]
+    return pseudonyms.pseudonymise(documents(spark, sf_dir)).select("doc_id", "text", *counts)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(documents(spark, sf_dir), path))
@@ -60,6 +69,8 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_fingerprints": op1_minhash_fingerprints,
+    "op2_secret_ownership": op2_secret_ownership,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_embedding_tiles": op5_embedding_tiles,
     "op6_simhash_anchors": op6_simhash_anchors,
