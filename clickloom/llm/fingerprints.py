@@ -53,7 +53,7 @@ def shingle_hashes(text: Column, width: int) -> Column:
 
 
 def smallest_by_bin(hashes: Column) -> Column:
-    """For each bin in order the stored bits of its smallest hash, null if it is empty.
+    """For each bin in order its smallest hash, null if it is empty.
 
     The largest hash that a bin can have is put in for every bin, so each bin is there once sorted.
     """
@@ -64,10 +64,7 @@ def smallest_by_bin(hashes: Column) -> Column:
     def firsts(ordered: Column) -> Column:
         bins = lambda at: F.shiftright(at, free)
         is_first = lambda x, i: (i == 0) | (bins(x) != bins(F.get(ordered, i - 1)))
-        stored = lambda x: F.when(
-            x.bitwiseAND(F.lit(largest)) != largest, x.bitwiseAND(F.lit((1 << STORED_BITS) - 1))
-        )
-        return F.transform(F.filter(ordered, is_first), stored)
+        return F.transform(F.filter(ordered, is_first), lambda x: F.when(x.bitwiseAND(F.lit(largest)) != largest, x))
 
     return let(F.sort_array(F.concat(hashes, ends)), firsts)
 
@@ -80,7 +77,11 @@ def probe_order() -> tuple[list[list[int]], list[int], list[int]]:
 
 
 def densified(bins: Column) -> Column:
-    """Empty bins filled; all 0 if all are empty."""
+    """The stored bits of all bins, empty ones filled; all 0 if all are empty.
+
+    Stored are the low-order bits of the bin's value hashed with the bin's number. So bins that borrowed one value do
+    not all agree with those of another value whose bits happen to be the same.
+    """
     probes, starts, steps = probe_order()
 
     def fill(bins: Column) -> Column:
@@ -91,7 +92,9 @@ def densified(bins: Column) -> Column:
                 lambda n: F.get(bins, (F.get(numbers(starts), at) + n * F.get(numbers(steps), at)) % BINS),
             )
             first = F.get(F.filter(every, lambda x: x.isNotNull()), F.lit(0))
-            return F.coalesce(own, *asked, first, F.lit(0).cast("bigint"))
+            filled = F.coalesce(own, *asked, first)
+            bits = F.lit((1 << STORED_BITS) - 1).cast("bigint")
+            return let(filled, lambda v: F.when(v.isNotNull(), F.xxhash64(v, at).bitwiseAND(bits)).otherwise(0))
 
         return F.transform(bins, value)
 
@@ -165,8 +168,9 @@ def id_ranges(ids: DataFrame, key: str) -> Column:
     every = numbers(bounds, "bigint")
 
     def cut_evenly(place: Column) -> Column:
-        low, high = F.get(every, place), F.coalesce(F.get(every, place + 1), F.get(every, place) + 1)
-        share = (id_ - low).cast("double") / (high - low).cast("double")
+        low, high = F.get(every, place), F.coalesce(F.get(every, place + 1), F.get(every, place))
+        size = high.cast("double") - low.cast("double")
+        share = (id_.cast("double") - low.cast("double")) / F.greatest(size, F.lit(1.0))
         return place * finer + F.least(F.greatest(F.floor(share * finer), F.lit(0)), F.lit(finer - 1))
 
     return let(place, cut_evenly)

@@ -275,3 +275,19 @@ def near_duplicates(
     return prints.join(named, "point").select(
         "doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def deduplicate(
+    documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, parts: int = PARTS
+) -> DataFrame:
+    """One document of each component: that of the smallest ``doc_id``, null last; of repeated rows, one.
+
+    All columns are passed through. The documents are stored once with a row id, which tells repeated rows apart.
+    """
+    row_id = "simhash_row_id"
+    rows = stored(documents.sparkSession, "rows", documents.withColumn(row_id, F.monotonically_increasing_id()))
+    groups = near_duplicates(rows.select(F.col(row_id).alias("doc_id"), "text"), shingle_words, max_bits, parts)
+    groups = groups.select(F.col("doc_id").alias(row_id), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row_id))
+    named = rows.select(row_id, "doc_id").join(groups, row_id).groupBy("component_id").agg(F.min(order).alias("kept"))
+    return rows.join(named.select(f"kept.{row_id}"), row_id, "left_semi").drop(row_id)
