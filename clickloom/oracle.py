@@ -3,8 +3,34 @@
 from __future__ import annotations
 
 from clickloom import registry as R
-from clickloom import schemas as S
-from clickloom.plans import suite
+
+# ---- Fixed values of the data contract, spelled out here once more so that a wrong one elsewhere shows ----
+NULL_KEY_TOKEN = "_dbt_utils_surrogate_key_null_"
+KEY_SEPARATOR = "-"
+UNKNOWN_SESSION = "unknown_session"
+UNKNOWN_EVENT_TYPE = "unknown_event_type"
+UNKNOWN_CATEGORY = "N/A"
+UNKNOWN_BRAND = "Unknown"
+UNKNOWN_MEMBER = "-1"
+EVENT_TYPES = ("view", "cart", "remove_from_cart", "purchase")
+#: Which check each column has.
+CHECKS = {
+    "ecom_events": {"not_null": ("event_time", "product_id", "user_id")},
+    "dim_datetime": {
+        "not_null": ("datetime_sk", "datetime_hour_utc"),
+        "unique": ("datetime_sk", "datetime_hour_utc"),
+    },
+    "dim_products": {
+        "not_null": ("product_sk", "product_id", "product_brand"),
+        "unique": ("product_sk", "product_id"),
+    },
+    "dim_users": {"not_null": ("user_sk", "user_id"), "unique": ("user_sk", "user_id")},
+    "fct_events": {
+        "not_null": ("event_sk", "product_sk", "user_sk", "datetime_sk", "event_type", "event_at_utc"),
+        "unique": ("event_sk",),
+    },
+}
+PARENTS = {"product_sk": "dim_products", "user_sk": "dim_users", "datetime_sk": "dim_datetime"}
 
 CLICKSTREAM = """
 loads AS (
@@ -52,8 +78,8 @@ def time_text(ts: str) -> str:
 
 
 def key(*parts: str) -> str:
-    texts = [f"coalesce(CAST({part} AS VARCHAR), '{S.NULL_KEY_TOKEN}')" for part in parts]
-    return f"md5({f" || '{S.KEY_SEPARATOR}' || ".join(texts)})"
+    texts = [f"coalesce(CAST({part} AS VARCHAR), '{NULL_KEY_TOKEN}')" for part in parts]
+    return f"md5({f" || '{KEY_SEPARATOR}' || ".join(texts)})"
 
 
 def staged(raw: str = "raw", name: str = "stg") -> str:
@@ -62,11 +88,11 @@ def staged(raw: str = "raw", name: str = "stg") -> str:
 {name} AS (
     SELECT
         r.user_id, r.product_id, r.category_id,
-        coalesce(r.user_session, '{S.UNKNOWN_SESSION}') AS user_session_id,
+        coalesce(r.user_session, '{UNKNOWN_SESSION}') AS user_session_id,
         r.event_time AS event_at_utc,
-        coalesce(r.event_type, '{S.UNKNOWN_EVENT_TYPE}') AS event_type,
-        coalesce(r.category_code, '{S.UNKNOWN_CATEGORY}') AS category_code,
-        coalesce(r.brand, '{S.UNKNOWN_BRAND}') AS product_brand,
+        coalesce(r.event_type, '{UNKNOWN_EVENT_TYPE}') AS event_type,
+        coalesce(r.category_code, '{UNKNOWN_CATEGORY}') AS category_code,
+        coalesce(r.brand, '{UNKNOWN_BRAND}') AS product_brand,
         coalesce(r.price, 0.0) AS event_price,
         {sk} AS event_sk
     FROM {raw} r
@@ -118,9 +144,9 @@ def fact(staged: str = "stg", name: str = "fct", known: bool = False) -> str:
     return f"""
 {name} AS (
     SELECT
-        coalesce(p.product_sk, '{S.UNKNOWN_MEMBER}') AS product_sk,
-        coalesce(u.user_sk, '{S.UNKNOWN_MEMBER}') AS user_sk,
-        coalesce(d.datetime_sk, '{S.UNKNOWN_MEMBER}') AS datetime_sk,
+        coalesce(p.product_sk, '{UNKNOWN_MEMBER}') AS product_sk,
+        coalesce(u.user_sk, '{UNKNOWN_MEMBER}') AS user_sk,
+        coalesce(d.datetime_sk, '{UNKNOWN_MEMBER}') AS datetime_sk,
         s.event_type, s.user_session_id, s.event_price, s.event_at_utc, s.event_sk
     FROM {staged} s
     LEFT JOIN (SELECT * FROM dim_products{only(R.KNOWN_PRODUCT)}) p ON p.product_id = s.product_id
@@ -165,7 +191,7 @@ FROM (
         min(epoch_us(event_at_utc)) FILTER (event_type = 'view') AS v,
         min(epoch_us(event_at_utc)) FILTER (event_type = 'cart') AS c,
         min(epoch_us(event_at_utc)) FILTER (event_type = 'purchase') AS p
-    FROM fct WHERE user_session_id <> '{S.UNKNOWN_SESSION}' GROUP BY user_session_id
+    FROM fct WHERE user_session_id <> '{UNKNOWN_SESSION}' GROUP BY user_session_id
 )"""
 
 TOP_PRODUCTS = """
@@ -207,9 +233,9 @@ stg_merged AS (
 )
 
 
-def suite_sql(known: bool) -> str:
+def suite_sql(known: bool, events: str = "raw", fact: str = "fct") -> str:
     """All checks by hand; ``known`` restricts the dimensions as in the unknown-member queries."""
-    tables = {"ecom_events": "raw", "fct_events": "fct"}
+    tables = {"ecom_events": events, "fct_events": fact}
     limits = {"dim_products": R.KNOWN_PRODUCT, "dim_users": R.KNOWN_USER, "dim_datetime": R.KNOWN_HOUR}
     for name, condition in limits.items():
         tables[name] = f"(SELECT * FROM {name} WHERE {condition})" if known else name
@@ -221,18 +247,17 @@ def suite_sql(known: bool) -> str:
             f" (SELECT count(*) FROM {failing}) AS failures"
         )
 
-    for table, columns in suite.NOT_NULL.items():
-        for c in columns:
+    for table, checks in CHECKS.items():
+        for c in checks["not_null"]:
             add(table, c, "not_null", f"{tables[table]} WHERE {c} IS NULL")
-    for table, columns in suite.UNIQUE.items():
-        for c in columns:
+        for c in checks.get("unique", ()):
             repeated = f"(SELECT {c} FROM {tables[table]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
             add(table, c, "unique", repeated)
-    for (table, c), values in suite.ACCEPTED.items():
-        add(table, c, "accepted_values", f"(SELECT DISTINCT {c} FROM {tables[table]} WHERE {c} NOT IN {values})")
-    for (table, c), (parent, field) in suite.RELATIONSHIPS.items():
-        known_keys = f"(SELECT {field} FROM {tables[parent]})"
-        add(table, c, "relationships", f"{tables[table]} WHERE {c} IS NOT NULL AND {c} NOT IN {known_keys}")
+    unaccepted = f"(SELECT DISTINCT event_type FROM {tables['fct_events']} WHERE event_type NOT IN {EVENT_TYPES})"
+    add("fct_events", "event_type", "accepted_values", unaccepted)
+    for c, parent in PARENTS.items():
+        known_keys = f"(SELECT {c} FROM {tables[parent]})"
+        add("fct_events", c, "relationships", f"{tables['fct_events']} WHERE {c} IS NOT NULL AND {c} NOT IN {known_keys}")
     return "\nUNION ALL\n".join(rows)
 
 
@@ -248,6 +273,34 @@ NULL_ROWS = "\nUNION ALL\n".join(
     for c in ("event_time", "product_id", "user_id")
 )
 
+#: Days 1 and 25 of the fact stand there once more, without users; the checks see what comes from the day of the mark on.
+INCREMENTAL = (
+    f"""
+fct_twice AS (
+    SELECT * FROM fct
+    UNION ALL
+    SELECT * REPLACE (NULL AS user_sk) FROM fct WHERE day(event_at_utc) IN (1, 25)
+),
+mark AS (SELECT date_trunc('day', max(event_at_utc)) AS t FROM fct WHERE day(event_at_utc) <= {R.ARRIVALS[0]}),
+raw_new AS (SELECT * FROM raw WHERE event_time >= (SELECT t FROM mark)),
+fct_new AS (SELECT * FROM fct_twice WHERE event_at_utc >= (SELECT t FROM mark))""",
+)
+
+DIMENSIONS_TOGETHER = """
+SELECT 'product' AS dimension, product_id, product_sk, product_brand, category_code, NULL::BIGINT AS user_id,
+       NULL::VARCHAR AS user_sk, NULL::TIMESTAMP AS datetime_hour_utc, NULL::VARCHAR AS datetime_sk FROM dim_products
+UNION ALL
+SELECT 'user', NULL, NULL, NULL, NULL, user_id, user_sk, NULL, NULL FROM dim_users
+UNION ALL
+SELECT 'hour', NULL, NULL, NULL, NULL, NULL, NULL, datetime_hour_utc, datetime_sk FROM dim_datetime"""
+
+FIRST_ARRIVAL = f"coalesce(day(event_time), 1) <= {R.ARRIVALS[0]}"
+#: Quoting every field turns a missing text into an empty one.
+FILLED = """
+SELECT * REPLACE (CAST(category_id AS VARCHAR) AS category_id, coalesce(event_type, '') AS event_type,
+    coalesce(category_code, '') AS category_code, coalesce(brand, '') AS brand,
+    coalesce(user_session, '') AS user_session) FROM raw"""
+
 ORACLE: dict[str, str] = {
     "stg_ecom_events": sql(CATEGORY_AS_TEXT + "stg", CLICKSTREAM, STG),
     "stg_order_lines": sql(CATEGORY_AS_TEXT + "stg", ORDER_LINES, STG),
@@ -284,7 +337,7 @@ ORACLE: dict[str, str] = {
         CLICKSTREAM,
     ),
     "dq_accepted_values": sql(
-        f"SELECT event_type AS value_field, count(*) AS n_records FROM stg WHERE event_type NOT IN {S.EVENT_TYPES}"
+        f"SELECT event_type AS value_field, count(*) AS n_records FROM stg WHERE event_type NOT IN {EVENT_TYPES}"
         " GROUP BY event_type",
         CLICKSTREAM,
         STG,
@@ -300,6 +353,24 @@ ORACLE: dict[str, str] = {
     ),
     "dq_suite": sql(suite_sql(known=True), *star(CLICKSTREAM, fact(known=True))),
     "run_pipeline": sql(suite_sql(known=False), *star(CLICKSTREAM, fact())),
+    "fct_events_mixed_ingest": sql("SELECT * FROM fct", *star(CLICKSTREAM, fact())),
+    "fct_events_late_rows": sql(
+        f"SELECT * FROM fct WHERE day(event_at_utc) <= {R.ARRIVALS[0]} OR day(event_at_utc) > {R.ARRIVALS[1]}",
+        *star(CLICKSTREAM, fact()),
+    ),
+    "dims_incremental": sql(DIMENSIONS_TOGETHER, *star(ORDER_LINES)),
+    "landed_month_skipped": sql(
+        f"{CATEGORY_AS_TEXT}raw WHERE {FIRST_ARRIVAL}"
+        f" UNION ALL {CATEGORY_AS_TEXT}raw WHERE {FIRST_ARRIVAL}",
+        CLICKSTREAM,
+    ),
+    "stream_fact": sql(
+        f"SELECT * FROM fct WHERE day(event_at_utc) <= {R.ARRIVALS[1]}", *star(CLICKSTREAM, fact())
+    ),
+    "dq_suite_incremental": sql(
+        suite_sql(known=False, events="raw_new", fact="fct_new"), *star(CLICKSTREAM, fact(), *INCREMENTAL)
+    ),
+    "csv_quoted_fields": sql(FILLED, CLICKSTREAM),
     "top_products": sql(TOP_PRODUCTS, *star(ORDER_LINES, fact())),
     "purchase_funnel": sql(FUNNEL, *star(CLICKSTREAM, fact())),
     "sales_by_hour": sql(sales("hour_utc"), *star(CLICKSTREAM, fact())),

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom import schemas as S
-from clickloom.operators.members import attach_member
 from clickloom.plans import dims
 
 
@@ -39,15 +38,6 @@ def fact_columns(linked: DataFrame) -> DataFrame:
     return linked.select(*[name for name in S.FCT_EVENTS.names if name in linked.columns])
 
 
-def fct_events(staged: DataFrame, dim_products: DataFrame, dim_users: DataFrame, dim_datetime: DataFrame) -> DataFrame:
-    """One row per staged event with the keys of its product, user and hour."""
-    events = with_hour(staged, "event_at_utc")
-    found = {"dim_products": dim_products, "dim_users": dim_users, "dim_datetime": dim_datetime}
-    for name, dim in found.items():
-        events = attach_member(events, dim, LINKS[name].key, LINKS[name].sk)
-    return fact_columns(events)
-
-
 def high_water_mark(fact: DataFrame) -> int | None:
     """Time of the newest row in microseconds, or None if there is no row."""
     return fact.agg(F.unix_micros(F.max("event_at_utc"))).first()[0]

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom import schemas as S
 from clickloom.operators import members
 from clickloom.operators.dedup import latest_times
 from clickloom.plans import dims, fact, staging, suite
-from clickloom.session import side_by_side, work_folder
-from clickloom.sources import files, monthly_csv
-from clickloom.sources.tables import Warehouse
+from clickloom.session import Scratch, side_by_side, sized
+from clickloom.sources import monthly_csv
+from clickloom.sources.tables import Days, Warehouse, day_ranges
 
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
 #: How much of the stored history one fact job takes on.
@@ -21,13 +22,18 @@ SLICE_BYTES = 4 * 1024**4
 DIMENSIONS = ("dim_datetime", "dim_products", "dim_users")
 
 
-def new_months(warehouse: Warehouse, source: str) -> list[str]:
-    """Months that ``source`` has and no run has finished, oldest first."""
-    found = list(monthly_csv.find_batches(warehouse.spark, source))
+def taken_months(warehouse: Warehouse, by: str | None = None) -> set[str]:
+    """Months whose events are in all tables; those taken in by ``run`` or ``stream`` alone if asked for."""
     if not warehouse.exists("finished_months"):
-        return found
-    known = {row.month for row in warehouse.read("finished_months").distinct().collect()}
-    return [month for month in found if month not in known]
+        return set()
+    rows = warehouse.read("finished_months").distinct().collect()
+    return {row.month for row in rows if by in (None, row.taken_by)}
+
+
+def new_months(warehouse: Warehouse, source: str) -> list[str]:
+    """Months that ``source`` has and nothing has taken in, oldest first."""
+    known = taken_months(warehouse)
+    return [month for month in monthly_csv.find_batches(warehouse.spark, source) if month not in known]
 
 
 def ingest(
@@ -58,32 +64,26 @@ def session_broadcast_limit(spark: SparkSession) -> int:
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def hold(spark: SparkSession, label: str, rows: DataFrame) -> tuple[DataFrame, int]:
-    """Write an intermediate result to the shared folder; returns it as read back, and its size in bytes."""
-    path = work_folder(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path), files.stored_bytes(spark, path)
-
-
-def latest_candidates(spark: SparkSession, events: DataFrame) -> DataFrame:
+def latest_candidates(scratch: Scratch, events: DataFrame) -> DataFrame:
     """The events that may be a product's latest: those at its greatest time.
 
     One cheap scan finds these times. If they are few enough to broadcast, the costly ranking by key then sees little
     more than one event per product; otherwise all events stay in, and the ranking sorts them.
     """
-    times, size = hold(spark, "latest-times", latest_times(events, "product_id", "event_time"))
-    if size > session_broadcast_limit(spark):
+    times, size = scratch.hold("latest-times", latest_times(events, "product_id", "event_time"))
+    if size > session_broadcast_limit(scratch.spark):
         return events
     return events.join(times, ["product_id", "event_time"], "left_semi")
 
 
 def build_dims(warehouse: Warehouse, raw: DataFrame, names: Sequence[str] = DIMENSIONS) -> None:
-    """Rebuild dimension tables from all raw events."""
+    """Build dimension tables from raw events, in place of those there are."""
     events = staging.clean(raw)
 
     def products() -> None:
-        candidates = latest_candidates(warehouse.spark, events)
-        warehouse.overwrite("product_latest", dims.latest_per_product(dims.product_events(candidates)))
+        with Scratch(warehouse.spark) as scratch:
+            candidates = latest_candidates(scratch, events)
+            warehouse.overwrite("product_latest", dims.latest_per_product(dims.product_events(candidates)))
         warehouse.overwrite("dim_products", dims.describe_products(warehouse.read("product_latest")))
 
     builds = {
@@ -95,7 +95,7 @@ def build_dims(warehouse: Warehouse, raw: DataFrame, names: Sequence[str] = DIME
 
 
 def extend_dims(warehouse: Warehouse, added: DataFrame) -> None:
-    """Bring the dimension tables up to date with raw events added to the history since; reads these events only.
+    """Bring the dimension tables up to date with more raw events; reads these events only.
 
     Equal to a rebuild, also if some of the events were taken in before: hours and users are added if they are new,
     and a product keeps the later of its stored latest event and its added ones.
@@ -106,11 +106,11 @@ def extend_dims(warehouse: Warehouse, added: DataFrame) -> None:
         warehouse.append(name, rows.join(warehouse.read(name).select(key), key, "left_anti"))
 
     def products() -> None:
-        candidates = dims.product_events(latest_candidates(warehouse.spark, events))
-        both = warehouse.read("product_latest").unionByName(candidates)
-        latest, _ = hold(warehouse.spark, "product-latest", dims.latest_per_product(both))
-        warehouse.overwrite("product_latest", latest)
-        warehouse.overwrite("dim_products", dims.describe_products(latest))
+        with Scratch(warehouse.spark) as scratch:
+            candidates = dims.product_events(latest_candidates(scratch, events))
+            both = warehouse.read("product_latest").unionByName(candidates)
+            warehouse.overwrite("product_latest", dims.latest_per_product(both))
+        warehouse.overwrite("dim_products", dims.describe_products(warehouse.read("product_latest")))
 
     side_by_side(
         lambda: add_new("dim_datetime", dims.dim_datetime(events), "datetime_hour_utc"),
@@ -119,28 +119,67 @@ def extend_dims(warehouse: Warehouse, added: DataFrame) -> None:
     )
 
 
+def update_dims(warehouse: Warehouse, full_refresh: bool = False, slice_bytes: int = SLICE_BYTES) -> None:
+    """Bring the dimensions up to date with all that was ever written to the history, in whatever way.
+
+    The history's files tell which write they come from, and a table keeps the writes that the dimensions have taken
+    in. Only the files of other writes are read, a slice of whole days at a time; a rebuild takes in all of them.
+    """
+    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest", "dim_writes"))
+    rebuild = full_refresh or not known
+    schema = S.DIM_WRITES
+    if rebuild:
+        warehouse.overwrite("dim_writes", warehouse.spark.createDataFrame([], schema))
+    taken = {row.write_id for row in warehouse.read("dim_writes").distinct().collect()}
+    new = [written for written in warehouse.writes("ecom_events") if written.write_id not in taken]
+    write_ids = sorted({written.write_id for written in new})
+    sizes: dict[date, int] = {}
+    for written in new:
+        if written.day is not None:  # events without a time are in no dimension
+            sizes[written.day] = sizes.get(written.day, 0) + written.size
+    slices = day_ranges(sorted(sizes.items()), slice_bytes)
+    for days in slices:
+        events = warehouse.read_days("ecom_events", days.first, days.last, None if rebuild else write_ids)
+        with sized(warehouse.spark, days.size):
+            build_dims(warehouse, events) if rebuild and days is slices[0] else extend_dims(warehouse, events)
+    if rebuild and not slices:
+        build_dims(warehouse, events_of(warehouse, []))
+    if write_ids:
+        warehouse.append("dim_writes", warehouse.spark.createDataFrame([(w,) for w in write_ids], schema))
+
+
+def is_regular(dim: DataFrame, link: fact.Link) -> bool:
+    """Whether the dimension has one row per key, with the surrogate key that the formula gives."""
+    odd = F.count_if(~F.col(link.sk).eqNullSafe(link.formula()) | F.col(link.key).isNull()).alias("odd")
+    found = dim.groupBy(link.key).agg(F.count("*").alias("n"), odd).where("n > 1 OR odd > 0")
+    return found.isEmpty()
+
+
 def link_events(
     warehouse: Warehouse,
     raw: DataFrame,
     names: Sequence[str] = DIMENSIONS,
     broadcast_limit: int | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Fact rows of the raw events, linked to the named stored dimensions (all for the fact itself).
 
-    A dimension's stored size decides how. A small one is joined; Catalyst broadcasts it, knowing the size. For a
-    large one only the keys it lacks are looked for, without the de-duplication, and joined.
+    A dimension is joined by its key; Catalyst broadcasts a small one, knowing its size. For one above the limit that
+    was found to be regular, which any dimension built here is, the join gives what the key's formula gives except
+    for the keys that the dimension lacks. So only these are looked for, without the de-duplication, and joined.
+    Intermediate tables belong to ``scratch``.
     """
-    spark = warehouse.spark
-    limit = session_broadcast_limit(spark) if broadcast_limit is None else broadcast_limit
+    scratch = scratch or Scratch(warehouse.spark)
+    limit = session_broadcast_limit(warehouse.spark) if broadcast_limit is None else broadcast_limit
     keys = fact.with_hour(staging.clean(raw), "event_time")
     linked = fact.with_hour(staging.stg_ecom_events(raw), "event_at_utc")
     for name in names:
         link, dim = fact.LINKS[name], warehouse.read(name)
-        if warehouse.stored_bytes(name) <= limit:
-            linked = members.attach_member(linked, dim, link.key, link.sk)
-        else:
-            missing, _ = hold(spark, f"missing-{link.key}", members.missing_keys(keys, dim, link.key))
+        if warehouse.stored_bytes(name) > limit and is_regular(dim, link):
+            missing, _ = scratch.hold(f"missing-{link.key}", members.missing_keys(keys, dim, link.key))
             linked = members.derive_member(linked, missing, link.key, link.sk, link.formula())
+        else:
+            linked = members.attach_member(linked, dim, link.key, link.sk)
     return fact.fact_columns(linked)
 
 
@@ -158,24 +197,19 @@ def day_of(micros: int) -> date:
     return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).date()
 
 
-def events_of(warehouse: Warehouse, days: Sequence[tuple[date, date]]) -> DataFrame:
+def events_of(warehouse: Warehouse, days: Sequence[Days]) -> DataFrame:
     """Raw events of at most one range of days; of no day at all if there is none."""
-    first, last = days[0] if days else (date.max, date.min)
+    first, last = (days[0].first, days[0].last) if days else (date.max, date.min)
     return warehouse.read_days("ecom_events", first, last)
 
 
-def events_after(warehouse: Warehouse, mark: int) -> DataFrame:
-    """Raw events strictly after ``mark``; older days of the history are not listed, older row groups not read."""
-    return fact.newer_than(warehouse.read_days("ecom_events", day_of(mark)), mark)
-
-
 def build_fact(
     warehouse: Warehouse,
     lookback_days: int | None = None,
     full_refresh: bool = False,
     slice_bytes: int = SLICE_BYTES,
-) -> None:
-    """Bring ``fct_events`` up to date with the history.
+) -> date | None:
+    """Bring ``fct_events`` up to date with the history; returns the first day that may have changed, None for all.
 
     The first run and a full refresh write everything. Later runs add the events strictly after the newest fact row;
     an event that arrives late is then never loaded. ``lookback_days`` moves the mark back and merges instead, so late
@@ -185,51 +219,76 @@ def build_fact(
     grows beyond a slice, and after a break the next run goes on from the last slice written.
     """
     mark = None if full_refresh else stored_mark(warehouse)
+
+    def write(days: Sequence[Days], events: DataFrame, put: Callable[[DataFrame], None]) -> None:
+        with Scratch(warehouse.spark) as scratch, sized(warehouse.spark, sum(d.size for d in days)):
+            put(link_events(warehouse, events, scratch=scratch))
+
+    def overwrite(rows: DataFrame) -> None:
+        warehouse.overwrite("fct_events", rows)
+
+    def append(rows: DataFrame) -> None:
+        warehouse.append("fct_events", rows)
+
+    def merge(rows: DataFrame) -> None:
+        warehouse.merge("fct_events", rows, "event_sk")
+
     if mark is None:
         slices = warehouse.day_slices("ecom_events", slice_bytes)
-        warehouse.overwrite("fct_events", link_events(warehouse, events_of(warehouse, slices[:1])))
+        write(slices[:1], events_of(warehouse, slices[:1]), overwrite)
         for days in slices[1:]:
-            warehouse.append("fct_events", link_events(warehouse, events_of(warehouse, [days])))
-        return
+            write([days], events_of(warehouse, [days]), append)
+        return None
     since = mark - (lookback_days or 0) * DAY_MICROS
     for days in warehouse.day_slices("ecom_events", slice_bytes, day_of(since)):
+        # The event time is part of event_sk, so nothing after the mark can match a stored row: a merge would only
+        # insert, which an append does without reading the fact.
         events = fact.newer_than(events_of(warehouse, [days]), since)
-        if lookback_days:
-            warehouse.merge("fct_events", link_events(warehouse, events), "event_sk")
-        else:
-            # The event time is part of event_sk, so nothing after the mark can match a stored row: a merge would
-            # only insert, which an append does without reading the fact.
-            warehouse.append("fct_events", link_events(warehouse, events))
+        write([days], events, merge if lookback_days else append)
+    return day_of(since)
 
 
 def transform(
-    warehouse: Warehouse,
-    lookback_days: int | None = None,
-    full_refresh: bool = False,
-    added: DataFrame | None = None,
-) -> None:
+    warehouse: Warehouse, lookback_days: int | None = None, full_refresh: bool = False
+) -> date | None:
     """Update the dimensions, then the fact, and name the tables for SQL; staging is a view.
 
-    The dimensions are rebuilt from the whole history, unless ``added`` gives the raw events that came since the last
-    time; then a run costs what these events cost.
+    Both take in what was written to the history since, by whomever; a full refresh builds them from all of it. Returns
+    the first day of the fact that may have changed, None for all.
     """
-    raw = warehouse.read("ecom_events")
-    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest"))
-    if added is not None and known and not full_refresh:
-        extend_dims(warehouse, added)
-    else:
-        build_dims(warehouse, raw)
-    build_fact(warehouse, lookback_days, full_refresh)
+    update_dims(warehouse, full_refresh)
+    changed_from = build_fact(warehouse, lookback_days, full_refresh)
     warehouse.register(*DIMENSIONS, "fct_events")
-    raw.createOrReplaceTempView("ecom_events")
-    staging.stg_ecom_events(raw).createOrReplaceTempView("stg_ecom_events")
+    raw = warehouse.read("ecom_events")
+    raw.createOrReplaceTempView(f"{warehouse.views}ecom_events")
+    staging.stg_ecom_events(raw).createOrReplaceTempView(f"{warehouse.views}stg_ecom_events")
+    return changed_from
+
 
+def check(warehouse: Warehouse, first: date | None = None, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The check suite over the stored tables; no rows if there are no tables yet.
 
-def check(warehouse: Warehouse) -> DataFrame:
-    """The check suite over the stored tables; no rows if there are no tables yet."""
+    ``first`` limits the history and the fact to the days from there on, which is what a run has to check: copies of an
+    event share its day, so no other day can break a check that held before. All days are checked a slice at a time.
+    """
+    spark = warehouse.spark
     if not warehouse.exists("fct_events"):
-        return warehouse.spark.createDataFrame([], suite.RESULT)
-    return suite.run_checks({name: warehouse.read(name) for name in ("ecom_events", *DIMENSIONS, "fct_events")})
+        return spark.createDataFrame([], suite.RESULT)
+    stored = {name: warehouse.read(name) for name in DIMENSIONS}
+    events = {name: warehouse.read(name) for name in ("ecom_events", "fct_events")}
+    if first is not None:
+        events = {name: warehouse.read_days(name, first) for name in events}
+        return suite.run_checks(stored | events)
+    slices = warehouse.day_slices("fct_events", slice_bytes)
+    if len(slices) < 2:
+        return suite.run_checks(stored | events)
+    found = []
+    for days in slices:
+        part = warehouse.read_days("fct_events", days.first, days.last)
+        with sized(spark, days.size):
+            found += suite.run_day_checks(stored | {"fct_events": part}).collect()
+    sums = spark.createDataFrame(found, suite.RESULT).groupBy("table_name", "column_name", "check_name")
+    return suite.run_checks(stored | events, sums.agg(F.sum("failures").alias("failures")))
 
 
 def run_pipeline(
@@ -252,9 +311,11 @@ def run_pipeline(
         found = new_months(warehouse, source)
     else:
         found = list(monthly_csv.find_batches(spark, source, months))
+    changed_from: date | None = date.max  # no day yet
     for batch in [[m] for m in found] if one_by_one else [found] if found else []:
         ingest(warehouse, source, landing, batch)
-        transform(warehouse, lookback_days, added=monthly_csv.read_landed(spark, landing, batch))
-        finished = spark.createDataFrame([(month,) for month in batch], S.FINISHED_MONTHS)
+        since = transform(warehouse, lookback_days)
+        changed_from = None if since is None or changed_from is None else min(since, changed_from)
+        finished = spark.createDataFrame([(month, "run") for month in batch], S.FINISHED_MONTHS)
         warehouse.append("finished_months", finished)
-    return check(warehouse)
+    return check(warehouse, changed_from)

@@ -49,7 +49,8 @@ def purchase_funnel(fact: DataFrame) -> DataFrame:
         F.count_if(cart >= view).alias("n_view_then_cart"),
         F.count_if((purchase >= cart) & (cart >= view)).alias("n_view_cart_purchase"),
         F.count_if(purchase.isNotNull() & view.isNull()).alias("n_purchase_without_view"),
-        (F.sum(lead).cast("double") / F.count(lead) / 1e6).alias("avg_seconds_view_to_purchase"),
+        # 64 bits of microseconds overflow after some 10^8 sessions with a lead of a day.
+        (F.sum(lead.cast("decimal(28,0)")).cast("double") / F.count(lead) / 1e6).alias("avg_seconds_view_to_purchase"),
     )
 
 

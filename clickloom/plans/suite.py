@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from clickloom import schemas as S
 from clickloom.operators import quality
 
+# ---- Fixed values: which column has which check is part of the data contract ----
 RESULT = "table_name string, column_name string, check_name string, failures bigint"
 NOT_NULL = {
     "ecom_events": ("event_time", "product_id", "user_id"),
@@ -31,34 +32,45 @@ RELATIONSHIPS = {
 }
 
 
-def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
+def _named(table: str, column: str, check: str, counts: DataFrame) -> DataFrame:
+    return counts.selectExpr(
+        f"'{table}' AS table_name", f"{column} AS column_name", f"'{check}' AS check_name", "failures"
+    )
+
+
+def _rows(failing: DataFrame) -> DataFrame:
+    return failing.selectExpr("count(*) AS failures")
+
+
+def run_day_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """The checks of the fact whose failures add up over days: repeated keys, as copies share a day, and orphans."""
+    results = [
+        _named("fct_events", f"'{column}'", "unique", _rows(quality.unique(tables["fct_events"], column)))
+        for column in UNIQUE["fct_events"]
+    ]
+    for (table, column), (parent, field) in RELATIONSHIPS.items():
+        failing = quality.relationships(tables[table], column, tables[parent], field)
+        orphans = failing.selectExpr("coalesce(sum(n_records), 0) AS failures")
+        results.append(_named(table, f"'{column}'", "relationships", orphans))
+    return reduce(DataFrame.union, results)
+
+
+def run_checks(tables: dict[str, DataFrame], day_checks: DataFrame | None = None) -> DataFrame:
     """``table_name, column_name, check_name, failures`` of the 27 checks; a check passes with 0 failures.
 
     Failures are NULL rows, repeated values, unaccepted values, and rows without a parent. One scan per table serves
-    all its not-null checks; every other check reads its own column only.
+    all its not-null checks; every other check reads its own column only. ``day_checks`` are the results of
+    :func:`run_day_checks` if these were run before, a part of the days at a time.
     """
     results = []
-
-    def add(table: str, column: str, check: str, counts: DataFrame) -> None:
-        results.append(
-            counts.selectExpr(
-                f"'{table}' AS table_name", f"{column} AS column_name", f"'{check}' AS check_name", "failures"
-            )
-        )
-
-    def rows(failing: DataFrame) -> DataFrame:
-        return failing.selectExpr("count(*) AS failures")
-
     for table, columns in NOT_NULL.items():
-        add(table, "column_name", "not_null", quality.null_counts(tables[table], columns))
+        results.append(_named(table, "column_name", "not_null", quality.null_counts(tables[table], columns)))
     for table, columns in UNIQUE.items():
-        for column in columns:
-            add(table, f"'{column}'", "unique", rows(quality.unique(tables[table], column)))
+        if table != "fct_events":
+            for column in columns:
+                results.append(_named(table, f"'{column}'", "unique", _rows(quality.unique(tables[table], column))))
     for (table, column), values in ACCEPTED.items():
         failing = quality.accepted_values(tables[table], column, values)
-        add(table, f"'{column}'", "accepted_values", rows(failing))
-    for (table, column), (parent, field) in RELATIONSHIPS.items():
-        failing = quality.relationships(tables[table], column, tables[parent], field)
-        orphans = failing.selectExpr("coalesce(sum(n_records), 0) AS failures")
-        add(table, f"'{column}'", "relationships", orphans)
+        results.append(_named(table, f"'{column}'", "accepted_values", _rows(failing)))
+    results.append(run_day_checks(tables) if day_checks is None else day_checks)
     return reduce(DataFrame.union, results)

@@ -11,14 +11,16 @@ from pyspark.sql import types as T
 from clickloom import schemas as S
 from clickloom.functions.keys import surrogate_key, timestamp_text
 from clickloom.operators import members, quality
-from clickloom.plans import dims, pipeline, reports, staging
-from clickloom.session import prepare, work_folder
+from clickloom.plans import dims, fact, pipeline, reports, staging
+from clickloom.session import Scratch, prepare, work_folder
 from clickloom.sources import monthly_csv, samples
 from clickloom.sources.tables import Warehouse
 from clickloom.streaming.new_files import process_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The last days of the first and of the second part of the clickstream in the queries about arrival.
+ARRIVALS = (10, 20)
 #: First event of the second load in the incremental query.
 SECOND_LOAD_FROM = "2024-01-21"
 #: The restricted dimensions of the unknown-member queries.
@@ -42,11 +44,16 @@ def new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, work_folder(spark, "warehouse"))
 
 
+def held(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows that several jobs read, stored once; a registered query's result may be read at any time, so they stay."""
+    return Scratch(spark).hold("raw", rows)[0]
+
+
 def star(
     spark: SparkSession, raw: DataFrame, names: Sequence[str] = pipeline.DIMENSIONS
 ) -> tuple[Warehouse, DataFrame]:
     """A warehouse with the named dimensions of ``raw``, and the fact rows linked to them."""
-    warehouse = new_warehouse(spark)
+    warehouse, raw = new_warehouse(spark), held(spark, raw)
     pipeline.build_dims(warehouse, raw, names)
     return warehouse, pipeline.link_events(warehouse, raw, names)
 
@@ -121,13 +128,13 @@ def known_members(spark: SparkSession, raw: DataFrame, names: Sequence[str] = pi
 
 
 def fct_events_unknown_member(spark: SparkSession, folder: str) -> DataFrame:
-    raw = samples.clickstream(spark, folder)
+    raw = held(spark, samples.clickstream(spark, folder))
     return pipeline.link_events(known_members(spark, raw), raw)
 
 
 def fct_events_large_dims(spark: SparkSession, folder: str) -> DataFrame:
     """The unknown-member fact by the way that dimensions above the broadcast threshold go."""
-    raw = samples.clickstream(spark, folder)
+    raw = held(spark, samples.clickstream(spark, folder))
     return pipeline.link_events(known_members(spark, raw), raw, broadcast_limit=0)
 
 
@@ -170,7 +177,9 @@ def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     warehouse.append("ecom_events", samples.clickstream(spark, folder))
     pipeline.transform(warehouse)
     mark = pipeline.stored_mark(warehouse)
-    recent = pipeline.events_after(warehouse, mark - pipeline.DAY_MICROS)
+    since = mark - pipeline.DAY_MICROS
+    days = warehouse.day_slices("ecom_events", pipeline.SLICE_BYTES, pipeline.day_of(since))
+    recent = fact.newer_than(pipeline.events_of(warehouse, days), since)
     return recent.agg(
         F.timestamp_micros(F.lit(mark)).alias("newest_event_at_utc"), F.count("*").alias("n_events_of_last_day")
     )
@@ -217,7 +226,7 @@ def stream_new_files(spark: SparkSession, folder: str) -> DataFrame:
     process_new_files(warehouse, inbox, checkpoint)
     export_csv(repeated, f"{inbox}/2024-Feb.csv")
     process_new_files(warehouse, inbox, checkpoint)
-    return spark.sql("SELECT * FROM stg_ecom_events")
+    return staging.stg_ecom_events(warehouse.read("ecom_events"))
 
 
 def dq_not_null(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,14 +281,111 @@ def run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.run_pipeline(new_warehouse(spark), inbox, landing, one_by_one=True)
 
 
+def by_arrival(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The clickstream's events in three parts by their days."""
+    raw = held(spark, samples.clickstream(spark, folder))
+    day = F.coalesce(F.dayofmonth("event_time"), F.lit(1))
+    first, second = day <= ARRIVALS[0], (day > ARRIVALS[0]) & (day <= ARRIVALS[1])
+    return raw.where(first), raw.where(second), raw.where(day > ARRIVALS[1])
+
+
+def fct_events_mixed_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """A pipeline run, a batch that is only ingested, one written straight to the history, then another run."""
+    warehouse = new_warehouse(spark)
+    inbox, landing = work_folder(spark, "inbox"), work_folder(spark, "landing")
+    parts = by_arrival(spark, folder)
+    export_csv(parts[0], f"{inbox}/2024-Jan.csv")
+    pipeline.run_pipeline(warehouse, inbox, landing)
+    export_csv(parts[1].where("user_id % 2 = 0"), f"{inbox}/2024-Feb.csv")
+    pipeline.ingest(warehouse, inbox, landing, ["2024-02"])
+    warehouse.append("ecom_events", parts[1].where("user_id % 2 IS DISTINCT FROM 0"))
+    export_csv(parts[2], f"{inbox}/2024-Mar.csv")
+    pipeline.run_pipeline(warehouse, inbox, landing, ["2024-03"])
+    return warehouse.read("fct_events").drop(S.DAY)
+
+
+def fct_events_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The middle days arrive last: they are in the history and the dimensions, but not in the fact."""
+    warehouse = new_warehouse(spark)
+    first, second, third = by_arrival(spark, folder)
+    for rows in (first, third, second):
+        warehouse.append("ecom_events", rows)
+        pipeline.transform(warehouse)
+    return warehouse.read("fct_events").drop(S.DAY)
+
+
+def dims_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines year by year, newest first: products and users that the dimensions got step by step."""
+    warehouse = new_warehouse(spark)
+    raw = held(spark, samples.order_lines(spark, folder))
+    for low, high in ((1999, 9999), (1997, 1998), (0, 1996)):
+        warehouse.append("ecom_events", raw.where(F.year("event_time").between(low, high)))
+        pipeline.update_dims(warehouse)
+    products = warehouse.read("dim_products").select(
+        F.lit("product").alias("dimension"), "product_id", "product_sk", "product_brand", "category_code"
+    )
+    users = warehouse.read("dim_users").select(F.lit("user").alias("dimension"), "user_id", "user_sk")
+    hours = warehouse.read("dim_datetime").select(F.lit("hour").alias("dimension"), "datetime_hour_utc", "datetime_sk")
+    both = products.unionByName(users, allowMissingColumns=True)
+    return both.unionByName(hours, allowMissingColumns=True)
+
+
+def landed_month_skipped(spark: SparkSession, folder: str) -> DataFrame:
+    """A month is landed once: another file of that name changes neither the landed rows nor what is appended later."""
+    warehouse = new_warehouse(spark)
+    inbox, again, landing = (work_folder(spark, label) for label in ("inbox", "inbox", "landing"))
+    first, second, _ = by_arrival(spark, folder)
+    export_csv(first, f"{inbox}/2024-Jan.csv")
+    export_csv(second, f"{again}/2024-Jan.csv")
+    for source in (inbox, again):
+        pipeline.ingest(warehouse, source, landing)
+    return warehouse.read("ecom_events").drop(S.DAY)
+
+
+def stream_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after two stream runs with other files in the inbox, and a pipeline run that finds nothing new."""
+    warehouse = new_warehouse(spark)
+    inbox, landing, state = (work_folder(spark, label) for label in ("inbox", "landing", "stream"))
+    first, second, third = by_arrival(spark, folder)
+    export_csv(first, f"{inbox}/2024-Jan.csv")
+    export_csv(third, f"{inbox}/other")
+    process_new_files(warehouse, inbox, state)
+    export_csv(second, f"{inbox}/2024-Feb.csv")
+    process_new_files(warehouse, inbox, state)
+    pipeline.run_pipeline(warehouse, inbox, landing)
+    return warehouse.read("fct_events").drop(S.DAY)
+
+
+def dq_suite_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of the days from the second arrival on, where the fact has rows twice and without keys."""
+    warehouse = new_warehouse(spark)
+    first, *later = by_arrival(spark, folder)
+    for rows in (first, later[0].unionByName(later[1])):
+        warehouse.append("ecom_events", rows)
+        changed_from = pipeline.transform(warehouse)
+    bad = warehouse.read("fct_events").where(f"day({S.DAY}) = 1 OR day({S.DAY}) = 25").drop(S.DAY)
+    warehouse.append("fct_events", held(spark, bad.withColumn("user_sk", F.lit(None).cast("string"))))
+    return pipeline.check(warehouse, changed_from)
+
+
+def csv_quoted_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch by a writer that quotes every field, empty ones too: NULL in a number, an empty text in a text."""
+    inbox = work_folder(spark, "inbox")
+    rows = samples.clickstream(spark, folder)
+    times = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time")
+    texts = rows.select(times, *[F.col(name).cast("string").alias(name) for name in S.RAW.names[1:]])
+    filled = texts.select(*[F.coalesce(name, F.lit("")).alias(name) for name in S.RAW.names])
+    filled.write.option("quoteAll", True).option("emptyValue", '""').csv(f"{inbox}/2024-Jan.csv", header=True)
+    return monthly_csv.scan(spark, [f"{inbox}/2024-Jan.csv"])
+
+
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
     warehouse, events = star(spark, samples.order_lines(spark, folder), ["dim_products"])
     return reports.top_products(events, warehouse.read("dim_products"))
 
 
 def purchase_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    """The funnel needs no dimension, so the staged events do for the fact."""
-    return reports.purchase_funnel(stg_clickstream(spark, folder))
+    return reports.purchase_funnel(star(spark, samples.clickstream(spark, folder))[1])
 
 
 def sales_by_hour(spark: SparkSession, folder: str) -> DataFrame:
@@ -323,6 +429,13 @@ QUERIES: dict[str, Query] = {
     "orphan_events": orphan_events,
     "dq_suite": dq_suite,
     "run_pipeline": run_pipeline,
+    "fct_events_mixed_ingest": fct_events_mixed_ingest,
+    "fct_events_late_rows": fct_events_late_rows,
+    "dims_incremental": dims_incremental,
+    "landed_month_skipped": landed_month_skipped,
+    "stream_fact": stream_fact,
+    "dq_suite_incremental": dq_suite_incremental,
+    "csv_quoted_fields": csv_quoted_fields,
     "top_products": top_products,
     "purchase_funnel": purchase_funnel,
     "sales_by_hour": sales_by_hour,

@@ -84,8 +84,11 @@ PRODUCT_LATEST = T.StructType(
     ]
 )
 
-#: Months whose events are in the history and in the star schema.
-FINISHED_MONTHS = T.StructType([T.StructField("month", T.StringType())])
+#: Months whose events are in the history and in the star schema, and who took them in: ``run`` or ``stream``.
+FINISHED_MONTHS = T.StructType([T.StructField("month", T.StringType()), T.StructField("taken_by", T.StringType())])
+
+#: Writes to the history that the dimensions have taken in.
+DIM_WRITES = T.StructType([T.StructField("write_id", T.StringType())])
 
 DIM_USERS = T.StructType(
     [

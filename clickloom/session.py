@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from clickloom.sources import files
 
 MB = 1024 * 1024
 #: Size that a shuffle partition should have, and how many there may be before they are better made larger: every map
 #: task keeps a block for every partition, and sorts and aggregates spill, so larger partitions cost less than more.
 SHUFFLE_PARTITION_BYTES = 192 * MB
 MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 40_000
+#: Bytes that a job over stored, compressed columns is expected to shuffle for each byte read.
+SHUFFLED_PER_STORED = 2
 JOBS_AT_A_TIME = 4
 
 
@@ -50,16 +55,56 @@ def cluster_conf(shuffled_bytes: int) -> dict[str, str]:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings that the pipeline relies on in any session.
+    """What the pipeline relies on in any session: UTC, as truncation, dates and key texts depend on the zone, and casts
+    that fail instead of giving NULL. The zone is set; a session without ANSI casts is refused."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled: values that do not fit must fail, not become NULL")
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
 
-    All event times are UTC instants, and truncation, dates and key texts depend on the session zone. Folders of
-    day-partitioned tables are listed with one task per core rather than one per day.
+@contextmanager
+def sized(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Shuffle partitions for jobs over so many bytes of stored data; adaptive execution merges those too many.
+
+    The session's own number is a lower bound, and it holds again afterwards.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set(
-        "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(spark.sparkContext.defaultParallelism)
-    )
-    return spark
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    wanted = -(-SHUFFLED_PER_STORED * stored_bytes // SHUFFLE_PARTITION_BYTES)
+    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(key, str(max(least, min(wanted, MAX_SHUFFLE_PARTITIONS))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+class Scratch:
+    """Intermediate tables in the shared folder, deleted when the block that needs them ends, however it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            files.delete(self.spark, path)
+        self.paths.clear()
+
+    def hold(self, label: str, rows: DataFrame) -> tuple[DataFrame, int]:
+        """Write rows; returns them as read back, and their size in bytes."""
+        path = work_folder(self.spark, label)
+        self.paths.append(path)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path), files.stored_bytes(self.spark, path)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -100,5 +145,6 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores if cores.isdigit() else "8")
         .getOrCreate()
     )

@@ -25,3 +25,21 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below ``path``."""
     fs, location = _at(spark, path)
     return fs.getContentSummary(location).getLength()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all that is in it; nothing happens if it is not there."""
+    fs, location = _at(spark, path)
+    fs.delete(location, True)
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; whoever lists the folder finds one or the other."""
+    fs, location = _at(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old")
+    fs.delete(old, True)
+    if fs.exists(location) and not fs.rename(location, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), location):
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(old, True)

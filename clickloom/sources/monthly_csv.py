@@ -11,7 +11,7 @@ import re
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,14 +31,32 @@ def batch_label(month: str) -> str:
     return f"{match[1]}-{MONTH_LABELS[int(match[2]) - 1]}"
 
 
+def month_of(label: str) -> str:
+    """``2019-Oct`` to ``2019-10``."""
+    year, name = label.split("-")
+    return f"{year}-{MONTH_LABELS.index(name) + 1:02d}"
+
+
+def month_in(path: str) -> str | None:
+    """The month of the batch that a file is or belongs to, by the names in its path; None if it is not of a batch."""
+    for name in reversed(path.split("/")):
+        match = re.search(BATCH_NAME, name)
+        if match:
+            return month_of(match[1])
+    return None
+
+
 def find_batches(spark: SparkSession, folder: str, months: Sequence[str] | None = None) -> dict[str, str]:
-    """Month to path, oldest first, of the wanted months (all if None) that ``folder`` has. Absent ones are left out."""
-    paths = {}
+    """Month to path, oldest first, of the wanted months (all if None) that ``folder`` has. Absent ones are left out; two
+    entries of one month are an error."""
+    paths: dict[str, str] = {}
     for name in files.names(spark, folder):
         match = re.search(BATCH_NAME, name)
         if match:
-            year, label = match[1].split("-")
-            paths[f"{year}-{MONTH_LABELS.index(label) + 1:02d}"] = f"{folder}/{name}"
+            month = month_of(match[1])
+            if month in paths:
+                raise ValueError(f"two batches of {month}: {paths[month]} and {folder}/{name}")
+            paths[month] = f"{folder}/{name}"
     if months is not None:
         wanted = {batch_label(month): month for month in months}
         paths = {month: path for month, path in paths.items() if month in wanted.values()}
@@ -69,12 +87,25 @@ def csv_options(quoted_newlines: bool) -> dict[str, str]:
     }
 
 
-def restore_empty(rows: DataFrame) -> DataFrame:
-    """Raw events of a scan with :func:`csv_options`, with quoted empty texts as such."""
-    texts = {f.name for f in RAW.fields if isinstance(f.dataType, T.StringType)}
-    return rows.select(
-        *[F.when(F.col(c) == EMPTY_TEXT, "").otherwise(F.col(c)).alias(c) if c in texts else c for c in rows.columns]
-    )
+def as_texts() -> T.StructType:
+    """The columns of a batch as they are parsed: all as text, so that a quoted empty number can be told from a bad one."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in RAW.fields])
+
+
+def typed(rows: DataFrame) -> DataFrame:
+    """Raw events of a scan with :func:`csv_options`: quoted empty texts as such, quoted empty numbers and times as NULL.
+    A value that does not fit its type fails the job."""
+
+    def value(field: T.StructField) -> Column:
+        text = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            return F.when(text == EMPTY_TEXT, "").otherwise(text)
+        given = F.when(text != EMPTY_TEXT, text)
+        cast = given.try_cast(field.dataType)
+        bad = F.raise_error(F.concat(F.lit(f"MALFORMED value of {field.name}: "), given)).cast(field.dataType)
+        return F.when(given.isNotNull() & cast.isNull(), bad).otherwise(cast)
+
+    return rows.select(*[value(field).alias(field.name) for field in RAW.fields])
 
 
 def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None = None) -> DataFrame:
@@ -85,7 +116,7 @@ def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None
     prepare(spark)
     if quoted_newlines is None:
         quoted_newlines = has_quoted_newlines(spark, paths)
-    return restore_empty(spark.read.schema(RAW).options(**csv_options(quoted_newlines)).csv(list(paths)))
+    return typed(spark.read.schema(as_texts()).options(**csv_options(quoted_newlines)).csv(list(paths)))
 
 
 def landed_path(landing: str, month: str) -> str:

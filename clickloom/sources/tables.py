@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,41 @@ from pyspark.sql import types as T
 
 from clickloom import schemas as S
 from clickloom.operators.merge import upsert
-from clickloom.session import prepare, work_folder
+from clickloom.session import Scratch, prepare, sized
 from clickloom.sources import files
 
 
 #: Folder value of the rows without a day.
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: Spark names all files of one write job by one id.
+WRITE_ID = r"part-[0-9]+-([0-9a-f-]{36})"
+
+
+class Written(NamedTuple):
+    """What one write put into one day (None: rows without a day) of a table."""
+
+    write_id: str
+    day: date | None
+    size: int
+
+
+class Days(NamedTuple):
+    """A range of days and the bytes stored for them."""
+
+    first: date
+    last: date
+    size: int
+
+
+def day_ranges(sizes: Iterable[tuple[date, int]], max_bytes: int) -> list[Days]:
+    """Days in order as ranges of at most ``max_bytes`` of stored data, or of one day."""
+    ranges: list[Days] = []
+    for day, size in sizes:
+        if ranges and ranges[-1].size + size <= max_bytes:
+            ranges[-1] = Days(ranges[-1].first, day, ranges[-1].size + size)
+        else:
+            ranges.append(Days(day, day, size))
+    return ranges
 
 
 @dataclass(frozen=True)
@@ -40,16 +71,21 @@ TABLES = {
     "dim_users": Layout(S.DIM_USERS),
     "product_latest": Layout(S.PRODUCT_LATEST),
     "finished_months": Layout(S.FINISHED_MONTHS),
+    "dim_writes": Layout(S.DIM_WRITES),
     "fct_events": Layout(S.FCT_EVENTS, "event_at_utc", ("product_sk", "user_sk")),
 }
 
 
 class Warehouse:
-    """The pipeline's tables. Schemas are declared, never inferred, so reading costs no footer scan."""
+    """The pipeline's tables. Schemas are declared, never inferred, so reading costs no footer scan.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``views`` leads the names under which tables are registered for SQL, so that several warehouses fit in one session.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, views: str = ""):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
+        self.views = views
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -71,26 +107,36 @@ class Warehouse:
         days = [entry.removeprefix(prefix) for entry in entries if entry.startswith(prefix)]
         return sorted(date.fromisoformat(day) for day in days if day != NULL_DAY)
 
-    def day_slices(self, name: str, max_bytes: int, first: date = date.min) -> list[tuple[date, date]]:
+    def day_slices(self, name: str, max_bytes: int, first: date = date.min) -> list[Days]:
         """The days from ``first`` on as ranges of at most ``max_bytes`` of stored data, or of one day, in order."""
-        ranges: list[tuple[date, date]] = []
-        filled = 0
-        for day in self.days(name):
-            if day < first:
-                continue
-            size = files.stored_bytes(self.spark, self.day_path(name, day))
-            if ranges and filled + size <= max_bytes:
-                ranges[-1], filled = (ranges[-1][0], day), filled + size
-            else:
-                ranges.append((day, day))
-                filled = size
-        return ranges
-
-    def read_days(self, name: str, first: date, last: date = date.max) -> DataFrame:
-        """The rows of some days; the folders of all other days are not even listed."""
-        folders = [self.day_path(name, day) for day in self.days(name) if first <= day <= last]
+        days = [day for day in self.days(name) if day >= first]
+        return day_ranges(((d, files.stored_bytes(self.spark, self.day_path(name, d))) for d in days), max_bytes)
+
+    def writes(self, name: str) -> list[Written]:
+        """What each write put into each day, from the files' names and sizes; files are listed, not opened."""
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        found = listed.option("pathGlobFilter", "part-*").load(self.path(name))
+        day = F.regexp_extract("path", f"/{S.DAY}=([^/]*)/", 1).alias("day")
+        sizes = found.groupBy(F.regexp_extract("path", WRITE_ID, 1).alias("write_id"), day)
+        rows = sizes.agg(F.sum("length").alias("size")).collect()
+        days = {row.day: None if row.day in ("", NULL_DAY) else date.fromisoformat(row.day) for row in rows}
+        return [Written(row.write_id, days[row.day], row["size"]) for row in rows]
+
+    def read_days(
+        self, name: str, first: date, last: date = date.max, write_ids: Iterable[str] | None = None
+    ) -> DataFrame:
+        """The rows of some days, of some writes only if these are given; the folders of other days are not listed."""
+        return self.read_each_day(name, [day for day in self.days(name) if first <= day <= last], write_ids)
+
+    def read_each_day(self, name: str, days: Iterable[date], write_ids: Iterable[str] | None = None) -> DataFrame:
+        folders = [self.day_path(name, day) for day in days]
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[name].stored)
         reader = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name))
-        return reader.parquet(*folders) if folders else self.spark.createDataFrame([], TABLES[name].stored)
+        rows = reader.parquet(*folders)
+        if write_ids is not None:
+            rows = rows.where(F.regexp_extract("_metadata.file_name", WRITE_ID, 1).isin(*write_ids))
+        return rows
 
     def stored_bytes(self, name: str) -> int:
         return files.stored_bytes(self.spark, self.path(name))
@@ -101,8 +147,10 @@ class Warehouse:
             self._write(name, self.spark.createDataFrame([], TABLES[name].schema), "append")
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
-        """Replace all rows; creates the table if need be."""
-        self._write(name, rows, "overwrite", overwrite_days="static")
+        """Replace all rows; creates the table if need be. Readers find the old rows until the new ones are complete."""
+        new = f"{self.path(name)}.new"
+        self._write(name, rows, "overwrite", path=new)
+        files.swap(self.spark, new, self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add the rows as they are, without looking for copies."""
@@ -114,18 +162,18 @@ class Warehouse:
         The delta is stored first, as the merge reads it several times. Each day is replaced when the job commits; the
         commit of several days is not one atomic step, so after a crash there repeat the run with a look-back.
         """
-        held = work_folder(self.spark, f"{name}-delta")
-        self._with_day(name, delta).write.parquet(held)
-        stored = self.spark.read.schema(TABLES[name].stored).parquet(held)
-        first, last = stored.agg(F.min(S.DAY), F.max(S.DAY)).first()
-        if first is not None:
-            merged = upsert(self.read_days(name, first, last), stored, key)
-            self._write(name, merged, "overwrite", overwrite_days="dynamic")
+        with Scratch(self.spark) as scratch:
+            stored, size = scratch.hold(f"{name}-delta", self._with_day(name, delta))
+            with sized(self.spark, size):
+                days = [row[0] for row in stored.select(S.DAY).distinct().orderBy(S.DAY).collect()]
+                if days:
+                    merged = upsert(self.read_each_day(name, set(days) & set(self.days(name))), stored, key)
+                    self._write(name, merged, "overwrite", overwrite_days="dynamic")
 
     def register(self, *names: str) -> None:
         """Make tables queryable by name in SQL."""
         for name in names:
-            self.read(name).createOrReplaceTempView(name)
+            self.read(name).createOrReplaceTempView(f"{self.views}{name}")
 
     def publish(self, database: str) -> None:
         """Declare the tables in the session's catalog, over the same files, with the days that exist now."""
@@ -146,7 +194,9 @@ class Warehouse:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema.fields]
         return rows.select(*columns, F.to_date(layout.day_of).alias(S.DAY)) if layout.day_of else rows.select(*columns)
 
-    def _write(self, name: str, rows: DataFrame, mode: str, overwrite_days: str = "static") -> None:
+    def _write(
+        self, name: str, rows: DataFrame, mode: str, overwrite_days: str = "static", path: str | None = None
+    ) -> None:
         layout = TABLES[name]
         rows = self._with_day(name, rows)
         if layout.day_of:
@@ -156,4 +206,4 @@ class Warehouse:
         writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite_days)
         if layout.day_of:
             writer = writer.partitionBy(S.DAY)
-        writer.parquet(self.path(name))
+        writer.parquet(path or self.path(name))

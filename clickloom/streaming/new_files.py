@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from clickloom.plans import pipeline
-from clickloom.schemas import RAW
+from clickloom.schemas import FINISHED_MONTHS, RAW
+from clickloom.session import Scratch
 from clickloom.sources import monthly_csv
 from clickloom.sources.tables import Warehouse
 
@@ -26,7 +27,9 @@ def process_new_files(
     most ``max_files`` at a time; their contents are scanned like any monthly batch, so large files are split where
     that is safe. A batch is parsed once and kept as parquet for its several uses. If it fails it is run again from
     its start: its rows may then be in the history twice, which staging undoes, and every other step gives the same
-    result again. ``source`` may hold files or folders of part files.
+    result again. ``source`` may hold files or folders of part files. Files that are not part of a monthly batch by
+    their names are left alone, and so are those of months that a pipeline run has taken in; the months taken in here
+    are recorded for such runs.
     """
     spark = warehouse.spark
     warehouse.create("ecom_events")
@@ -41,11 +44,18 @@ def process_new_files(
     batches = []
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in batch.collect()]
-        rows = monthly_csv.scan(spark, paths, quoted_newlines).select(*RAW.names)
-        added, _ = pipeline.hold(spark, "new-files", rows)
-        warehouse.append("ecom_events", added)
-        pipeline.transform(warehouse, lookback_days, added=added)
+        months = {row.path: monthly_csv.month_in(row.path) for row in batch.collect()}
+        taken = pipeline.taken_months(warehouse, "run")
+        paths = [path for path, month in months.items() if month is not None and month not in taken]
+        if not paths:
+            return
+        with Scratch(spark) as scratch:
+            added, _ = scratch.hold("new-files", monthly_csv.scan(spark, paths, quoted_newlines).select(*RAW.names))
+            warehouse.append("ecom_events", added)
+        pipeline.transform(warehouse, lookback_days)
+        new = {months[path] for path in paths} - pipeline.taken_months(warehouse, "stream")
+        rows = spark.createDataFrame([(month, "stream") for month in sorted(new)], FINISHED_MONTHS)
+        warehouse.append("finished_months", rows)
         batches.append(batch_id)
 
     query = (

@@ -5,13 +5,13 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom import registry
+from clickloom import registry, session
 from clickloom.operators import quality
 from clickloom.operators.merge import DuplicateMergeKey, upsert
-from clickloom.plans import pipeline
+from clickloom.plans import pipeline, reports
 from clickloom.plans.staging import stg_ecom_events
 from clickloom.schemas import DAY
-from clickloom.session import cluster_conf, shuffle_partitions
+from clickloom.session import cluster_conf, shuffle_partitions, sized
 from clickloom.sources import files, monthly_csv, samples
 from clickloom.sources.tables import Warehouse
 
@@ -104,6 +104,158 @@ def test_large_dimensions_give_the_same_fact(spark, samples_folder):
     assert {"-1"} < {r.product_sk for r in small}
 
 
+def test_an_irregular_dimension_gives_the_same_fact_at_any_size(warehouse, raw_rows):
+    """A second row for one key, with another surrogate key: the join's two rows, whichever way the size suggests."""
+    raw = raw_rows({"product_id": 1, "user_id": 1}, {"product_id": 1, "user_id": 2})
+    pipeline.build_dims(warehouse, raw)
+    spark = warehouse.spark
+    warehouse.append("dim_users", spark.createDataFrame([(1, "other-key")], "user_id bigint, user_sk string"))
+    small = Counter(map(tuple, pipeline.link_events(warehouse, raw).collect()))
+    large = Counter(map(tuple, pipeline.link_events(warehouse, raw, broadcast_limit=0).collect()))
+    assert small == large and sum(small.values()) == 3
+
+
+def test_dimensions_take_in_what_others_wrote(warehouse, raw_rows, tmp_path):
+    """A run, a batch that was only ingested, a plain append, and another run: no fact row lacks its members."""
+    source, landing = str(tmp_path / "in"), str(tmp_path / "landing")
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD)
+    pipeline.run_pipeline(warehouse, source, landing)
+    csv(tmp_path / "in", "2019-Nov.csv", GOOD.replace("2019-10", "2019-11").replace("5773203", "8"))
+    pipeline.ingest(warehouse, source, landing, ["2019-11"])
+    warehouse.append("ecom_events", raw_rows({"event_time": "2019-11-20 00:00:00", "user_id": 77}))
+    csv(tmp_path / "in", "2019-Dec.csv", GOOD.replace("2019-10", "2019-12"))
+    checks = pipeline.run_pipeline(warehouse, source, landing, ["2019-12"])
+    assert checks.agg(F.sum("failures")).first()[0] == 0
+    assert pipeline.check(warehouse).agg(F.sum("failures")).first()[0] == 0
+    assert warehouse.read("fct_events").count() == 4
+    assert {r.product_id for r in warehouse.read("dim_products").collect()} == {1, 8, 5773203}
+
+
+def test_rebuild_by_slices_equals_one_pass(spark, warehouse, samples_folder):
+    raw = samples.clickstream(spark, samples_folder)
+    for n in range(3):
+        warehouse.append("ecom_events", raw.where(f"coalesce(day(event_time), 0) % 3 = {n}"))
+    tables = []
+    for slice_bytes in (pipeline.SLICE_BYTES, 4 * warehouse.stored_bytes("ecom_events") // 30):
+        pipeline.update_dims(warehouse, full_refresh=True, slice_bytes=slice_bytes)
+        tables.append({n: sorted(map(str, warehouse.read(n).collect())) for n in pipeline.DIMENSIONS})
+    assert tables[0] == tables[1] and all(tables[0].values())
+    assert warehouse.read("dim_writes").distinct().count() == 3
+
+
+def test_only_new_writes_are_read_for_the_dimensions(warehouse, raw_rows, monkeypatch):
+    load(warehouse, raw_rows({"event_time": "2020-01-01 00:00:00"}, {"event_time": "2020-01-02 00:00:00"}))
+    seen = []
+    extend = pipeline.extend_dims
+    monkeypatch.setattr(pipeline, "extend_dims", lambda w, rows: (seen.append(rows.count()), extend(w, rows)))
+    load(warehouse, raw_rows({"event_time": "2020-01-02 05:00:00"}))
+    load(warehouse, raw_rows())
+    assert seen == [1]
+    pipeline.transform(warehouse)
+    assert seen == [1]
+
+
+def test_shuffles_are_sized_by_the_data(spark, warehouse, raw_rows):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    with sized(spark, 10 * 1024**4):
+        assert int(spark.conf.get(key)) > 20_000
+    with sized(spark, 1000**6):
+        assert int(spark.conf.get(key)) == 40_000
+    assert spark.conf.get(key, None) == before
+    used = []
+    append = Warehouse.append
+    load(warehouse, raw_rows({"event_time": "2020-01-01 00:00:00"}))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Warehouse, "append", lambda *a: (used.append(spark.conf.get(key, None)), append(*a)))
+        load(warehouse, raw_rows({"event_time": "2020-01-02 00:00:00"}))
+    assert sum(u is not None for u in used) >= 3
+
+
+def test_merge_rewrites_the_days_of_the_delta_only(spark, warehouse, raw_rows):
+    load(warehouse, raw_rows(*[{"event_time": f"2020-01-{d:02d} 01:00:00"} for d in range(1, 8)]))
+
+    def names():
+        return {d: files.names(spark, warehouse.day_path("fct_events", d)) for d in warehouse.days("fct_events")}
+
+    before = names()
+    delta = warehouse.read("fct_events").where(f"day({DAY}) IN (1, 7)").withColumn("event_price", F.lit(1.0))
+    warehouse.merge("fct_events", delta, "event_sk")
+    after = names()
+    assert [d.day for d in before if before[d] != after[d]] == [1, 7]
+    prices = {r.event_at_utc.day: r.event_price for r in warehouse.read("fct_events").collect()}
+    assert prices == {d: 1.0 if d in (1, 7) else 5.0 for d in range(1, 8)}
+
+
+def test_a_broken_replacement_leaves_the_table(spark, warehouse, raw_rows):
+    load(warehouse, raw_rows({}))
+    bad = raw_rows({}).select("*", F.raise_error(F.lit("lost")).alias("boom")).where("boom IS NULL")
+    with pytest.raises(Exception, match="lost"):
+        warehouse.overwrite("ecom_events", bad)
+    assert warehouse.exists("ecom_events") and warehouse.read("ecom_events").count() == 1
+    warehouse.overwrite("ecom_events", warehouse.read("ecom_events").drop(DAY).unionByName(raw_rows({})))
+    assert warehouse.read("ecom_events").count() == 2
+
+
+def test_work_folders_are_deleted(spark, warehouse, raw_rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "work"))
+    (tmp_path / "work").mkdir()
+    load(warehouse, raw_rows({}))
+    load(warehouse, raw_rows({"price": 1.0}), lookback_days=3)
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_write", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            load(warehouse, raw_rows({"price": 2.0}))
+    assert list((tmp_path / "work").iterdir()) == []
+
+
+def test_two_warehouses_keep_their_views_apart(spark, raw_rows, tmp_path):
+    for name, n in (("a", 1), ("b", 2)):
+        load(Warehouse(spark, str(tmp_path / name), views=f"{name}_"), raw_rows(*[{"user_session": str(i)} for i in range(n)]))
+    assert [spark.table(f"{name}_stg_ecom_events").count() for name in "ab"] == [1, 2]
+
+
+def test_a_session_without_ansi_casts_is_refused(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    with pytest.raises(ValueError, match="ansi"):
+        Warehouse(other, str(tmp_path))
+    assert other.conf.get("spark.sql.ansi.enabled") == "false"
+
+
+def test_two_batches_of_a_month_are_an_error(spark, tmp_path):
+    csv(tmp_path / "in", "2024-Jan.csv", GOOD)
+    csv(tmp_path / "in" / "batch=2024-Jan.csv", "part-0.csv", GOOD)
+    with pytest.raises(ValueError, match="two batches of 2024-01"):
+        monthly_csv.find_batches(spark, str(tmp_path / "in"))
+
+
+def test_long_leads_do_not_overflow_the_funnel(spark):
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 10000 as string) AS user_session_id", "if(id < 10000, 'view', 'purchase') AS event_type",
+        "if(id < 10000, timestamp'1970-01-01 00:00:00', timestamp'2970-01-01 00:00:00') AS event_at_utc",
+    )
+    row = reports.purchase_funnel(rows).first()
+    assert row.n_view == 10_000 and 3.15e10 < row.avg_seconds_view_to_purchase < 3.16e10
+
+
+def test_checks_by_slices_and_of_new_days(spark, warehouse, samples_folder):
+    raw = samples.clickstream(spark, samples_folder)
+    load(warehouse, raw)
+    bad = warehouse.read("fct_events").where(f"day({DAY}) IN (3, 20)").drop(DAY)
+    held = spark.createDataFrame(bad.collect(), bad.schema)
+    warehouse.append("fct_events", held.withColumn("product_sk", F.lit("-1")))
+    whole = sorted(map(tuple, pipeline.check(warehouse).collect()))
+    size = warehouse.stored_bytes("fct_events") // 5
+    assert len(warehouse.day_slices("fct_events", size)) > 3
+    assert sorted(map(tuple, pipeline.check(warehouse, slice_bytes=size).collect())) == whole
+    failures = {(r[0], r[1], r[2]): r[3] for r in whole}
+    assert failures["fct_events", "event_sk", "unique"] == failures["fct_events", "product_sk", "relationships"] > 0
+    late = warehouse.days("fct_events")[10]
+    some = {(r[0], r[1], r[2]): r[3] for r in map(tuple, pipeline.check(warehouse, late).collect())}
+    assert 0 < some["fct_events", "event_sk", "unique"] < failures["fct_events", "event_sk", "unique"]
+
+
 def test_latest_candidates_do_not_change_the_products(spark, samples_folder, tmp_path):
     raw = samples.order_lines(spark, samples_folder)
     tables = []
@@ -125,7 +277,7 @@ def test_extended_dimensions_equal_rebuilt_ones(spark, samples_folder, tmp_path)
     grown = Warehouse(spark, str(tmp_path / "grown"))
     for part in [*parts, parts[0]]:
         grown.append("ecom_events", part)
-        pipeline.transform(grown, added=part)
+        pipeline.transform(grown)
     built = Warehouse(spark, str(tmp_path / "built"))
     pipeline.build_dims(built, grown.read("ecom_events"))
     for name in (*pipeline.DIMENSIONS, "product_latest"):
@@ -268,6 +420,14 @@ def test_csv_values(spark, tmp_path, warehouse):
     assert row.category_code is None and int(row.category_id) == 1487580005134238553
 
 
+def test_quoted_empty_fields(spark, tmp_path):
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session".split(",")
+    csv(tmp_path / "in", "2019-Oct.csv", ",".join(['""'] * len(header)), GOOD)
+    row = monthly_csv.scan(spark, [str(tmp_path / "in/2019-Oct.csv")]).where("user_id IS NULL").first()
+    texts = {"event_type", "category_code", "brand", "user_session"}
+    assert {name: row[name] for name in header} == {name: "" if name in texts else None for name in header}
+
+
 def test_quoted_newline_is_one_row(spark, tmp_path):
     csv(tmp_path / "in", "2019-Oct.csv", GOOD.replace("runail", '"ru\nnail"'), GOOD.replace("runail", '"a ""b"" c"'))
     paths = [str(tmp_path / "in/2019-Oct.csv")]
@@ -396,6 +556,30 @@ def test_stream_takes_each_file_once(spark, tmp_path, warehouse):
     assert len(facts(warehouse)) == 3
 
 
+def test_stream_leaves_other_files_alone(spark, tmp_path, warehouse):
+    from clickloom.streaming.new_files import process_new_files
+
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD)
+    (tmp_path / "in/notes.txt").write_text("no batch")
+    assert process_new_files(warehouse, str(tmp_path / "in"), str(tmp_path / "seen")) == 1
+    assert warehouse.read("ecom_events").count() == 1
+
+
+def test_stream_and_run_share_one_book(spark, tmp_path, warehouse):
+    from clickloom.streaming.new_files import process_new_files
+
+    source, landing, seen = (str(tmp_path / name) for name in ("in", "landing", "seen"))
+    csv(tmp_path / "in", "2019-Oct.csv", GOOD)
+    process_new_files(warehouse, source, seen)
+    pipeline.run_pipeline(warehouse, source, landing)
+    assert warehouse.read("ecom_events").count() == 1
+    csv(tmp_path / "in", "2019-Nov.csv", GOOD.replace("2019-10", "2019-11"))
+    pipeline.run_pipeline(warehouse, source, landing)
+    process_new_files(warehouse, source, seen)
+    assert warehouse.read("ecom_events").count() == 2
+    assert pipeline.taken_months(warehouse) == {"2019-10", "2019-11"}
+
+
 def test_stream_repeats_a_failed_batch(spark, tmp_path, warehouse, monkeypatch):
     from clickloom.streaming.new_files import process_new_files
 
