@@ -43,4 +43,63 @@ SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
 FROM keyed k LEFT JOIN often o ON o.key = k.key GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op5_embedding_tiles": EMBEDDINGS, "op7_line_dedup": LINES}
+SECRETS = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+patterns(kind_no, kind, pattern, grp, least) AS (
+    VALUES
+    (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+    (1, 'access', 'AKIA[A-Z0-9]+', 0, 18),
+    (2, 'hex', '[0-9a-f]+', 0, 16),
+    (3, 'bare', '[A-Za-z0-9_+/=-]+', 0, 20)
+),
+found AS (
+    SELECT doc_id, owner, kind_no, kind, least, regexp_extract_all(t, pattern) AS matches,
+           CASE grp WHEN 2 THEN regexp_extract_all(t, pattern, 2) ELSE regexp_extract_all(t, pattern) END AS vals,
+           string_split_regex(t, pattern) AS gaps
+    FROM docs, patterns
+),
+each AS (
+    SELECT doc_id, owner, kind_no, kind, least, unnest(matches) AS match, unnest(vals) AS val,
+           unnest(gaps[1:len(matches)]) AS gap, generate_subscripts(matches, 1) AS place
+    FROM found
+),
+placed AS (
+    SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY doc_id, kind_no ORDER BY place) - length(match) AS start
+    FROM each
+),
+tokens AS (
+    SELECT doc_id, owner, kind_no, kind, least, start,
+           CASE kind WHEN 'bare' THEN regexp_extract(match, '^[A-Za-z0-9_+-]+') ELSE val END AS val,
+           start + CASE kind WHEN 'bare' THEN length(regexp_extract(match, '^[A-Za-z0-9_+-]+')) ELSE length(match) END AS stop
+    FROM placed
+),
+long AS (
+    SELECT * FROM tokens WHERE length(val) >= least AND (kind <> 'bare' OR
+        regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]'))
+),
+clear AS (
+    SELECT * FROM long a WHERE kind <> 'bare' OR NOT EXISTS (
+        SELECT 1 FROM long b WHERE b.doc_id = a.doc_id AND b.kind <> 'bare' AND b.start < a.stop AND a.start < b.stop
+    )
+),
+owners AS (SELECT val, count(DISTINCT owner) AS owners FROM clear GROUP BY val),
+judged AS (
+    SELECT c.*, o.owners >= 3 AS copied,
+           o.owners < 3 AND len(list_distinct(string_split(c.val, ''))) >= 8 AND NOT regexp_matches(
+               c.val, '(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567') AS live
+    FROM clear c JOIN owners o ON o.val = c.val
+),
+spans AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM judged
+          WHERE kind <> 'bare' OR live)
+SELECT d.doc_id,
+       count(*) FILTER (kind = 'assign') AS n_assign,
+       count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, kind_no) FILTER (kind <> 'bare'), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, kind_no), '') AS spans,
+       count(*) FILTER (live) AS n_live,
+       count(*) FILTER (copied) AS n_copied
+FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_secret_ownership": SECRETS, "op5_embedding_tiles": EMBEDDINGS, "op7_line_dedup": LINES}

@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words a worker remembers before it starts anew, and the longest word that is remembered.
-REMEMBERED_WORDS, LONGEST_WORD = 600_000, 40
+#: Words of a generation that a worker remembers, and the longest word that is remembered.
+REMEMBERED_WORDS, LONGEST_WORD = 300_000, 40
 
 #: The last code point of the plain characters.
 PLAIN_END = 0x17F
@@ -53,16 +53,24 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 class Words(dict):
-    """Word to ids; asks the library for words not met yet."""
+    """Word to ids; asks the library for words not met lately.
+
+    Words are kept in two generations. When the young one is full it becomes the old one, whose words come back if they
+    are met again; so frequent words stay and the memory is bounded.
+    """
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= LONGEST_WORD:
             if len(self) >= REMEMBERED_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
