@@ -1,8 +1,7 @@
 """Monthly CSV batches: find them, scan them, land them.
 
 A batch is named ``YYYY-Mon.csv`` and is one file or a folder of part files with a header each. It is landed once, as
-parquet, under ``month=YYYY-MM``: a quoted line break keeps a CSV file from being split, so the one serial read of such
-a file happens at landing and everything later reads splittable files.
+parquet, under ``month=YYYY-MM``; putting records together that span lines happens there, and everything later reads typed columns.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ import re
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,11 +62,51 @@ def find_batches(spark: SparkSession, folder: str, months: Sequence[str] | None
     return dict(sorted(paths.items()))
 
 
+def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The lines of files with their number of quotes, the block of the file that they begin in, and their order there."""
+    read = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(list(paths))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return read.select(*place, F.monotonically_increasing_id().alias("n"), "value", quotes.alias("quotes"))
+
+
 def has_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> bool:
     """Whether any record may span lines: some line then has an odd number of quotes. Reads the files in parallel."""
-    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not lines.where(quotes % 2 == 1).isEmpty()
+    return not lines_of(spark, paths).where("quotes % 2 = 1").isEmpty()
+
+
+def records_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The records of files whose records may span lines, without the header lines; the files are split all the same.
+
+    A line begins a record if the quotes before it in its file are even. Each block counts its quotes; the counts of the
+    blocks before it, a row per block, tell how a block begins. A record whose lines lie in two blocks is put together
+    from both, like any other.
+    """
+    lines = lines_of(spark, paths)
+    in_block = Window.partitionBy("file", "block").orderBy("n")
+    until = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+    blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("in_it"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("in_it").over(earlier), F.lit(0)).alias("before"))
+    begins = (F.coalesce(F.sum("quotes").over(until), F.lit(0)) + F.col("before")) % 2 == 0
+    marked = lines.join(blocks, ["file", "block"]).withColumn("begins", begins.cast("int"))
+    marked = marked.withColumn("record", F.sum("begins").over(in_block))
+    # Lines at the start of a block that begin no record belong to the last record of the blocks before it.
+    last = marked.groupBy("file", "block").agg(F.max("record").alias("records"))
+    began = F.when(F.col("records") > 0, F.struct(F.col("block").alias("began_in"), F.col("records").alias("last")))
+    last = last.select("file", "block", F.last(began, ignorenulls=True).over(earlier).alias("open"))
+    placed = marked.join(last, ["file", "block"])
+    own = F.col("record") > 0
+    keys = [
+        "file",
+        F.when(own, F.col("block")).otherwise(F.col("open.began_in")).alias("began_in"),
+        F.when(own, F.col("record")).otherwise(F.col("open.last")).alias("number"),
+    ]
+    together = placed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("block", "n", "value"))).alias("lines"))
+    is_header = (F.col("began_in") == 0) & (F.col("number") == 1)
+    text = F.regexp_replace(F.array_join(F.col("lines.value"), "\n"), "\r$", "")
+    return together.where(~is_header).select(text.alias("record")).where("record <> ''")
 
 
 #: Stands for a quoted empty text while a file is parsed; an empty field without quotes is NULL.
@@ -111,12 +150,17 @@ def typed(rows: DataFrame) -> DataFrame:
 def scan(spark: SparkSession, paths: Sequence[str], quoted_newlines: bool | None = None) -> DataFrame:
     """Raw events of CSV files.
 
-    ``quoted_newlines`` None looks first whether records span lines and lets Spark split the files if none does.
+    ``quoted_newlines`` None looks first whether records span lines. If none does, Spark splits the files and parses
+    them line by line; otherwise the records are put together first, also from split files.
     """
     prepare(spark)
     if quoted_newlines is None:
         quoted_newlines = has_quoted_newlines(spark, paths)
-    return typed(spark.read.schema(as_texts()).options(**csv_options(quoted_newlines)).csv(list(paths)))
+    options = csv_options(quoted_newlines)
+    if not quoted_newlines:
+        return typed(spark.read.schema(as_texts()).options(**options).csv(list(paths)))
+    parsed = F.from_csv("record", ", ".join(f"{name} string" for name in RAW.names), options)
+    return typed(records_of(spark, paths).select(parsed.alias("r")).select("r.*"))
 
 
 def landed_path(landing: str, month: str) -> str:

@@ -435,6 +435,22 @@ def test_quoted_newline_is_one_row(spark, tmp_path):
     assert sorted(r.brand for r in monthly_csv.scan(spark, paths).collect()) == ['a "b" c', "ru\nnail"]
 
 
+def test_files_with_quoted_newlines_are_split(spark, tmp_path):
+    brands = [f"b{n}\n" * (n % 4) + '"' * (n % 3) + f'\r\n,"{n}' for n in range(3000)]
+    long = "x\n" * 100_000
+    records = [GOOD.replace("runail", '"' + b.replace('"', '""') + '"').replace("5773203", str(n)) for n, b in enumerate([*brands, long])]
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+    for name, end in (("2019-Oct.csv", "\n"), ("2019-Nov.csv", "\r\n")):
+        (tmp_path / name).write_bytes(end.join([header, *records, "", ""]).encode())
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        try:
+            assert monthly_csv.lines_of(spark, [str(tmp_path / name)]).rdd.getNumPartitions() > 8
+            rows = monthly_csv.scan(spark, [str(tmp_path / name)]).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert {r.product_id: r.brand for r in rows} == dict(enumerate([*brands, long])) and len(rows) == len(records)
+
+
 def test_files_without_quoted_newlines_can_be_split(spark, tmp_path):
     csv(tmp_path / "in", "2019-Oct.csv", *[GOOD.replace("runail", '"a ""b"", c"')] * 2000)
     paths = [str(tmp_path / "in/2019-Oct.csv")]
