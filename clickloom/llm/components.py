@@ -31,7 +31,6 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
         above = now.select(F.col("b").alias("a"), F.col("a").alias("above")).join(least, "a")
         now = _pairs(above.select(F.col("above").alias("a"), F.col("least").alias("b")))
-        now = stored(spark, "links", now)
         # Smaller neighbours: all neighbours below a node, and the node, go to the least of them.
         least = now.groupBy("a").agg(F.min("b").alias("least"))
         below = now.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))

@@ -204,7 +204,7 @@ class LineIndex:
     @property
     def counts(self) -> DataFrame:
         """``line, documents``: in how many documents each line is."""
-        return self._read("counts", "line binary, documents bigint")
+        return self._read("counts", "line binary, before bigint, documents bigint").drop("before").where("documents > 0")
 
     @property
     def filters(self) -> DataFrame:
@@ -224,9 +224,8 @@ class LineIndex:
         before = F.coalesce("documents", F.lit(0))
         after = F.greatest(before + F.coalesce("change", F.lit(0)), F.lit(0))
         new = f"{self.folder}/{self.version + 1}"
-        both.select("line", before.alias("before"), after.alias("documents")).write.parquet(f"{new}/changes")
-        changes = self.spark.read.parquet(f"{new}/changes")
-        changes.where("documents > 0").select("line", "documents").write.parquet(f"{new}/counts")
+        both.select("line", before.alias("before"), after.alias("documents")).write.parquet(f"{new}/counts")
+        changes = self.spark.read.parquet(f"{new}/counts")
         limit = F.lit(self.min_documents)
         keys = changes.where((F.col("before") >= limit) | (F.col("documents") >= limit)).select(
             shard_column("line", self.shards).alias("shard"),

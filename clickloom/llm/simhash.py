@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickloom.llm.common import batch_of, map_rows, partitions, slices, stored, whole_text
+from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, partitions, stored, whole_text
 from clickloom.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
@@ -59,10 +60,25 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS, seed: int = SEED)
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprint_rows(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
-    for doc_ids, texts in slices(batches):
-        values = np.asarray([fingerprint(text, shingle_words) for text in texts], np.uint64)
-        yield batch_of([doc_ids, values.view(np.int64)], [pa.int64(), pa.int64()], ["doc_id", "point"])
+POINT = "simhash_point"
+
+
+def fingerprint_rows(batches: Iterator[pa.RecordBatch], shingle_words: int, passed: list[str]) -> Iterator[pa.RecordBatch]:
+    """The passed columns with the fingerprint of the text, as a signed number."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(start, SLICE_ROWS)
+            values = [fingerprint(text or "", shingle_words) for text in part["text"].to_pylist()]
+            points = pa.array(np.asarray(values, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(part[name] for name in passed), points], [*passed, POINT])
+
+
+def with_points(documents: DataFrame, passed: list[str], shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """The passed columns and each document's fingerprint."""
+    fields = [documents.schema[name] for name in passed]
+    schema = T.StructType([*fields, T.StructField(POINT, T.LongType())])
+    rows = documents.select(*dict.fromkeys([*passed, "text"]))
+    return map_rows(rows, partial(fingerprint_rows, shingle_words=shingle_words, passed=passed), schema)
 
 
 @lru_cache(maxsize=1)
@@ -257,23 +273,26 @@ def point_links(points: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS)
     return map_rows(by_anchor, partial(compare, max_bits=max_bits), "a bigint, b bigint").distinct()
 
 
+def point_groups(points: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS) -> DataFrame:
+    """``simhash_point, component`` of distinct points; the component is one of its points."""
+    found = components(point_links(points.select(F.col(POINT).alias("point")), max_bits, parts))
+    joined = points.join(found, points[POINT] == found["node"], "left")
+    return joined.select(points["*"], F.coalesce("component", POINT).alias("component"))
+
+
 def near_duplicates(
     documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, parts: int = PARTS
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of each document; the component is the smallest id reachable by links."""
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    prints = map_rows(rows, partial(fingerprint_rows, shingle_words=shingle_words), "doc_id bigint, point bigint")
-    prints = stored(spark, "fingerprints", prints)
-    points = stored(spark, "points", prints.groupBy("point").agg(F.min("doc_id").alias("first_id")))
-    groups = components(point_links(points.select("point"), max_bits, parts))
-    with_group = points.join(groups, points["point"] == groups["node"], "left").select(
-        "point", "first_id", F.coalesce("component", "point").alias("grp")
-    )
-    smallest = with_group.groupBy("grp").agg(F.min("first_id").alias("component_id"))
-    named = with_group.join(smallest, "grp").select("point", "component_id")
-    return prints.join(named, "point").select(
-        "doc_id", F.lower(F.lpad(F.hex("point"), 16, "0")).alias("fingerprint"), "component_id"
+    prints = stored(spark, "fingerprints", with_points(rows, ["doc_id"], shingle_words))
+    points = stored(spark, "points", prints.groupBy(POINT).agg(F.min("doc_id").alias("first_id")))
+    groups = point_groups(points, max_bits, parts)
+    smallest = groups.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = groups.join(smallest, "component").select(POINT, "component_id")
+    return prints.join(named, POINT).select(
+        "doc_id", F.lower(F.lpad(F.hex(POINT), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
@@ -284,10 +303,10 @@ def deduplicate(
 
     All columns are passed through. The documents are stored once with a row id, which tells repeated rows apart.
     """
-    row_id = "simhash_row_id"
-    rows = stored(documents.sparkSession, "rows", documents.withColumn(row_id, F.monotonically_increasing_id()))
-    groups = near_duplicates(rows.select(F.col(row_id).alias("doc_id"), "text"), shingle_words, max_bits, parts)
-    groups = groups.select(F.col("doc_id").alias(row_id), "component_id")
+    spark, row_id = documents.sparkSession, "simhash_row_id"
+    pointed = with_points(documents, documents.columns, shingle_words)
+    rows = stored(spark, "rows", pointed.withColumn(row_id, F.monotonically_increasing_id()))
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row_id))
-    named = rows.select(row_id, "doc_id").join(groups, row_id).groupBy("component_id").agg(F.min(order).alias("kept"))
-    return rows.join(named.select(f"kept.{row_id}"), row_id, "left_semi").drop(row_id)
+    points = stored(spark, "points", rows.groupBy(POINT).agg(F.min(order).alias("first")))
+    kept = point_groups(points, max_bits, parts).groupBy("component").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(f"first.{row_id}"), row_id, "left_semi").select(*documents.columns)
