@@ -16,9 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.plans import pipeline, reports
+from clickloom.session import cluster_conf
 from clickloom.sources.tables import Warehouse
 from clickloom.streaming.new_files import process_new_files
 
+#: Jobs ask for shuffle partitions by their own data; a session starts with as many as this part of a slice needs.
+SLICES_IN_FLIGHT = 64
+
 REPORTS = {
     "top-products": lambda w: reports.top_products(w.read("fct_events"), w.read("dim_products")),
     "funnel": lambda w: reports.purchase_funnel(w.read("fct_events")),
@@ -62,7 +66,10 @@ def passed(checks: DataFrame) -> bool:
 
 def main(arguments: Sequence[str]) -> int:
     options = parse(arguments)
-    spark = SparkSession.builder.appName("clickloom").getOrCreate()
+    builder = SparkSession.builder.appName("clickloom")
+    if SparkSession.getActiveSession() is None:  # the settings of a session that is there are its owner's
+        builder = builder.config(map=cluster_conf(pipeline.SLICE_BYTES // SLICES_IN_FLIGHT))
+    spark = builder.getOrCreate()
     warehouse = Warehouse(spark, options.warehouse)
     if options.command == "report":
         REPORTS[options.name](warehouse).show(100, truncate=False)

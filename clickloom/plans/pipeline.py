@@ -144,6 +144,8 @@ def update_dims(warehouse: Warehouse, full_refresh: bool = False, slice_bytes: i
             build_dims(warehouse, events) if rebuild and days is slices[0] else extend_dims(warehouse, events)
     if rebuild and not slices:
         build_dims(warehouse, events_of(warehouse, []))
+    for name in ("dim_datetime", "dim_users", "dim_writes"):
+        warehouse.compact(name)
     if write_ids:
         warehouse.append("dim_writes", warehouse.spark.createDataFrame([(w,) for w in write_ids], schema))
 
@@ -231,7 +233,7 @@ def build_fact(
         warehouse.append("fct_events", rows)
 
     def merge(rows: DataFrame) -> None:
-        warehouse.merge("fct_events", rows, "event_sk")
+        warehouse.merge("fct_events", rows, "event_sk", one_per_key=True)  # staging leaves one row per key
 
     if mark is None:
         slices = warehouse.day_slices("ecom_events", slice_bytes)

@@ -19,6 +19,8 @@ from clickloom.sources import files
 
 #: Folder value of the rows without a day.
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: Size that files of a compacted table have, and files more than needed that are left alone.
+FILE_BYTES, SPARE_FILES = 128 * 1024 * 1024, 64
 #: Spark names all files of one write job by one id.
 WRITE_ID = r"part-[0-9]+-([0-9a-f-]{36})"
 
@@ -156,7 +158,14 @@ class Warehouse:
         """Add the rows as they are, without looking for copies."""
         self._write(name, rows, "append")
 
-    def merge(self, name: str, delta: DataFrame, key: str) -> None:
+    def compact(self, name: str, file_bytes: int = FILE_BYTES, spare_files: int = SPARE_FILES) -> None:
+        """Rewrite a table without days if appends have left it in many more files than its size needs."""
+        parts = [entry for entry in files.names(self.spark, self.path(name)) if entry.startswith("part-")]
+        needed = -(-self.stored_bytes(name) // file_bytes)
+        if len(parts) > 2 * needed + spare_files:
+            self.overwrite(name, self.read(name).repartition(max(1, needed)))
+
+    def merge(self, name: str, delta: DataFrame, key: str, one_per_key: bool = False) -> None:
         """Upsert by ``key``, rewriting only the days of ``delta``.
 
         The delta is stored first, as the merge reads it several times. Each day is replaced when the job commits; the
@@ -167,7 +176,7 @@ class Warehouse:
             with sized(self.spark, size):
                 days = [row[0] for row in stored.select(S.DAY).distinct().orderBy(S.DAY).collect()]
                 if days:
-                    merged = upsert(self.read_each_day(name, set(days) & set(self.days(name))), stored, key)
+                    merged = upsert(self.read_each_day(name, set(days) & set(self.days(name))), stored, key, one_per_key)
                     self._write(name, merged, "overwrite", overwrite_days="dynamic")
 
     def register(self, *names: str) -> None:

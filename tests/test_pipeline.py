@@ -187,6 +187,17 @@ def test_merge_rewrites_the_days_of_the_delta_only(spark, warehouse, raw_rows):
     assert prices == {d: 1.0 if d in (1, 7) else 5.0 for d in range(1, 8)}
 
 
+def test_many_small_files_are_compacted(spark, warehouse):
+    users = spark.range(200).selectExpr("id AS user_id", "cast(id AS string) AS user_sk").repartition(100)
+    warehouse.append("dim_users", users)
+    warehouse.compact("dim_users")
+    names = files.names(spark, warehouse.path("dim_users"))
+    assert sum(name.startswith("part-") for name in names) == 1 and warehouse.read("dim_users").count() == 200
+    warehouse.append("dim_users", users.limit(0))
+    warehouse.compact("dim_users")
+    assert set(names) <= set(files.names(spark, warehouse.path("dim_users")))
+
+
 def test_a_broken_replacement_leaves_the_table(spark, warehouse, raw_rows):
     load(warehouse, raw_rows({}))
     bad = raw_rows({}).select("*", F.raise_error(F.lit("lost")).alias("boom")).where("boom IS NULL")
