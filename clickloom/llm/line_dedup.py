@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, slices, whole_text
+from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, slices, stored, whole_text
 from clickloom.session import work_folder
 
 MIN_DOCUMENTS = 10
@@ -40,6 +40,10 @@ SALTS = 16
 SLOTS, MAX_MOVES = 4, 500
 
 
+#: Columns beside the documents' own while these are joined.
+TEXT_KEY, DROPPED = "line_dedup_text_key", "line_dedup_dropped"
+
+
 def line_key(line: bytes) -> bytes | None:
     """128 bits that stand for a line's key; none for a blank line."""
     key = line.strip(WHITE_SPACE).lower()
@@ -167,7 +171,7 @@ def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for start in range(0, batch.num_rows, SLICE_ROWS):
             part = batch.slice(start, SLICE_ROWS)
             texts, n_lines, n_dropped = [], [], []
-            for text, dropped in zip(part["text"].to_pylist(), part["dropped"].to_pylist(), strict=True):
+            for text, dropped in zip(part["text"].to_pylist(), part[DROPPED].to_pylist(), strict=True):
                 n_lines.append(text.count("\n") + 1)
                 if dropped:
                     gone, lines = set(dropped), text.encode().split(b"\n")
@@ -177,7 +181,7 @@ def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 else:
                     n_dropped.append(0)
                 texts.append(text)
-            columns = {name: part[name] for name in part.schema.names if name not in ("dropped", "text_key")}
+            columns = {name: part[name] for name in part.schema.names if name not in (DROPPED, TEXT_KEY)}
             columns["text"] = pa.array(texts, part.schema.field("text").type)
             columns |= {"n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
@@ -271,11 +275,13 @@ class LineIndex:
         """The documents without the lines that are in at least ``min_documents`` of the documents added."""
         names = [name for name in documents.columns if name not in ("n_lines", "n_dropped")]
         rows = documents.select(*[whole_text().alias("text") if name == "text" else F.col(name) for name in names])
-        keyed = rows.withColumn("text_key", F.unhex(F.md5("text")))
-        joined = keyed.join(self.dropped_lines(documents), "text_key", "left")
-        fields = [field for field in rows.schema.fields]
+        keyed = rows.withColumn(TEXT_KEY, F.unhex(F.md5("text")))
+        # A table of its own, so that the join's two sides come straight from their shuffles and copies of one text,
+        # however many, can be split over tasks.
+        dropped = self.dropped_lines(documents).withColumnsRenamed({"text_key": TEXT_KEY, "dropped": DROPPED})
+        joined = keyed.join(stored(self.spark, "dropped-lines", dropped), TEXT_KEY, "left")
         counts = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
-        kept = map_rows(joined, without_lines, T.StructType([*fields, *counts]))
+        kept = map_rows(joined, without_lines, T.StructType([*rows.schema.fields, *counts]))
         if "n_chars" in names:
             kept = kept.withColumn("n_chars", F.length("text").cast(rows.schema["n_chars"].dataType))
         return kept

@@ -26,8 +26,8 @@ from clickloom.llm.expressions import let, numbers
 KEY = "clickloom"
 ROUNDS = 10
 
-#: The patterns of the kinds, tried in this order at each place. Runs are possessive and start at their first character,
-#: so that no text takes more than linear time.
+#: The patterns of the kinds, tried in this order at each place. Runs are possessive or bounded and start at their first
+#: character, so that no text takes more than linear time.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
@@ -35,10 +35,14 @@ PATTERNS = {
     "ssn": r"(?<![A-Za-z0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
     "phone": (
-        r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[\x20.-]?)?+(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])"
-        r"|(?<![A-Za-z0-9+])\+[0-9]{8,15}(?![0-9A-Za-z])"
+        r"(?<![A-Za-z0-9+])(?:\+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}"
+        r"|\+[0-9]{1,3}(?:[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,5})){2,6}"
+        r"|(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z]|[.-][0-9])"
+    ),
+    "card": (
+        r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})"
+        r"(?![A-Za-z0-9])"
     ),
-    "card": r"(?<![A-Za-z0-9])[0-9](?:[\x20-]?[0-9]){12,18}+(?![A-Za-z0-9])",
 }
 ANY = "|".join(p.replace(r"\1", r"\k<mark>").replace("([./])", "(?<mark>[./])") for p in PATTERNS.values())
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -170,7 +174,7 @@ def new_phone(text: Column, key: str) -> Column:
 
             return F.concat(F.slice(digits, F.lit(1), kept), let(rest, new))
 
-        return F.when(count.between(7, 15), put_digits(text, let(kept, with_kept)))
+        return F.when(count.between(8, 15), put_digits(text, let(kept, with_kept)))
 
     return let(digits_of(text), changed)
 
@@ -206,7 +210,7 @@ def new_ssn(text: Column, key: str) -> Column:
 def new_date(text: Column, key: str) -> Column:
     """Permutes the days of the date's hundred years, of which there are 36,524 = 92 * 397 or 36,525 = 75 * 487."""
     iso = F.substring(text, 5, 1) == "-"
-    mark, order = F.substring(text, 3, 1), None
+    mark = F.substring(text, 3, 1)
     first, second, year = F.substring(text, 1, 2), F.substring(text, 4, 2), F.substring(text, 7, 4)
     # With slashes the month is first if that is a date; with dots the day is first.
     month_first = F.try_to_date(F.concat_ws("-", year, first, second), "yyyy-MM-dd")
@@ -347,8 +351,9 @@ def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
     # Most texts have neither a digit nor an @, and are only looked through once.
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     new = F.transform(found, lambda match: replacement(match, key))
-    held = rows.withColumn("replaced", F.when(F.size(found) > 0, new))
-    kinds = F.col("replaced")
+    replaced = "pseudonyms_replaced"
+    held = rows.withColumn(replaced, F.when(F.size(found) > 0, new))
+    kinds = F.col(replaced)
     between = F.split("text", ANY, -1)
     pieces = F.zip_with(between, kinds["new"], lambda gap, value: F.concat(gap, F.coalesce(value, F.lit(""))))
     changed = F.when(kinds.isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))

@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, label string, count bigint"
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, label string, count bigint,"
+    " dropped string, text_key string, replaced string, line string, point bigint, salt int, key string, owner string"
+)
+CLASHING = ["c"] * 3 + ["d", 5, 6, "k", "o"]
 
 
 def sentence(rng: random.Random, words: int) -> str:
@@ -30,12 +34,12 @@ def awkward_texts() -> list[str | None]:
 
 def documents(spark: SparkSession, texts: list[str | None], first: int = 0) -> DataFrame:
     """Documents with extra columns whose names clash with those the operators make."""
-    rows = [(first + n, t, None if n % 5 == 0 else "en", f"src{n % 3}", len(t or ""), "x", n) for n, t in enumerate(texts)]
+    rows = [(first + n, t, None if n % 5 == 0 else "en", f"src{n % 3}", len(t or ""), "x", n, *CLASHING) for n, t in enumerate(texts)]
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def odd_rows(spark: SparkSession, texts: list[str | None]) -> DataFrame:
     """The documents with a null id and repeated rows besides."""
     plain = documents(spark, texts)
-    extra = [(None, "no id", None, None, None, None, None), (3, texts[3], "en", "src0", 1, "x", 3)]
+    extra = [(None, "no id", *[None] * 13), (3, texts[3], "en", "src0", 1, "x", 3, *CLASHING)]
     return plain.unionByName(spark.createDataFrame([*extra, extra[1]], SCHEMA)).repartition(3)

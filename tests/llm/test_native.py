@@ -163,9 +163,14 @@ def new_texts(spark, texts):
 
 def test_pseudonyms_keep_the_format(spark):
     values = {
-        "4785 3805-92391139": lambda v: luhn(v) and v[4] == " " and v[9] == "-" and v[0] == "4",
+        "4785 3805 9239 1139": lambda v: luhn(v) and re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4}", v),
+        "4785-3805-9239-1139": lambda v: luhn(v) and re.fullmatch(r"4\d{3}-\d{4}-\d{4}-\d{4}", v),
         "378282246310005": lambda v: luhn(v) and len(v) == 15,
         "+1 (743) 555-3824": lambda v: re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", v),
+        "(212) 555-0199": lambda v: re.fullmatch(r"\([2-9]\d\d\) [2-9]\d\d-\d{4}", v),
+        "212-555-0199": lambda v: re.fullmatch(r"[2-9]\d\d-[2-9]\d\d-\d{4}", v),
+        "+49 30 1234567": lambda v: re.fullmatch(r"\+49 \d\d \d{7}", v),
+        "+33 1 42 68 53 00": lambda v: re.fullmatch(r"\+33 \d \d\d \d\d \d\d \d\d", v),
         "+4930123456789": lambda v: re.fullmatch(r"\+4\d{12}", v),
         "227.5.221.1": lambda v: all(int(p) < 256 and str(int(p)) == p for p in v.split(".")),
         "123-45-6789": lambda v: re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", v),
@@ -187,8 +192,17 @@ def test_pseudonyms_keep_the_format(spark):
         assert len(found) == 1 and found != {value} and valid(found.pop()), value
 
 
+def test_values_next_to_each_other(spark):
+    phone, card, ip, mail = "+1 (743) 555-3824", "4785380592391139", "227.5.221.1", "el.00@mail8.example.com"
+    alone = dict(zip((phone, card, ip, mail), new_texts(spark, [phone, card, ip, mail])))
+    texts = [f"{a} {b}" for a in alone for b in alone] + [f"{a}, {b}." for a in alone for b in alone]
+    pairs = [f"{alone[a]} {alone[b]}" for a in alone for b in alone]
+    pairs += [f"{alone[a]}, {alone[b]}." for a in alone for b in alone]
+    assert new_texts(spark, texts) == pairs
+
+
 def test_what_does_not_check_out_stays(spark):
-    texts = ["4785380592391138", "999.1.1.1", "000-12-3456", "666-12-3456", "2023-02-30", "31.02.2000", "12345", "v1.2.3"]
+    texts = ["4785380592391138", "999.1.1.1", "000-12-3456", "666-12-3456", "2023-02-30", "31.02.2000", "12345", "v1.2.3", "100 200 3000", "+1 2 3"]
     texts += ["GB83 WEST 1234 5698 7654 32", "x4785380592391139", "a@b", "@", "1 2 3", "clean text, no data.", "", "24be64439e"]
     assert new_texts(spark, [*texts, None]) == [*texts, ""]
 
