@@ -29,7 +29,7 @@ from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, stored, whole_t
 FIT_DOCUMENTS, FIT_LINES = 2000, 2000
 FIT_STEPS, RATE, DECAY = 400, 0.08, 1e-3
 #: Bytes of text that are measured at a time; one document is never cut.
-MEASURED_BYTES = 1 << 20
+MEASURED_BYTES = 1 << 18
 GOOD_FROM = 0.3
 
 #: Kinds of bytes: other, small letter, capital, digit, space, mark of a sentence, other mark; bytes of characters beyond

@@ -8,6 +8,7 @@ any other text, and any text that may hold a special token, goes to the library
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -15,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words of a generation that a worker remembers, and the longest word that is remembered.
-REMEMBERED_WORDS, LONGEST_WORD = 300_000, 40
+REMEMBERED_WORDS, LONGEST_WORD = 150_000, 40
 
 #: The last code point of the plain characters.
 PLAIN_END = 0x17F
@@ -49,7 +50,7 @@ def tokenizer(path: str):
 
 def as_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return np.asarray(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Words(dict):
@@ -84,7 +85,14 @@ class Encoder:
         self.whole = lambda text: as_bytes(library.encode(text, add_special_tokens=False).ids)
         self.lower = library.normalizer is not None
         self.find = re.compile(WORD_PATTERN if self.lower else BYTE_PATTERN).findall
-        self.words = Words(self.whole)
+        #: Merges a word as the vocabulary has it, a character for each byte.
+        self.merge = library.model.tokenize
+        self.characters = {byte: char for char, byte in byte_characters().items()}
+        self.words = Words(self.word)
+
+    def word(self, word: str) -> bytes:
+        """The ids of one word of the pattern."""
+        return as_bytes([token.id for token in self.merge(word.encode().decode("latin-1").translate(self.characters))])
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
