@@ -188,7 +188,8 @@ def near_duplicates(
     groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "key")
     grouped = points.select("key", "first_id", "copies").join(groups, "key", "left").join(links, "key", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "key"))
-    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # A table of its own: the join's two sides come straight from their shuffles, so a large component can be split.
+    smallest = stored(spark, "smallest", grouped.groupBy("component").agg(F.min("first_id").alias("component_id")))
     n_links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links")
     named = grouped.join(smallest, "component").select("key", n_links, "component_id")
     linked = vectors.select("vec_id", "key").join(named, "key").select("vec_id", "n_links", "component_id")

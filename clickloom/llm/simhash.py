@@ -289,7 +289,8 @@ def near_duplicates(
     prints = stored(spark, "fingerprints", with_points(rows, ["doc_id"], shingle_words))
     points = stored(spark, "points", prints.groupBy(POINT).agg(F.min("doc_id").alias("first_id")))
     groups = point_groups(points, max_bits, parts)
-    smallest = groups.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # A table of its own: the join's two sides come straight from their shuffles, so a large component can be split.
+    smallest = stored(spark, "smallest", groups.groupBy("component").agg(F.min("first_id").alias("component_id")))
     named = groups.join(smallest, "component").select(POINT, "component_id")
     return prints.join(named, POINT).select(
         "doc_id", F.lower(F.lpad(F.hex(POINT), 16, "0")).alias("fingerprint"), "component_id"
