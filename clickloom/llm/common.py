@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 import clickloom
 from clickloom.session import work_folder
+from clickloom.sources import files
 
 #: Rows of a batch that are turned into Python objects at a time.
 SLICE_ROWS = 256
@@ -29,13 +30,27 @@ def whole_text(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Intermediate tables that this process has written and not yet deleted.
+KEPT: list[str] = []
+
+
 def stored(spark: SparkSession, label: str, rows: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back, so that no plan runs it twice."""
+    """Write an intermediate result to the shared folder and read it back, so that no plan runs it twice.
+
+    Results are read later, by whoever asked for them, so their tables stay until :func:`clear`.
+    """
     path = work_folder(spark, f"llm-{label}")
+    KEPT.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete the intermediate tables of all results so far. Call it once these have been written somewhere."""
+    while KEPT:
+        files.delete(spark, KEPT.pop())
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions that the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

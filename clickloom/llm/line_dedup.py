@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, slices, stored, whole_text
+from clickloom.llm.common import KEPT, SLICE_ROWS, batch_of, map_rows, slices, stored, whole_text
 from clickloom.session import work_folder
 
 MIN_DOCUMENTS = 10
@@ -199,6 +199,7 @@ class LineIndex:
     def __post_init__(self) -> None:
         self.folder = work_folder(self.spark, "llm-line-index")
         self.version = 0
+        KEPT.append(self.folder)
 
     def _read(self, name: str, schema: str) -> DataFrame:
         if not self.version:

@@ -10,7 +10,8 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
-from clickloom.llm import line_dedup, queries, simhash
+from clickloom import session
+from clickloom.llm import common, line_dedup, queries, simhash
 from clickloom.llm.common import documents
 from tests.compare import differences
 from tests.llm import cases
@@ -70,6 +71,16 @@ def test_stages_take_awkward_documents(spark, tmp_path):
         assert corpus_pipeline.run(spark, folder).isEmpty() == empty
 
 
+def test_intermediate_tables_can_be_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "work"))
+    (tmp_path / "work").mkdir()
+    rows = line_dedup.dedup_lines(simhash.deduplicate(cases.documents(spark, ["a b c d", "a b c d", "e"])))
+    rows.write.parquet(str(tmp_path / "result"))
+    assert list((tmp_path / "work").iterdir())
+    common.clear(spark)
+    assert list((tmp_path / "work").iterdir()) == [] and spark.read.parquet(str(tmp_path / "result")).count() == 2
+
+
 def test_one_of_each_group_stays(spark):
     texts = ["a b c d", "a b c d", None, "", "e f g h", "e f g h"]
     rows = cases.documents(spark, texts)
