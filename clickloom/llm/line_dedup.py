@@ -189,7 +189,11 @@ def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @dataclass
 class LineIndex:
-    """Counts and filters of the lines of the documents added so far, in the shared folder; a new version each time."""
+    """Counts and filters of the lines of the documents added so far, in the shared folder; a new version each time.
+
+    A filter takes about two bytes for each line that has reached the limit, and a block holds one shard's filter at
+    least; so take as many ``shards`` as keep that below ``block_bytes``. 64 do for 1.8 billion such lines.
+    """
 
     spark: SparkSession
     min_documents: int = MIN_DOCUMENTS

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, stored, whole_text
 
 #: Labelled documents of each class that the field is fitted on, and the most lines that one of them may have.
-FIT_DOCUMENTS, FIT_LINES = 2000, 2000
+FIT_DOCUMENTS, FIT_LINES = 2000, 400
 FIT_STEPS, RATE, DECAY = 400, 0.08, 1e-3
 #: Bytes of text that are measured at a time; one document is never cut.
 MEASURED_BYTES = 1 << 18
