@@ -126,7 +126,10 @@ def synced(part: str) -> tuple[int, int] | None:
         reach *= 4
 
 
-FOUND = "kind int, key binary, place int, ids binary, chunk binary, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+FOUND = (
+    "kind int, key binary, place int, ids binary, chunk binary, n_tokens bigint, ids_sha256 string,"
+    " decoded_sha256 string"
+)
 FOUND_NAMES = [part.split()[0] for part in FOUND.split(", ")]
 FOUND_TYPES = [pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.string()]
 #: Kinds of rows: a text's whole result, an owner's chunk, a part of a text that refers to chunks.

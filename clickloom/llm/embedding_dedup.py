@@ -51,7 +51,10 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
-TILE = "label string, width int, tile int, tiles int, keys binary, copies binary, data binary, steps binary, scales binary, errors binary"
+TILE = (
+    "label string, width int, tile int, tiles int, keys binary, copies binary, data binary, steps binary,"
+    " scales binary, errors binary"
+)
 TILE_NAMES = [part.split()[0] for part in TILE.split(", ")]
 
 

@@ -192,7 +192,8 @@ def with_next(rows: DataFrame, derived: dict[str, Column]) -> DataFrame:
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.lit(last_range)).alias("range")
     firsts = firsts.select("id_key", before)
     leading = ranged.drop("range").join(F.broadcast(firsts), "id_key").groupBy("range", "id_key")
-    guards = leading.agg(F.min("text").alias("text")).select(F.lit(None).cast("bigint").alias("doc_id"), "text", "id_key", "range")
+    no_id = F.lit(None).cast("bigint").alias("doc_id")
+    guards = leading.agg(F.min("text").alias("text")).select(no_id, "text", "id_key", "range")
     both = ranged.withColumn("guard", F.lit(False)).unionByName(guards.withColumn("guard", F.lit(True)))
     order = Window.partitionBy("range").orderBy("guard", "id_key", "text")
     followed = both.withColumns(derived).withColumns({f"next_{v}": F.lead(v).over(order) for v in ("text", *derived)})
@@ -210,7 +211,8 @@ def edited_fingerprints(documents: DataFrame, width: int = SHINGLE_WORDS) -> Dat
     n_chars = F.length("text")
     quarter = F.floor(n_chars / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n_chars - quarter), F.substring("next_text", F.lit(1), quarter))
-    texts = printed.select("doc_id", n_chars.cast("bigint").alias("n_chars"), "packed", "next_packed", edited.alias("edited"))
+    n_chars = n_chars.cast("bigint").alias("n_chars")
+    texts = printed.select("doc_id", n_chars, "packed", "next_packed", edited.alias("edited"))
     twice = texts.select(
         "doc_id", "n_chars", "packed", "next_packed",
         F.sha2("edited", 256).alias("edited_sha256"),

@@ -313,7 +313,11 @@ def with_spaces(form: Column, text: Column) -> Column:
     """The text with spaces where ``form`` has them."""
     each = lambda state, c: F.when(
         c == " ", F.struct(F.concat(state["t"], c).alias("t"), state["n"].alias("n"))
-    ).otherwise(F.struct(F.concat(state["t"], F.substring(text, state["n"], F.lit(1))).alias("t"), (state["n"] + 1).alias("n")))
+    ).otherwise(
+        F.struct(
+            F.concat(state["t"], F.substring(text, state["n"], F.lit(1))).alias("t"), (state["n"] + 1).alias("n")
+        )
+    )
     start = F.struct(F.lit("").alias("t"), F.lit(1).alias("n"))
     return F.aggregate(characters(form), start, each, lambda state: state["t"])
 
@@ -357,9 +361,13 @@ def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
     between = F.split("text", ANY, -1)
     pieces = F.zip_with(between, kinds["new"], lambda gap, value: F.concat(gap, F.coalesce(value, F.lit(""))))
     changed = F.when(kinds.isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))
-    number = lambda kind: F.coalesce(F.size(F.filter(kinds, lambda r: r["kind"] == kind)), F.lit(0)).cast("bigint")
+
+    def number(kind: str) -> Column:
+        of_kind = F.filter(kinds, lambda replaced: replaced["kind"] == kind)
+        return F.coalesce(F.size(of_kind), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+
     out = [changed.alias("text") if name == "text" else F.col(name) for name in names]
-    done = held.select(*out, *[number(kind).alias(f"n_{kind}") for kind in PATTERNS])
+    done = held.select(*out, *map(number, PATTERNS))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.length("text").cast(rows.schema["n_chars"].dataType))
     return done

@@ -205,7 +205,8 @@ def fit(document: np.ndarray, values: np.ndarray, good: np.ndarray) -> Field:
     for turn in range(1, FIT_STEPS + 1):
         chain = theta[WIDTH:].reshape(2, 2)
         probability, pairs = marginals(scaled @ theta[:WIDTH], document, chain)
-        slope = np.r_[((labels - probability) * weight) @ scaled, (seen - (pairs * weight[:, None, None]).sum(axis=0)).ravel()]
+        expected = (pairs * weight[:, None, None]).sum(axis=0)
+        slope = np.r_[((labels - probability) * weight) @ scaled, (seen - expected).ravel()]
         slope -= DECAY * theta
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
         theta = theta + RATE * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8)

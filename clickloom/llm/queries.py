@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chunk_reuse, embedding_dedup, fingerprints, line_dedup, packing, pseudonyms, quality, secrets, simhash, token_output
+from clickloom.llm import (
+    chunk_reuse,
+    embedding_dedup,
+    fingerprints,
+    line_dedup,
+    packing,
+    pseudonyms,
+    quality,
+    secrets,
+    simhash,
+    token_output,
+)
 from clickloom.llm.common import documents
 from clickloom.llm.oracle import ORACLE
 

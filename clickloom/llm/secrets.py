@@ -100,7 +100,8 @@ def spans(scanned: DataFrame) -> DataFrame:
     ends = F.max(F.when(base, F.col("end"))).over(in_row.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     starts = F.min(F.when(base, F.col("start"))).over(in_row.rangeBetween(Window.currentRow, Window.unboundedFollowing))
     found = found.withColumns({"ends": ends, "starts": starts})
-    clear = F.coalesce(F.col("ends") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("starts") >= F.col("end"), F.lit(True))
+    clear = F.coalesce(F.col("ends") <= F.col("start"), F.lit(True))
+    clear = clear & F.coalesce(F.col("starts") >= F.col("end"), F.lit(True))
     return found.where(base | clear).drop("ends", "starts")
 
 
