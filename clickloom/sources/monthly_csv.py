@@ -1,7 +1,8 @@
 """Monthly CSV batches: find them, scan them, land them.
 
 A batch is named ``YYYY-Mon.csv`` and is one file or a folder of part files with a header each. It is landed once, as
-parquet, under ``month=YYYY-MM``; putting records together that span lines happens there, and everything later reads typed columns.
+parquet, under ``month=YYYY-MM``; putting records together that span lines happens there, and everything later reads
+typed columns.
 """
 
 from __future__ import annotations
