@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data, by keyed Feistel permutations.
 
 Found and checked: mail addresses, IPv4 addresses, IBANs (check digits), US social security numbers (ranges), dates (the
-calendar), phone numbers (length and area code) and payment card numbers (check digit). What does not check out stays.
+calendar), phone numbers (length and area code) and payment card numbers (check digit). What does not check out stays, and
+hides nothing: every place of a text is looked at, also those inside of something that did not check out.
 A value is a vector of places, each with its own number of choices. A Feistel network over the vector's two halves
 permutes all values of one format among themselves under a key: equal values get equal pseudonyms in all documents,
 different values of one format different ones, and only the key leads back. Separators stay where they are, check digits
@@ -26,17 +27,21 @@ from clickloom.llm.expressions import let, numbers
 KEY = "clickloom"
 ROUNDS = 10
 
+#: A phone number's next digit; written out below, as a look back takes no repeated group.
+DIGIT = r"[\x20.()-]{0,3}[0-9]"
 #: The patterns of the kinds, tried in this order at each place. Runs are possessive or bounded and start at their first
 #: character, so that no text takes more than linear time.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    # Takes what follows in capitals and digits too; new_iban finds the end.
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
+    # International numbers take up to 15 digits of what follows too; apart() finds the end.
     "phone": (
         r"(?<![A-Za-z0-9+])(?:\+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}"
-        r"|\+[0-9]{1,3}(?:[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,5})){2,6}"
+        rf"|\+[0-9]{{1,3}}(?:[\x20.-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,5}})){{2,6}}(?<=\+[0-9]{DIGIT * 7}{f'(?:{DIGIT})?' * 7}\)?)"
         r"|(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z]|[.-][0-9])"
     ),
     "card": (
@@ -45,6 +50,23 @@ PATTERNS = {
     ),
 }
 ANY = "|".join(p.replace(r"\1", r"\k<mark>").replace("([./])", "(?<mark>[./])") for p in PATTERNS.values())
+#: Each place where a value may start, of no width itself, so that one that does not check out takes nothing away.
+START = f"(?=({ANY}))"
+#: Starts that are worked off before their texts are joined.
+STARTS = 256
+#: More characters than a phone number has.
+PHONE_CHARACTERS = 64
+#: Characters of an IBAN by country, where the registry lists one.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: A range of a hundred years starts in each year that ends in these digits.
 CENTURY_FROM = 30
@@ -291,12 +313,33 @@ def iban_rest(text: Column) -> Column:
     return F.aggregate(characters(text), F.lit(0), step)
 
 
+def iban_in(run: Column) -> Column:
+    """The start of a run of groups that checks out, or null: that of the country's length, else the longest one."""
+    lengths = F.create_map(*[F.lit(part) for item in IBAN_LENGTHS.items() for part in item])
+
+    def chosen(run: Column) -> Column:
+        ends = F.filter(
+            F.sequence(F.length(run), F.lit(15), F.lit(-1)), lambda end: F.substr(run, end + 1, F.lit(1)).isin("", " ")
+        )
+        starts = F.transform(ends, lambda end: F.substr(run, F.lit(1), end))
+        plain = lambda start: F.replace(start, F.lit(" "), F.lit(""))
+        own = F.try_element_at(lengths, F.substr(run, F.lit(1), F.lit(2)))
+        first = F.filter(starts, lambda start: F.length(plain(start)) == own)
+
+        def valid(start: Column) -> Column:
+            turned = lambda p: F.concat(F.substr(p, F.lit(5)), F.substring(p, 1, 4))
+            return let(plain(start), lambda p: F.length(p).between(15, 34) & (iban_rest(turned(p)) == 1))
+
+        return let(starts, lambda _: F.get(F.filter(F.concat(first, starts), valid), F.lit(0)))
+
+    return F.when(F.length(run) >= 15, let(run, chosen))
+
+
 def new_iban(text: Column, key: str) -> Column:
     """Country and format stay, the account is permuted, the check digits are made anew."""
 
     def changed(plain: Column) -> Column:
         country, account = F.substring(plain, 1, 2), F.substr(plain, F.lit(5))
-        valid = F.length(plain).between(15, 34) & (iban_rest(F.concat(account, F.substring(plain, 1, 4))) == 1)
         tag = F.concat_ws("|", F.lit(f"{key}|iban"), country)
 
         def written(account: Column) -> Column:
@@ -304,9 +347,9 @@ def new_iban(text: Column, key: str) -> Column:
             new = F.concat(country, F.lpad(check.cast("string"), 2, "0"), account)
             return with_spaces(text, new)
 
-        return F.when(valid, let(permuted_characters(account, tag), written))
+        return let(permuted_characters(account, tag), written)
 
-    return let(F.replace(text, F.lit(" "), F.lit("")), changed)
+    return F.when(text.isNotNull(), let(F.replace(text, F.lit(" "), F.lit("")), changed))
 
 
 def with_spaces(form: Column, text: Column) -> Column:
@@ -333,17 +376,106 @@ NEW: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
-def named(kind: str) -> Callable[[Column], Column]:
-    return lambda new: F.when(new.isNotNull(), F.struct(new.alias("new"), F.lit(kind).alias("kind")))
+def named(kind: str, key: str) -> Callable[[Column], Column]:
+    def written(value: Column) -> Column:
+        parts = F.length(value).alias("length"), F.lit(kind).alias("kind")
+        return let(NEW[kind](value, key), lambda new: F.when(new.isNotNull(), F.struct(new.alias("new"), *parts)))
+
+    return written
 
 
 def replacement(found: Column, key: str) -> Column:
-    """What stands for a match, and its kind: the first kind whose pattern it has and for which it checks out."""
+    """What stands for a match, for how many of its characters, and its kind: the first one whose pattern it has and for
+    which it checks out. Null if there is none."""
     tried = []
     for kind, pattern in PATTERNS.items():
-        new = F.when(found.rlike(f"^(?:{pattern})$"), NEW[kind](found, key))
-        tried.append(let(new, named(kind)))
-    return F.coalesce(*tried, F.struct(found.alias("new"), F.lit(None).cast("string").alias("kind")))
+        value = iban_in(found) if kind == "iban" else found
+        tried.append(F.when(found.rlike(f"^(?:{pattern})$"), let(value, named(kind, key))))
+    return F.coalesce(*tried)
+
+
+def apart(cells: Column, key: str) -> Column:
+    """The values of the matches, where an international phone number does not take in what checks out by itself.
+
+    It ends before such a value if it has eight digits by then, and gives way to one that goes on behind it. A card number
+    does so by chance now and then, and counts for the latter only next to the country code.
+    """
+    digits = lambda text: F.length(F.regexp_replace(text, "[^0-9]", ""))
+
+    def later(cell: Column, at: Column) -> Column:
+        run = cell["found"]
+
+        def step(held: Column, other: Column) -> Column:
+            value = other["value"]
+            one = F.struct(
+                held["at"].alias("at"),
+                digits(F.substr(run, F.lit(1), held["at"])).alias("digits"),
+                (held["at"] + value["length"] > F.length(run)).alias("beyond"),
+                value["kind"].alias("kind"),
+            )
+            inside = (held["at"] < F.length(run)) & value["kind"].isNotNull()
+            rows = F.when(inside, F.concat(held["inside"], F.array(one))).otherwise(held["inside"])
+            return F.struct((held["at"] + F.length(other["piece"])).alias("at"), rows.alias("inside"))
+
+        none = F.array().cast("array<struct<at:int,digits:int,beyond:boolean,kind:string>>")
+        start = F.struct(F.length(cell["piece"]).alias("at"), none.alias("inside"))
+        near = F.slice(cells, at + 2, F.lit(PHONE_CHARACTERS))
+        return F.when(F.length(cell["piece"]) < F.length(run), F.aggregate(near, start, step, lambda held: held["inside"]))
+
+    def settled(cell: Column, inside: Column) -> Column:
+        over = F.exists(
+            inside, lambda o: o["beyond"] & (o["digits"] < 8) & ((o["kind"] != "card") | (o["digits"] <= 3))
+        )
+        end = F.get(F.filter(inside, lambda o: o["digits"] >= 8), F.lit(0))["at"]
+        short = F.regexp_replace(F.substr(cell["found"], F.lit(1), end), "[^0-9)]+$", "")
+        cut = F.when(end.isNotNull(), let(short, named("phone", key)))
+        return F.when(~F.coalesce(over, F.lit(False)), F.coalesce(cut, cell["value"]))
+
+    def each(cell: Column, at: Column) -> Column:
+        phone = (cell["value"]["kind"] == "phone") & F.startswith(cell["found"], F.lit("+"))
+        return F.when(phone, let(later(cell, at), lambda inside: settled(cell, inside))).otherwise(cell["value"])
+
+    return F.transform(cells, each)
+
+
+def joined(pieces: Column, found: Column, key: str) -> Column:
+    """The text of the pieces, each but the first with its value in place of its start, and the kinds of the values used.
+
+    A value that starts inside an earlier one is not used; the earlier one may go on through several pieces.
+    """
+    none = F.array().cast("array<string>")
+
+    def state(skip: Column, out: Column, kinds: Column) -> Column:
+        return F.struct(skip.cast("int").alias("skip"), out.alias("out"), kinds.alias("kinds"))
+
+    def step(held: Column, cell: Column) -> Column:
+        value, piece = cell["value"], cell["piece"]
+        used = (held["skip"] == 0) & value["kind"].isNotNull()
+        gone = F.when(used, value["length"]).otherwise(held["skip"])
+        text = F.concat(F.when(used, value["new"]).otherwise(""), F.substr(piece, gone + 1))
+        kinds = F.when(used, F.concat(held["kinds"], F.array(value["kind"]))).otherwise(held["kinds"])
+        return state(F.greatest(gone - F.length(piece), F.lit(0)), F.concat(held["out"], F.array(text)), kinds)
+
+    def some(cells: Column) -> Callable[[Column, Column], Column]:
+        def add(held: Column, first: Column) -> Column:
+            part = F.aggregate(F.slice(cells, first, F.lit(STARTS)), state(held["skip"], none, none), step)
+            text = lambda p: F.array(F.array_join(p["out"], ""))
+            both = lambda p: F.concat(held["kinds"], p["kinds"])
+            return let(part, lambda p: state(p["skip"], F.concat(held["out"], text(p)), both(p)))
+
+        return add
+
+    def whole(pieces: Column) -> Column:
+        later = F.slice(pieces, F.lit(2), F.size(pieces) - 1)
+        values = F.transform(found, lambda match: replacement(match, key))
+        cells = F.arrays_zip(later.alias("piece"), found.alias("found"), values.alias("value"))
+        settled = let(cells, lambda c: F.arrays_zip(c["piece"].alias("piece"), apart(c, key).alias("value")))
+        start = state(F.lit(0), F.slice(pieces, F.lit(1), F.lit(1)), none)
+        firsts = F.sequence(F.lit(1), F.size(pieces) - 1, F.lit(STARTS))
+        done = let(settled, lambda cells: F.aggregate(firsts, start, some(cells)))
+        return let(done, lambda d: F.struct(F.array_join(d["out"], "").alias("text"), d["kinds"].alias("kinds")))
+
+    return let(pieces, whole)
 
 
 def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
@@ -351,20 +483,21 @@ def pseudonymise(documents: DataFrame, key: str = KEY) -> DataFrame:
     counts = [f"n_{kind}" for kind in PATTERNS]
     names = [name for name in documents.columns if name not in counts]
     rows = documents.select(*[whole_text().alias("text") if name == "text" else F.col(name) for name in names])
-    text = F.col("text")
+    # A split by places drops an empty first piece, so a line end goes first.
+    text = F.concat(F.lit("\n"), F.col("text"))
     # Most texts have neither a digit nor an @, and are only looked through once.
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    new = F.transform(found, lambda match: replacement(match, key))
+    found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(START), F.lit(1)))
+
+    def new(found: Column) -> Column:
+        return F.when(F.size(found) > 0, joined(F.split(text, START, -1), found, key))
+
     replaced = "pseudonyms_replaced"
-    held = rows.withColumn(replaced, F.when(F.size(found) > 0, new))
-    kinds = F.col(replaced)
-    between = F.split("text", ANY, -1)
-    pieces = F.zip_with(between, kinds["new"], lambda gap, value: F.concat(gap, F.coalesce(value, F.lit(""))))
-    changed = F.when(kinds.isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))
+    held = rows.withColumn(replaced, let(found, new))
+    kinds = F.col(replaced)["kinds"]
+    changed = F.when(kinds.isNotNull(), F.substr(F.col(replaced)["text"], F.lit(2))).otherwise(F.col("text"))
 
     def number(kind: str) -> Column:
-        of_kind = F.filter(kinds, lambda replaced: replaced["kind"] == kind)
-        return F.coalesce(F.size(of_kind), F.lit(0)).cast("bigint").alias(f"n_{kind}")
+        return F.coalesce(F.size(F.filter(kinds, lambda k: k == kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
 
     out = [changed.alias("text") if name == "text" else F.col(name) for name in names]
     done = held.select(*out, *map(number, PATTERNS))

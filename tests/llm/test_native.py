@@ -201,6 +201,42 @@ def test_values_next_to_each_other(spark):
     assert new_texts(spark, texts) == pairs
 
 
+def test_every_kind_next_to_every_kind(spark):
+    values = ["ES9121000418450200051332", "BE68 5390 0754 7034", "NO9386011117947", "DE89 3704 0044 0532 0130 00"]
+    values += ["+44 20 7946 0958", "+33 1 42 68 53 00", "+49 30 12345", "+4930123456789", "(212) 555-0199", "212-555-0199"]
+    values += ["4111 1111 1111 1111", "378282246310005", "227.5.221.1", "1.2.3.4", "123-45-6789", "2024-05-01", "12/31/1899"]
+    values += ["29.02.2000", "12.ab@mail8.example.com", "AB12@mail8.example.com", "+1 (743) 555-3824"]
+    alone = dict(zip(values, new_texts(spark, values)))
+    assert all(new != value for value, new in alone.items())
+    pairs = [(a, b) for a in values for b in values]
+    got = new_texts(spark, [f"{a} {b}" for a, b in pairs])
+    assert [p for p, g in zip(pairs, got) if g != f"{alone[p[0]]} {alone[p[1]]}"] == []
+
+
+def test_a_failed_check_hides_nothing(spark):
+    iban, belgian, card = "ES9121000418450200051332", "BE68 5390 0754 7034", "4111 1111 1111 1111"
+    phone, local = "+44 20 7946 0958", "(212) 555-0199"
+    alone = dict(zip((iban, belgian, card, phone, local), new_texts(spark, [iban, belgian, card, phone, local])))
+    forms = [f"{iban} EUR 500", f"{iban} EUROPEan", f"{belgian} BIC GEBABEBB", f"IBAN {belgian} A", f"{phone} 2024-05", phone]
+    forms += [f"{iban} IBAN {belgian} REF 1234", f"1234 {card}", f"GB83 WEST {card}", f"+1 {card}", f"+1 23456 {local}"]
+    forms += ["XX82 WEST 1234 5698 7654 32", "+44 20 79", f"{card}, {card}"]
+    want = []
+    for form in forms:
+        for value, new in alone.items():
+            form = form.replace(value, new)
+        want.append(form)
+    assert new_texts(spark, forms) == want
+
+
+def test_many_values_in_one_text(spark):
+    values = ["2024-05-01", "el.00@mail8.example.com", "1234 4111 1111 1111 1111"] * 700
+    alone = dict(zip(values[:3], new_texts(spark, values[:3])))
+    rows = spark.createDataFrame([(1, " ; ".join(values))], "doc_id bigint, text string")
+    got = pseudonyms.pseudonymise(rows).first()
+    assert got.text == " ; ".join(alone[v] for v in values)
+    assert (got.n_date, got.n_email, got.n_card) == (700, 700, 700)
+
+
 def test_what_does_not_check_out_stays(spark):
     texts = ["4785380592391138", "999.1.1.1", "000-12-3456", "666-12-3456", "2023-02-30", "31.02.2000", "12345", "v1.2.3", "100 200 3000", "+1 2 3"]
     texts += ["GB83 WEST 1234 5698 7654 32", "x4785380592391139", "a@b", "@", "1 2 3", "clean text, no data.", "", "24be64439e"]
