@@ -2,8 +2,10 @@
 
 Three patterns give the base spans: assignments to names such as ``password``, access keys, and long runs of hex digits.
 Every value found is counted over the corpus: in how many distinct repositories, and of how many distinct owners. Values
-of many owners are copied examples; those of few owners that look random are live. Long mixed tokens next to nothing
-telling are spans too, of kind ``bare``, if they look random, no base span covers them, and they belong to few owners.
+of many owners, or in very many repositories even of one owner, are copied examples; the others are live if they look
+random. Long mixed tokens next to nothing telling are spans too, of kind ``bare``, if they are live and no base span covers
+them. Owners and repositories are columns, and a repository may be a distinct text. If both are one column, as in
+``documents`` with its ``source``, both counts are equal and only the owners decide.
 
 A text is scanned once; what is found, and no text, goes on. All of it is built-in functions. Places are code points,
 ends exclusive. Null texts are empty. Null owners and repositories count as one of their own. Repeated rows are rows of
@@ -37,6 +39,8 @@ BARE_PATTERN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+-]*+[0-9])(?=[a-z0-9_+-]*+[A-Z
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 #: From so many owners on a value is a copied example.
 COPIED_OWNERS = 3
+#: From so many repositories on it is one too, whoever owns them.
+COPIED_REPOSITORIES = 10
 #: Different characters of a value that looks random.
 RANDOM_CHARACTERS = 8
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567"
@@ -54,12 +58,13 @@ def matches(text: Column, pattern: str, group: int, hint: Column) -> Column:
     return F.when(hint, each.cast(kind)).otherwise(F.array().cast(kind))
 
 
-def scan(documents: DataFrame, owner: str, repository: str) -> DataFrame:
+def scan(documents: DataFrame, owner: str, repository: str | None) -> DataFrame:
     """A row per document with an id of its own and the matches of each kind."""
+    own = F.sha2(whole_text(), 256) if repository is None else F.col(repository).cast("string")
     rows = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col(owner).cast("string").alias("owner"),
-        F.col(repository).cast("string").alias("repository"),
+        own.alias("repository"),
         whole_text().alias("text"),
     )
     small = F.lower("text")
@@ -122,11 +127,17 @@ def listed(rows: Column, condition: Callable[[Column], Column]) -> Column:
 
 
 def find_secrets(
-    documents: DataFrame, owner: str = "source", repository: str = "source", copied_owners: int = COPIED_OWNERS
+    documents: DataFrame,
+    owner: str = "source",
+    repository: str | None = "source",
+    copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
     """A row per document: numbers of base spans, their digest, all spans, and of how many the values are.
 
-    ``n_live`` and ``n_copied`` count spans whose values look live and those that are copied examples.
+    ``owner`` and ``repository`` name columns; with None for the latter each distinct text is a repository. ``n_live`` and
+    ``n_copied`` count spans whose values look live and those that are copied examples. ``counts`` has for each of the
+    spans, in their order, in how many ``repositories`` of how many ``owners`` its value is.
     """
     spark = documents.sparkSession
     scanned = stored(spark, "secrets", scan(documents, owner, repository))
@@ -138,9 +149,10 @@ def find_secrets(
     known = salted.join(counted, ["value_key", "salt"])
     different = F.size(F.array_distinct(F.split("value", "")))
     random = (different >= RANDOM_CHARACTERS) & ~F.col("value").rlike(PLACEHOLDER)
-    copied = F.col("owners") >= copied_owners
+    # Never fewer repositories than owners, as each owner has one at least.
+    copied = (F.col("owners") >= copied_owners) | (F.col("repositories") >= max(copied_owners, copied_repositories))
     known = known.withColumns({"copied": copied, "live": random & ~copied}).where((F.col("kind") != BARE) | F.col("live"))
-    each = F.struct("start", "kind_no", "end", "kind", "live", "copied")
+    each = F.struct("start", "kind_no", "end", "kind", "live", "copied", "owners", "repositories")
     by_row = known.groupBy("row_id").agg(F.collect_list(each).alias("spans"))
     empty = F.array().cast(by_row.schema["spans"].dataType)
     rows = scanned.select("doc_id", "row_id").join(by_row, "row_id", "left")
@@ -159,4 +171,8 @@ def find_secrets(
         listed(F.col("spans"), lambda s: F.lit(True)).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: s["copied"]).alias("n_copied"),
+        F.transform(
+            F.sort_array("spans"),
+            lambda s: F.struct(s["owners"].alias("owners"), s["repositories"].alias("repositories")),
+        ).alias("counts"),
     )
