@@ -5,8 +5,9 @@ of the line before and after. The field labels lines good or bad; neighbouring l
 Forward and backward passes give each line's probability of being good, and a document's score is their mean, weighted
 by length. Lines are labelled through their documents: a line of a good document counts as good.
 
-The field is fitted on a bounded sample of labelled documents, the one with the smallest hashes, on the driver; scoring
-reads every whole text once, a batch of lines at a time, without a shuffle. Nothing but the text goes into a score.
+The field is fitted on a bounded sample of labelled documents of any length, the one with the smallest hashes, on the
+driver; of a long document a run of lines is taken, measured in the whole document. Scoring reads every whole text once, a
+batch of lines at a time, without a shuffle. Nothing but the text goes into a score.
 
 Null texts are empty: one empty line. Repeated rows get the same score. An empty table gives no rows. Documents with
 contradicting labels are not learned from; without two classes to learn from, all scores are 0.5.
@@ -14,8 +15,10 @@ contradicting labels are not learned from; without two classes to learn from, al
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,10 @@ from pyspark.sql import types as T
 
 from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, stored, whole_text
 
-#: Labelled documents of each class that the field is fitted on, and the most lines that one of them may have.
+#: Labelled documents of each class that the field is fitted on, and the most lines that are taken of one of them.
 FIT_DOCUMENTS, FIT_LINES = 2000, 400
+#: Lines of each class at which no more documents are taken.
+FIT_TOTAL = 200_000
 FIT_STEPS, RATE, DECAY = 400, 0.08, 1e-3
 #: Bytes of text that are measured at a time; one document is never cut.
 MEASURED_BYTES = 1 << 18
@@ -251,11 +256,14 @@ def score_task(field: Field | None):
     return task
 
 
-def measure_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The measured lines of whole documents, a row per document."""
+def measure_lines(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The measured lines of documents, a row per document; of one with too many lines a run that its hash chooses."""
     for batch in batches:
         for text, label in zip(batch["text"].to_pylist(), batch["quality"].to_pylist(), strict=True):
-            _, _, values = measures([text.encode()])
+            data = text.encode()
+            _, _, values = measures([data])
+            start = zlib.crc32(data) % (max(len(values) - most, 0) + 1)
+            values = values[start : start + most]
             yield batch_of([[label], [values.tobytes()]], [pa.int32(), pa.binary()], ["quality", "lines"])
 
 
@@ -267,8 +275,9 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def learn(
     documents: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS, fit_lines: int = FIT_LINES
 ) -> Field | None:
-    """Fit the field on at most ``fit_documents`` labelled documents of each class, none of them held out, of at most
-    ``fit_lines`` lines. The documents are those whose ids have the smallest hashes."""
+    """Fit the field on at most ``fit_documents`` labelled documents of each class, none of them held out, and at most
+    ``fit_lines`` lines in a row of each, until a class has ``FIT_TOTAL`` lines. The documents are those whose ids have the
+    smallest hashes, whatever their length."""
     spark = documents.sparkSession
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").dropna()
     known = known.where(F.col("quality").isin(0, 1) & ~held_out()).groupBy("doc_id")
@@ -277,19 +286,25 @@ def learn(
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     # Only lengths are looked at before the choice, so that no text is shuffled but the chosen ones.
     n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    sized = rows.select("doc_id", n_lines.alias("n_lines")).where(F.col("n_lines") <= fit_lines)
-    candidates = stored(spark, "labelled", sized.select("doc_id").distinct().join(known, "doc_id"))
+    sized = rows.groupBy("doc_id").agg(F.max(F.least(n_lines, F.lit(fit_lines))).alias("n_lines"))
+    candidates = stored(spark, "labelled", sized.join(known, "doc_id"))
     parts = [
         candidates.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_documents)
         for label in (0, 1)
     ]
-    chosen = {row.doc_id: row.quality for part in parts for row in part.collect()}
+    chosen = {}
+    for part in parts:
+        taken = 0
+        for row in part.collect():
+            if taken < FIT_TOTAL:
+                chosen[row.doc_id] = row.quality
+                taken += row.n_lines
     if len(set(chosen.values())) < 2:
         return None
     # A bounded list: at most fit_documents ids of each class.
     few = spark.createDataFrame(list(chosen.items()), "doc_id bigint, quality int")
     texts = rows.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).select("text", "quality")
-    found = map_rows(texts, measure_lines, "quality int, lines binary").collect()
+    found = map_rows(texts, partial(measure_lines, most=fit_lines), "quality int, lines binary").collect()
     found.sort(key=lambda row: (row.quality, bytes(row.lines)))  # whatever the order of the tasks
     values = [np.frombuffer(row.lines, np.float64).reshape(-1, MEASURES) for row in found]
     document = np.repeat(np.arange(len(found)), list(map(len, values)))

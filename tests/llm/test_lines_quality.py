@@ -171,6 +171,25 @@ def test_quality_of_held_out_documents(spark):
     assert np.allclose(again.weights, field.weights) and np.allclose(again.chain, field.chain)
 
 
+def test_long_documents_are_learned_from(spark, monkeypatch):
+    rng = random.Random(9)
+    dump = ["\n".join(" ".join("#" * rng.randrange(1, 9) for _ in range(9)) for _ in range(450)) for _ in range(20)]
+    rows = cases.documents(spark, [*[cases.sentence(rng, 60) for _ in range(20)], *dump])
+    labels = spark.createDataFrame([(n, int(n < 20), 0) for n in range(40)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda document, values, good: seen.append((document, good)) or fit(document, values, good))
+    field = quality.learn(rows, labels)
+    got = {r.doc_id: r.score for r in quality.score(rows, field).collect()}
+    assert all((score >= quality.GOOD_FROM) == (n < 20) for n, score in got.items())
+    document, good = seen[0]
+    assert set(np.bincount(document)[good[np.searchsorted(document, range(document.max() + 1))] == 0]) == {quality.FIT_LINES}
+    monkeypatch.setattr(quality, "FIT_TOTAL", 900)
+    quality.learn(rows, labels)
+    document, good = seen[1]
+    assert (good == 0).sum() == 3 * quality.FIT_LINES
+
+
 def test_scores_of_awkward_documents(spark):
     rows, labels = labelled(spark)
     field = quality.learn(rows, labels)
