@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    ball_trees,
     chunk_reuse,
+    conversation_repair,
     embedding_dedup,
     fingerprints,
     line_dedup,
+    norm_buckets,
     packing,
     pseudonyms,
     quality,
@@ -79,6 +82,23 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_buckets.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.repair(rows)
+
+
+def op13_ball_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ball_trees.top_products(embeddings, query_every=SEARCHED_EVERY)
+
+
+#: One vector in so many, by its id, is a query of the search.
+SEARCHED_EVERY = 100
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_fingerprints": op1_minhash_fingerprints,
     "op2_secret_ownership": op2_secret_ownership,
@@ -90,4 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_output": op8_token_output,
     "op9_bpe_chunk_reuse": op9_bpe_chunk_reuse,
     "op10_quality_crf": op10_quality_crf,
+    "op11_norm_buckets": op11_norm_buckets,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_ball_trees": op13_ball_trees,
 }
