@@ -61,7 +61,7 @@ def contents(index):
 @pytest.mark.parametrize("block_bytes", [line_dedup.BLOCK_BYTES, 1])
 def test_index_is_reversible(spark, block_bytes):
     first, second = cases.documents(spark, line_texts(60, 2)), cases.documents(spark, line_texts(60, 3))
-    index = line_dedup.LineIndex(spark, 5, shards=3, block_bytes=block_bytes)
+    index = line_dedup.LineIndex(spark, 5, shard_keys=4, block_bytes=block_bytes)
     assert [r.n_dropped for r in index.apply(second).collect()] == [0] * 64
     index.add(first)
     before, dropped = contents(index), sorted(index.apply(second).select("doc_id", "text").collect())
