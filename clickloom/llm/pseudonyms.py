@@ -30,9 +30,10 @@ ROUNDS = 10
 #: A phone number's next digit; written out below, as a look back takes no repeated group.
 DIGIT = r"[\x20.()-]{0,3}[0-9]"
 #: The patterns of the kinds, tried in this order at each place. Runs are possessive or bounded and start at their first
-#: character, so that no text takes more than linear time.
+#: character, so that no text takes more than linear time; groups that repeat without a bound are possessive too, as the
+#: regex engine would call itself once for each repeat of any other.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
     # Takes what follows in capitals and digits too; new_iban finds the end.
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -74,14 +75,28 @@ CENTURY_FROM = 30
 
 def round_numbers(other: Column, sizes: Column, key: Column) -> Column:
     """For each place of one half a number below its size, from the other half and the key."""
-    digest = F.sha2(F.concat_ws("|", key, F.array_join(other.cast("array<string>"), ",")), 512)
+    seed = F.concat_ws("|", key, F.array_join(other.cast("array<string>"), ","))
 
-    def below(digest: Column) -> Column:
-        part = lambda at: F.substring(digest, (at % 16) * 8 + 1, F.lit(8))
+    def digests(seed: Column) -> Column:
+        # One digest has the numbers of 16 places.
+        rows = F.sequence(F.lit(0), F.floor(F.size(sizes) / 16).cast("int"))
+        return F.transform(rows, lambda row: F.sha2(F.concat_ws("|", seed, row), 512))
+
+    def below(digests: Column) -> Column:
+        part = lambda at: F.substring(F.get(digests, F.floor(at / 16).cast("int")), (at % 16) * 8 + 1, F.lit(8))
         number = lambda at: F.conv(part(at), 16, 10).cast("bigint")
         return F.transform(sizes, lambda size, at: (number(at) % size).cast("int"))
 
-    return let(digest, below)
+    return let(let(seed, digests), below)
+
+
+def shuffled(place: Column, size: Column, key: Column, back: bool = False) -> Column:
+    """A permutation of few numbers: their order by a keyed hash. For a single place, which has no halves."""
+    rows = F.transform(
+        F.sequence(F.lit(0), size - 1), lambda n: F.struct(F.sha2(F.concat_ws("|", key, size, n), 256).alias("h"), n.alias("n"))
+    )
+    order = F.transform(F.sort_array(rows), lambda row: row["n"])
+    return F.when(size > 1, F.array_position(order, place).cast("int") - 1 if back else F.get(order, place)).otherwise(place)
 
 
 def feistel(places: Column, sizes: Column, key: Column, back: bool = False) -> Column:
@@ -109,7 +124,9 @@ def feistel(places: Column, sizes: Column, key: Column, back: bool = False) -> C
 
         turns = [F.lit(t) for t in (reversed(range(ROUNDS)) if back else range(ROUNDS))]
         start = F.struct(left.cast("array<int>").alias("l"), right.cast("array<int>").alias("r"))
-        return let(F.aggregate(F.array(*turns), start, step), lambda halves: F.concat(halves["l"], halves["r"]))
+        mixed = let(F.aggregate(F.array(*turns), start, step), lambda halves: F.concat(halves["l"], halves["r"]))
+        alone = shuffled(F.get(places, F.lit(0)).cast("int"), F.get(sizes, F.lit(0)), key, back)
+        return F.when(count == 1, F.array(alone)).otherwise(mixed)
 
     return let(places, permute)
 

@@ -272,6 +272,27 @@ def test_pseudonyms_of_awkward_documents(spark):
     assert pseudonyms.pseudonymise(rows.limit(0)).count() == 0
 
 
+def test_very_long_runs_of_each_alphabet_do_no_harm(spark):
+    texts = ["a@" + "b." * 1_000_000 + "c", "a@" + "b" * 1_000_000 + ".c", "a." * 5_000 + "@b.c", "ab" * 500_000]
+    rows = spark.createDataFrame(list(enumerate([*texts, "call (212) 555-0199"])), "doc_id bigint, text string").repartition(14)
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(rows).collect()}
+    assert [len(got[n].text) for n in range(len(texts))] == [len(t) for t in texts]
+    assert [got[n].n_email for n in range(len(texts))] == [1, 1, 1] + [0] * (len(texts) - 3) and got[len(texts)].n_phone == 1
+
+
+def test_names_of_one_letter_are_permuted_not_shifted(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    new = [n[0] for n in new_texts(spark, [f"{c}@x.org" for c in letters])]
+    assert sorted(new) == list(letters)
+    assert len({(ord(n) - ord(c)) % 26 for n, c in zip(new, letters)}) > 5
+
+
+def test_long_names_mix_all_places(spark):
+    (text,) = new_texts(spark, ["a" * 70 + "@x.org"])
+    name = text.split("@")[0]
+    assert len(name) == 70 and name[:16] != name[16:32]
+
+
 @pytest.mark.parametrize("sizes", [[10], [3, 4], [2, 1, 5], [7, 2, 3, 2]])
 def test_feistel_permutes(spark, sizes):
     places = [[]]
