@@ -13,7 +13,7 @@ from clickloom.operators import members
 from clickloom.operators.dedup import latest_times
 from clickloom.plans import dims, fact, staging, suite
 from clickloom.session import Scratch, side_by_side, sized
-from clickloom.sources import monthly_csv
+from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Days, Warehouse, day_ranges
 
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
@@ -122,32 +122,42 @@ def extend_dims(warehouse: Warehouse, added: DataFrame) -> None:
 def update_dims(warehouse: Warehouse, full_refresh: bool = False, slice_bytes: int = SLICE_BYTES) -> None:
     """Bring the dimensions up to date with all that was ever written to the history, in whatever way.
 
-    The history's files tell which write they come from, and a table keeps the writes that the dimensions have taken
-    in. Only the files of other writes are read, a slice of whole days at a time; a rebuild takes in all of them.
+    Rows carry the id of their ingest, and a table keeps the ids that the dimensions have taken in. Read are the days of
+    the other ingests and those whose folders something else changed, a slice of whole days at a time, and of these the
+    rows of ingests not taken in, or of none: so files of any name and origin count. No other day is listed. An ingest
+    counts as taken in only if it was entered before its rows were looked for. A rebuild takes in all rows.
     """
-    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest", "dim_writes"))
+    spark = warehouse.spark
+    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest", "dim_ingests", "dim_days"))
     rebuild = full_refresh or not known
-    schema = S.DIM_WRITES
     if rebuild:
-        warehouse.overwrite("dim_writes", warehouse.spark.createDataFrame([], schema))
-    taken = {row.write_id for row in warehouse.read("dim_writes").distinct().collect()}
-    new = [written for written in warehouse.writes("ecom_events") if written.write_id not in taken]
-    write_ids = sorted({written.write_id for written in new})
-    sizes: dict[date, int] = {}
-    for written in new:
-        if written.day is not None:  # events without a time are in no dimension
-            sizes[written.day] = sizes.get(written.day, 0) + written.size
-    slices = day_ranges(sorted(sizes.items()), slice_bytes)
-    for days in slices:
-        events = warehouse.read_days("ecom_events", days.first, days.last, None if rebuild else write_ids)
-        with sized(warehouse.spark, days.size):
-            build_dims(warehouse, events) if rebuild and days is slices[0] else extend_dims(warehouse, events)
+        for name, schema in (("dim_ingests", S.DIM_INGESTS), ("dim_days", S.DAY_STAMPS)):
+            warehouse.overwrite(name, spark.createDataFrame([], schema))
+    taken, new = warehouse.read("dim_ingests"), []
+    if warehouse.exists("ingests"):
+        new = warehouse.read("ingests").join(taken, S.INGEST, "left_anti").collect()
+    changed, stamps = warehouse.changed_days("ecom_events", "dim_days")
+    days = sorted(changed | {row.day for row in new if row.day is not None})
+    sizes = ((day, files.stored_bytes(spark, warehouse.day_path("ecom_events", day))) for day in days)
+    slices = day_ranges(sizes, slice_bytes)
+    for part in slices:
+        own = [day for day in days if part.first <= day <= part.last]
+        events = warehouse.read_each_day("ecom_events", own, None if rebuild else taken)
+        with sized(spark, part.size):
+            if rebuild and part is slices[0]:
+                build_dims(warehouse, events)
+            elif rebuild or not events.isEmpty():
+                extend_dims(warehouse, events)
     if rebuild and not slices:
         build_dims(warehouse, events_of(warehouse, []))
-    for name in ("dim_datetime", "dim_users", "dim_writes"):
-        warehouse.compact(name)
-    if write_ids:
-        warehouse.append("dim_writes", warehouse.spark.createDataFrame([(w,) for w in write_ids], schema))
+    ids = sorted({(row[S.INGEST],) for row in new})
+    if ids:
+        warehouse.append("dim_ingests", spark.createDataFrame(ids, S.DIM_INGESTS))
+    if changed:
+        warehouse.overwrite("dim_days", stamps.coalesce(1))
+    for name in ("dim_datetime", "dim_users", "dim_ingests", "ingests"):
+        if warehouse.exists(name):
+            warehouse.compact(name)
 
 
 def is_regular(dim: DataFrame, link: fact.Link) -> bool:

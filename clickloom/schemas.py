@@ -87,8 +87,40 @@ PRODUCT_LATEST = T.StructType(
 #: Months whose events are in the history and in the star schema, and who took them in: ``run`` or ``stream``.
 FINISHED_MONTHS = T.StructType([T.StructField("month", T.StringType()), T.StructField("taken_by", T.StringType())])
 
-#: Writes to the history that the dimensions have taken in.
-DIM_WRITES = T.StructType([T.StructField("write_id", T.StringType())])
+#: Column of the history that tells which ingest a row came with; NULL in rows that something else wrote.
+INGEST = "ingest_id"
+
+#: The ingests of the history and the days that they have rows of; each is entered in one step with its rows.
+INGESTS = T.StructType([T.StructField(INGEST, T.StringType()), T.StructField("day", T.DateType())])
+
+#: Ingests that the dimensions have taken in.
+DIM_INGESTS = T.StructType([T.StructField(INGEST, T.StringType())])
+
+#: When the folders of days had last changed as something took their rows in.
+DAY_STAMPS = T.StructType([T.StructField("day", T.DateType()), T.StructField("stamp", T.LongType())])
+
+#: What happened to each product on each day, and in each hour.
+DAILY_PRODUCTS = T.StructType(
+    [
+        T.StructField("product_sk", T.StringType()),
+        T.StructField("n_views", T.LongType()),
+        T.StructField("n_carts", T.LongType()),
+        T.StructField("n_purchases", T.LongType()),
+        T.StructField("revenue", T.DecimalType(28, 2)),
+    ]
+)
+DAILY_HOURS = T.StructType(
+    [
+        T.StructField("datetime_sk", T.StringType()),
+        T.StructField("n_purchases", T.LongType()),
+        T.StructField("revenue", T.DecimalType(28, 2)),
+    ]
+)
+
+#: First times of each session's events in microseconds.
+SESSION_STATE = T.StructType(
+    [T.StructField("user_session_id", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("view", "cart", "purchase")]]
+)
 
 DIM_USERS = T.StructType(
     [

@@ -84,6 +84,17 @@ def sized(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+#: Sizes from here on stand for unknown ones.
+UNKNOWN_BYTES = 1 << 62
+
+
+def bytes_read(rows: DataFrame) -> int:
+    """Bytes of the stored data that rows are made from, as far as their plan tells; 0 where it does not."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
 class Scratch:
     """Intermediate tables in the shared folder, deleted when the block that needs them ends, however it ends."""
 

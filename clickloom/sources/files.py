@@ -21,6 +21,60 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(location))
 
 
+def stamps(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names of the entries of one folder and when each was last changed, by the file system's clock in milliseconds."""
+    fs, location = _at(spark, folder)
+    return {status.getPath().getName(): status.getModificationTime() for status in fs.listStatus(location)}
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all files below a folder, relative to it."""
+    fs, location = _at(spark, folder)
+    root, found, each = fs.makeQualified(location).toString(), [], fs.listFiles(location, True)
+    while each.hasNext():
+        found.append(each.next().getPath().toString().removeprefix(root).lstrip("/"))
+    return sorted(found)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, location = _at(spark, path)
+    fs.mkdirs(location)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all."""
+    fs, location = _at(spark, path)
+    whole = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(whole, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(whole, location):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, location = _at(spark, path)
+    source = fs.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file; it is fine if that was done before."""
+    fs, location = _at(spark, target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(source)
+    if fs.exists(old):
+        fs.mkdirs(location.getParent())
+        if fs.rename(old, location):
+            return
+    if not fs.exists(location):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below ``path``."""
     fs, location = _at(spark, path)

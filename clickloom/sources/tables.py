@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import time
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,24 +16,20 @@ from pyspark.sql import types as T
 
 from clickloom import schemas as S
 from clickloom.operators.merge import upsert
-from clickloom.session import Scratch, prepare, sized
-from clickloom.sources import files
+from clickloom.session import Scratch, bytes_read, prepare, sized
+from clickloom.sources import commits, files
 
 
 #: Folder value of the rows without a day.
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 #: Size that files of a compacted table have, and files more than needed that are left alone.
 FILE_BYTES, SPARE_FILES = 128 * 1024 * 1024, 64
-#: Spark names all files of one write job by one id.
-WRITE_ID = r"part-[0-9]+-([0-9a-f-]{36})"
-
-
-class Written(NamedTuple):
-    """What one write put into one day (None: rows without a day) of a table."""
-
-    write_id: str
-    day: date | None
-    size: int
+#: Bytes read for a write from which on its days may be split, so that rows are dealt to files by the cluster columns.
+CLUSTER_BYTES = 1024 * 1024 * 1024
+#: Column of the task that read a row, while rows are dealt.
+READ_BY = "_read_by"
+#: A folder changed so lately, in milliseconds, may change again without its stamp telling.
+FRESH_MS = 2000
 
 
 class Days(NamedTuple):
@@ -59,22 +58,33 @@ class Layout:
     schema: T.StructType
     day_of: str | None = None
     cluster: tuple[str, ...] = ()
+    ingests: bool = False  # whether rows carry the id of their ingest, unseen by readers
 
     @property
     def stored(self) -> T.StructType:
         return S.with_day(self.schema) if self.day_of else self.schema
 
+    @property
+    def with_ingest(self) -> T.StructType:
+        return S.with_day(T.StructType([*self.schema.fields, T.StructField(S.INGEST, T.StringType())]))
+
 
 TABLES = {
     "ecom_staging": Layout(S.RAW),
-    "ecom_events": Layout(S.RAW, "event_time", ("product_id", "user_id")),
+    "ecom_events": Layout(S.RAW, "event_time", ("product_id", "user_id"), ingests=True),
     "dim_datetime": Layout(S.DIM_DATETIME),
     "dim_products": Layout(S.DIM_PRODUCTS),
     "dim_users": Layout(S.DIM_USERS),
     "product_latest": Layout(S.PRODUCT_LATEST),
     "finished_months": Layout(S.FINISHED_MONTHS),
-    "dim_writes": Layout(S.DIM_WRITES),
+    "ingests": Layout(S.INGESTS),
+    "dim_ingests": Layout(S.DIM_INGESTS),
+    "dim_days": Layout(S.DAY_STAMPS),
     "fct_events": Layout(S.FCT_EVENTS, "event_at_utc", ("product_sk", "user_sk")),
+    "daily_products": Layout(S.DAILY_PRODUCTS, S.DAY, ("product_sk",)),
+    "daily_hours": Layout(S.DAILY_HOURS, S.DAY, ("datetime_sk",)),
+    "session_state": Layout(S.SESSION_STATE),
+    "summary_days": Layout(S.DAY_STAMPS),
 }
 
 
@@ -84,10 +94,12 @@ class Warehouse:
     ``views`` leads the names under which tables are registered for SQL, so that several warehouses fit in one session.
     """
 
-    def __init__(self, spark: SparkSession, root: str, views: str = ""):
+    def __init__(self, spark: SparkSession, root: str, views: str = "", cluster_bytes: int = CLUSTER_BYTES):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.views = views
+        self.cluster_bytes = cluster_bytes
+        self.journals = f"{self.root}/_commits"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -97,48 +109,57 @@ class Warehouse:
 
     def exists(self, name: str) -> bool:
         """Whether the table was written and its last overwrite, if any, came to an end."""
+        self.recover()
         return files.exists(self.spark, f"{self.path(name)}/_SUCCESS")
 
+    def recover(self) -> None:
+        """Finish the commits that broke off."""
+        commits.finish_all(self.spark, self.journals)
+
     def read(self, name: str) -> DataFrame:
+        self.recover()
         return self.spark.read.schema(TABLES[name].stored).parquet(self.path(name))
 
     def days(self, name: str) -> list[date]:
         """Days of a day-partitioned table in order, from its folder names alone."""
-        prefix = f"{S.DAY}="
-        entries = files.names(self.spark, self.path(name))
-        days = [entry.removeprefix(prefix) for entry in entries if entry.startswith(prefix)]
-        return sorted(date.fromisoformat(day) for day in days if day != NULL_DAY)
+        return sorted(self.day_stamps(name))
+
+    def day_stamps(self, name: str) -> dict[date, int]:
+        """The days of a table and when their folders last changed, from a listing of one folder."""
+        self.recover()
+        prefix, found = f"{S.DAY}=", files.stamps(self.spark, self.path(name))
+        days = {entry.removeprefix(prefix): stamp for entry, stamp in found.items() if entry.startswith(prefix)}
+        return {date.fromisoformat(day): stamp for day, stamp in days.items() if day != NULL_DAY}
+
+    def changed_days(self, name: str, book: str) -> tuple[set[date], DataFrame]:
+        """The days whose folders changed since ``book`` was written, and what to write there when they are taken in.
+
+        Days that changed a moment ago are not entered, as they may change again within one tick of the clock. A file
+        system that keeps no times for folders has all days looked at.
+        """
+        stamps, now = self.day_stamps(name), int(time.time() * 1000)
+        known = {row.day: row.stamp for row in self.read(book).collect()} if self.exists(book) else {}
+        settled = [(day, stamp) for day, stamp in sorted(stamps.items()) if 0 < stamp < now - FRESH_MS]
+        changed = {day for day, stamp in stamps.items() if known.get(day) != stamp}
+        return changed, self.spark.createDataFrame(settled, S.DAY_STAMPS)
 
     def day_slices(self, name: str, max_bytes: int, first: date = date.min) -> list[Days]:
         """The days from ``first`` on as ranges of at most ``max_bytes`` of stored data, or of one day, in order."""
         days = [day for day in self.days(name) if day >= first]
         return day_ranges(((d, files.stored_bytes(self.spark, self.day_path(name, d))) for d in days), max_bytes)
 
-    def writes(self, name: str) -> list[Written]:
-        """What each write put into each day, from the files' names and sizes; files are listed, not opened."""
-        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        found = listed.option("pathGlobFilter", "part-*").load(self.path(name))
-        day = F.regexp_extract("path", f"/{S.DAY}=([^/]*)/", 1).alias("day")
-        sizes = found.groupBy(F.regexp_extract("path", WRITE_ID, 1).alias("write_id"), day)
-        rows = sizes.agg(F.sum("length").alias("size")).collect()
-        days = {row.day: None if row.day in ("", NULL_DAY) else date.fromisoformat(row.day) for row in rows}
-        return [Written(row.write_id, days[row.day], row["size"]) for row in rows]
-
-    def read_days(
-        self, name: str, first: date, last: date = date.max, write_ids: Iterable[str] | None = None
-    ) -> DataFrame:
-        """The rows of some days, of some writes only if these are given; the folders of other days are not listed."""
-        return self.read_each_day(name, [day for day in self.days(name) if first <= day <= last], write_ids)
-
-    def read_each_day(self, name: str, days: Iterable[date], write_ids: Iterable[str] | None = None) -> DataFrame:
-        folders = [self.day_path(name, day) for day in days]
+    def read_days(self, name: str, first: date, last: date = date.max, without: DataFrame | None = None) -> DataFrame:
+        """The rows of some days; the folders of other days are not listed. ``without`` has ingests to leave out."""
+        return self.read_each_day(name, [day for day in self.days(name) if first <= day <= last], without)
+
+    def read_each_day(self, name: str, days: Iterable[date], without: DataFrame | None = None) -> DataFrame:
+        folders, layout = [self.day_path(name, day) for day in days], TABLES[name]
+        schema = layout.stored if without is None else layout.with_ingest
         if not folders:
-            return self.spark.createDataFrame([], TABLES[name].stored)
-        reader = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name))
-        rows = reader.parquet(*folders)
-        if write_ids is not None:
-            rows = rows.where(F.regexp_extract("_metadata.file_name", WRITE_ID, 1).isin(*write_ids))
-        return rows
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*folders)
+        # Rows without an ingest match none, so they always stay.
+        return rows if without is None else rows.join(without.select(S.INGEST), S.INGEST, "left_anti")
 
     def stored_bytes(self, name: str) -> int:
         return files.stored_bytes(self.spark, self.path(name))
@@ -146,7 +167,8 @@ class Warehouse:
     def create(self, name: str) -> None:
         """Make an empty table unless it exists."""
         if not self.exists(name):
-            self._write(name, self.spark.createDataFrame([], TABLES[name].schema), "append")
+            empty = T.StructType([*TABLES[name].schema.fields, T.StructField(S.DAY, T.DateType())])
+            self._write(name, self.spark.createDataFrame([], empty), "append")
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
         """Replace all rows; creates the table if need be. Readers find the old rows until the new ones are complete."""
@@ -154,9 +176,52 @@ class Warehouse:
         self._write(name, rows, "overwrite", path=new)
         files.swap(self.spark, new, self.path(name))
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Add the rows as they are, without looking for copies."""
-        self._write(name, rows, "append")
+    def append(self, name: str, rows: DataFrame, ingest_id: str | None = None) -> bool:
+        """Add the rows as they are, without looking for copies.
+
+        All days of a day-partitioned table get their rows in one step, and with them the entry in ``ingests`` if the table
+        has ingests. What was ingested under an ``ingest_id`` before is not added again; returns whether rows were added.
+        """
+        layout = TABLES[name]
+        if not layout.day_of:
+            self._write(name, rows, "append")
+            return True
+        if ingest_id is not None and self.ingested(ingest_id):
+            return False
+        self._commit(name, rows, ingest_id=(ingest_id or uuid.uuid4().hex) if layout.ingests else None)
+        return True
+
+    def ingested(self, ingest_id: str) -> bool:
+        """Whether rows were added under this id."""
+        return self.exists("ingests") and not self.read("ingests").where(F.col(S.INGEST) == ingest_id).isEmpty()
+
+    def replace_days(self, name: str, rows: DataFrame, days: Iterable[date]) -> None:
+        """Put rows in place of those of the given days, in one step."""
+        there = set(self.days(name)) if self.exists(name) else set()
+        old = [
+            f"{self.day_path(name, day)}/{file}"
+            for day in sorted(set(days) & there)
+            for file in files.names(self.spark, self.day_path(name, day))
+        ]
+        self._commit(name, rows, removes=old)
+
+    def _commit(
+        self, name: str, rows: DataFrame, removes: Sequence[str] = (), ingest_id: str | None = None
+    ) -> None:
+        """Write rows aside, then move them in and delete files, all as one step."""
+        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
+        if ingest_id is not None:
+            rows = rows.withColumn(S.INGEST, F.lit(ingest_id))
+        self._write(name, rows, "overwrite", path=f"{staged}/{name}")
+        new = {name: files.files_below(self.spark, f"{staged}/{name}")}
+        if ingest_id is not None:
+            folders = sorted({file.split("/")[0] for file in new[name] if "/" in file} - {f"{S.DAY}={NULL_DAY}"})
+            days = [(ingest_id, date.fromisoformat(folder.removeprefix(f"{S.DAY}="))) for folder in folders]
+            entry = self.spark.createDataFrame(days or [(ingest_id, None)], S.INGESTS).coalesce(1)
+            entry.write.parquet(f"{staged}/ingests")
+            new["ingests"] = files.files_below(self.spark, f"{staged}/ingests")
+        moves = [(f"{staged}/{table}/{file}", f"{self.path(table)}/{file}") for table in new for file in new[table]]
+        commits.commit(self.spark, self.journals, staged, moves, removes)
 
     def compact(self, name: str, file_bytes: int = FILE_BYTES, spare_files: int = SPARE_FILES) -> None:
         """Rewrite a table without days if appends have left it in many more files than its size needs."""
@@ -166,18 +231,30 @@ class Warehouse:
             self.overwrite(name, self.read(name).repartition(max(1, needed)))
 
     def merge(self, name: str, delta: DataFrame, key: str, one_per_key: bool = False) -> None:
-        """Upsert by ``key``, rewriting only the days of ``delta``.
+        """Upsert by ``key``, rewriting only the files that hold rows to be replaced, in one step for all days.
 
-        The delta is stored first, as the merge reads it several times. Each day is replaced when the job commits; the
-        commit of several days is not one atomic step, so after a crash there repeat the run with a look-back.
+        The delta is stored first, as the merge reads it several times.
         """
         with Scratch(self.spark) as scratch:
             stored, size = scratch.hold(f"{name}-delta", self._with_day(name, delta))
             with sized(self.spark, size):
-                days = [row[0] for row in stored.select(S.DAY).distinct().orderBy(S.DAY).collect()]
-                if days:
-                    merged = upsert(self.read_each_day(name, set(days) & set(self.days(name))), stored, key, one_per_key)
-                    self._write(name, merged, "overwrite", overwrite_days="dynamic")
+                days = {row[0] for row in stored.select(S.DAY).distinct().collect()}
+                if not days:
+                    return
+                there = self.read_each_day(name, sorted(days & set(self.days(name))))
+                hit = self._files_with(name, there, stored, key)
+                found = there.limit(0)
+                if hit:
+                    found = self.spark.read.schema(TABLES[name].stored).option("basePath", self.path(name)).parquet(*hit)
+                self._commit(name, upsert(found, stored, key, one_per_key), removes=hit)
+
+    def _files_with(self, name: str, rows: DataFrame, delta: DataFrame, key: str) -> list[str]:
+        """Paths of the files that hold a key of the delta; a name per file of its days at most."""
+        if not rows.inputFiles():
+            return []
+        placed = rows.select(key, S.DAY, F.col("_metadata.file_name").alias("file"))
+        found = placed.join(delta.select(key), key, "left_semi").select(S.DAY, "file").distinct().collect()
+        return sorted(f"{self.day_path(name, row[S.DAY])}/{unquote(row.file)}" for row in found)
 
     def register(self, *names: str) -> None:
         """Make tables queryable by name in SQL."""
@@ -201,18 +278,30 @@ class Warehouse:
     def _with_day(self, name: str, rows: DataFrame) -> DataFrame:
         layout = TABLES[name]
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layout.schema.fields]
+        if layout.ingests and S.INGEST in rows.columns:
+            columns.append(F.col(S.INGEST))
         return rows.select(*columns, F.to_date(layout.day_of).alias(S.DAY)) if layout.day_of else rows.select(*columns)
 
-    def _write(
-        self, name: str, rows: DataFrame, mode: str, overwrite_days: str = "static", path: str | None = None
-    ) -> None:
+    def _dealt(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows dealt to the tasks that write them, and sorted there. The day leads the sort, else the writer sorts again.
+
+        Few rows are rebalanced on the day, which gives a file for each. Of many a day may need several files, so rows are
+        dealt by ranges of the day and the cluster columns: each file then has a range of its own, which the statistics in
+        its footer tell. The time and the task that read a row come last, so that a hot product or copies of one event,
+        however many, are spread as well.
+        """
         layout = TABLES[name]
+        if bytes_read(rows) <= self.cluster_bytes:
+            return rows.hint("rebalance", S.DAY).sortWithinPartitions(S.DAY, *layout.cluster)
+        by = [S.DAY, *layout.cluster, *([layout.day_of] if layout.day_of != S.DAY else []), READ_BY]
+        ranged = rows.withColumn(READ_BY, F.spark_partition_id()).repartitionByRange(*by)
+        return ranged.drop(READ_BY).sortWithinPartitions(S.DAY, *layout.cluster)
+
+    def _write(self, name: str, rows: DataFrame, mode: str, path: str | None = None) -> None:
         rows = self._with_day(name, rows)
-        if layout.day_of:
-            # A rebalance on the day keeps the file count low, and adaptive execution splits days above the advisory
-            # size by map output, however hot the day is. The day leads the sort, else the writer would sort again.
-            rows = rows.hint("rebalance", S.DAY).sortWithinPartitions(S.DAY, *layout.cluster)
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite_days)
-        if layout.day_of:
+        if TABLES[name].day_of:
+            rows = self._dealt(name, rows)
+        writer = rows.write.mode(mode)
+        if TABLES[name].day_of:
             writer = writer.partitionBy(S.DAY)
         writer.parquet(path or self.path(name))

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.plans import pipeline
 from clickloom.schemas import FINISHED_MONTHS, RAW
-from clickloom.session import Scratch
-from clickloom.sources import monthly_csv
+from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Warehouse
 
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint, whatever the folder is called."""
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def process_new_files(
     warehouse: Warehouse,
     source: str,
@@ -25,9 +31,8 @@ def process_new_files(
 
     Stops when no new file is left. The stream remembers the files seen and hands over the names of the new ones, at
     most ``max_files`` at a time; their contents are scanned like any monthly batch, so large files are split where
-    that is safe. A batch is parsed once and kept as parquet for its several uses. If it fails it is run again from
-    its start: its rows may then be in the history twice, which staging undoes, and every other step gives the same
-    result again. ``source`` may hold files or folders of part files. Files that are not part of a monthly batch by
+    that is safe. If a batch fails it is run again from its start. Its rows are ingested under an id made of the stream and
+    the batch, so they are in the history once, and every other step gives the same result again. ``source`` may hold files or folders of part files. Files that are not part of a monthly batch by
     their names are left alone, and so are those of months that a pipeline run has taken in; the months taken in here
     are recorded for such runs.
     """
@@ -49,9 +54,10 @@ def process_new_files(
         paths = [path for path, month in months.items() if month is not None and month not in taken]
         if not paths:
             return
-        with Scratch(spark) as scratch:
-            added, _ = scratch.hold("new-files", monthly_csv.scan(spark, paths, quoted_newlines).select(*RAW.names))
-            warehouse.append("ecom_events", added)
+        ingest_id = f"stream-{stream_id(spark, checkpoint)}-{batch_id}"
+        if not warehouse.ingested(ingest_id):
+            rows = monthly_csv.scan(spark, paths, quoted_newlines).select(*RAW.names)
+            warehouse.append("ecom_events", rows, ingest_id)
         pipeline.transform(warehouse, lookback_days)
         new = {months[path] for path in paths} - pipeline.taken_months(warehouse, "stream")
         rows = spark.createDataFrame([(month, "stream") for month in sorted(new)], FINISHED_MONTHS)
