@@ -45,10 +45,15 @@ def stored(spark: SparkSession, label: str, rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete the intermediate tables of all results so far. Call it once these have been written somewhere."""
-    while KEPT:
-        files.delete(spark, KEPT.pop())
+def clear(spark: SparkSession, first: int = 0, but: int = 0) -> None:
+    """Delete the intermediate tables of all results so far. Call it once these have been written somewhere.
+
+    Those before the ``first`` one stay, and as many of the last ones as ``but`` says.
+    """
+    last = len(KEPT) - but
+    for path in KEPT[first:last]:
+        files.delete(spark, path)
+    del KEPT[first:last]
 
 
 def partitions(spark: SparkSession) -> int:
