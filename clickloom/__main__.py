@@ -23,13 +23,16 @@ from clickloom.streaming.new_files import process_new_files
 #: Jobs ask for shuffle partitions by their own data; a session starts with as many as this part of a slice needs.
 SLICES_IN_FLIGHT = 64
 
+#: The reports read the daily sums and the sessions' first times, which are brought up to date first.
 REPORTS = {
-    "top-products": lambda w: reports.top_products(w.read("fct_events"), w.read("dim_products")),
-    "funnel": lambda w: reports.purchase_funnel(w.read("fct_events")),
-    "sales-by-hour": lambda w: reports.sales_by_hour(w.read("fct_events"), w.read("dim_datetime")).orderBy("hour_utc"),
-    "sales-by-weekday": lambda w: reports.sales_by_weekday(w.read("fct_events"), w.read("dim_datetime")).orderBy(
-        "day_of_week_utc"
-    ),
+    "top-products": lambda w: reports.top_products_of_days(w.read("daily_products"), w.read("dim_products")),
+    "funnel": lambda w: reports.funnel_of_sessions(w.read("session_state")),
+    "sales-by-hour": lambda w: reports.sales_of_hours(
+        w.read("daily_hours"), w.read("dim_datetime"), *reports.HOUR
+    ).orderBy(*reports.HOUR),
+    "sales-by-weekday": lambda w: reports.sales_of_hours(
+        w.read("daily_hours"), w.read("dim_datetime"), *reports.WEEKDAY
+    ).orderBy(*reports.WEEKDAY),
 }
 
 
@@ -72,6 +75,7 @@ def main(arguments: Sequence[str]) -> int:
     spark = builder.getOrCreate()
     warehouse = Warehouse(spark, options.warehouse)
     if options.command == "report":
+        pipeline.update_summaries(warehouse)
         REPORTS[options.name](warehouse).show(100, truncate=False)
         return 0
     if options.command == "run":

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickloom import schemas as S
 from clickloom.operators import members
 from clickloom.operators.dedup import latest_times
-from clickloom.plans import dims, fact, staging, suite
+from clickloom.plans import dims, fact, reports, staging, suite
 from clickloom.session import Scratch, side_by_side, sized
 from clickloom.sources import files, monthly_csv
 from clickloom.sources.tables import Days, Warehouse, day_ranges
@@ -128,16 +128,17 @@ def update_dims(warehouse: Warehouse, full_refresh: bool = False, slice_bytes: i
     counts as taken in only if it was entered before its rows were looked for. A rebuild takes in all rows.
     """
     spark = warehouse.spark
-    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest", "dim_ingests", "dim_days"))
+    known = all(warehouse.exists(name) for name in (*DIMENSIONS, "product_latest", "dim_ingests"))
     rebuild = full_refresh or not known
     if rebuild:
-        for name, schema in (("dim_ingests", S.DIM_INGESTS), ("dim_days", S.DAY_STAMPS)):
-            warehouse.overwrite(name, spark.createDataFrame([], schema))
+        warehouse.keep("dim_days", {})
+        warehouse.overwrite("dim_ingests", spark.createDataFrame([], S.DIM_INGESTS))
     taken, new = warehouse.read("dim_ingests"), []
     if warehouse.exists("ingests"):
         new = warehouse.read("ingests").join(taken, S.INGEST, "left_anti").collect()
     changed, stamps = warehouse.changed_days("ecom_events", "dim_days")
-    days = sorted(changed | {row.day for row in new if row.day is not None})
+    ingested = {row.day for row in new if row.day is not None}
+    days = sorted(changed | ingested)
     sizes = ((day, files.stored_bytes(spark, warehouse.day_path("ecom_events", day))) for day in days)
     slices = day_ranges(sizes, slice_bytes)
     for part in slices:
@@ -146,15 +147,14 @@ def update_dims(warehouse: Warehouse, full_refresh: bool = False, slice_bytes: i
         with sized(spark, part.size):
             if rebuild and part is slices[0]:
                 build_dims(warehouse, events)
-            elif rebuild or not events.isEmpty():
+            elif rebuild or ingested & set(own) or not events.isEmpty():
                 extend_dims(warehouse, events)
     if rebuild and not slices:
         build_dims(warehouse, events_of(warehouse, []))
     ids = sorted({(row[S.INGEST],) for row in new})
     if ids:
         warehouse.append("dim_ingests", spark.createDataFrame(ids, S.DIM_INGESTS))
-    if changed:
-        warehouse.overwrite("dim_days", stamps.coalesce(1))
+    warehouse.keep("dim_days", stamps)
     for name in ("dim_datetime", "dim_users", "dim_ingests", "ingests"):
         if warehouse.exists(name):
             warehouse.compact(name)
@@ -290,19 +290,54 @@ def check(warehouse: Warehouse, first: date | None = None, slice_bytes: int = SL
     events = {name: warehouse.read(name) for name in ("ecom_events", "fct_events")}
     if first is not None:
         events = {name: warehouse.read_days(name, first) for name in events}
-        return suite.run_checks(stored | events)
-    slices = warehouse.day_slices("fct_events", slice_bytes)
-    if len(slices) < 2:
-        return suite.run_checks(stored | events)
     found = []
-    for days in slices:
+    for days in warehouse.day_slices("fct_events", slice_bytes, first or date.min):
         part = warehouse.read_days("fct_events", days.first, days.last)
-        with sized(spark, days.size):
-            found += suite.run_day_checks(stored | {"fct_events": part}).collect()
+        with sized(spark, days.size), Scratch(spark) as scratch:
+            found += suite.run_day_checks(stored | {"fct_events": part}, scratch).collect()
+    if not found:  # a fact without days
+        found = suite.run_day_checks(stored | events, Scratch(spark)).collect()
     sums = spark.createDataFrame(found, suite.RESULT).groupBy("table_name", "column_name", "check_name")
     return suite.run_checks(stored | events, sums.agg(F.sum("failures").alias("failures")))
 
 
+def update_summaries(warehouse: Warehouse, slice_bytes: int = SLICE_BYTES) -> None:
+    """Bring the daily sums and the sessions' first times up to date with the fact, for the reports.
+
+    Only days whose folders changed since the last time are read, a slice at a time: their sums replace those of the same
+    days, and their sessions' times are folded into those known, which repeats no harm. If all days changed, as after a
+    full refresh, everything is made anew.
+    """
+    spark = warehouse.spark
+    changed, stamps = warehouse.changed_days("fct_events", "summary_days")
+    known = all(warehouse.exists(name) for name in ("daily_products", "daily_hours", "session_state"))
+    if not known or changed >= set(warehouse.days("fct_events")):
+        changed = set(warehouse.days("fct_events"))
+        warehouse.keep("summary_days", {})
+        warehouse.overwrite("session_state", spark.createDataFrame([], S.SESSION_STATE))
+        for name, schema in (("daily_products", S.DAILY_PRODUCTS), ("daily_hours", S.DAILY_HOURS)):
+            warehouse.overwrite(name, spark.createDataFrame([], S.with_day(schema)))
+    sizes = ((day, files.stored_bytes(spark, warehouse.day_path("fct_events", day))) for day in sorted(changed))
+    for part in day_ranges(sizes, slice_bytes):
+        days = sorted(day for day in changed if part.first <= day <= part.last)
+        rows = warehouse.read_each_day("fct_events", days)
+
+        def sums(name: str, made: DataFrame, days: Sequence[date] = days) -> Callable[[], None]:
+            return lambda: warehouse.replace_days(name, made, days)
+
+        def sessions(rows: DataFrame = rows) -> None:
+            folded = reports.earlier_times(warehouse.read("session_state"), reports.session_times(rows))
+            warehouse.overwrite("session_state", folded)
+
+        with sized(spark, part.size):
+            side_by_side(
+                sums("daily_products", reports.product_counts(rows, S.DAY)),
+                sums("daily_hours", reports.hour_sales(rows, S.DAY)),
+                sessions,
+            )
+    warehouse.keep("summary_days", stamps)
+
+
 def run_pipeline(
     warehouse: Warehouse,
     source: str,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from clickloom import schemas as S
 from clickloom.operators import quality
+from clickloom.session import Scratch
 
 # ---- Fixed values: which column has which check is part of the data contract ----
 RESULT = "table_name string, column_name string, check_name string, failures bigint"
@@ -42,12 +43,15 @@ def _rows(failing: DataFrame) -> DataFrame:
     return failing.selectExpr("count(*) AS failures")
 
 
-def run_day_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """The checks of the fact whose failures add up over days: repeated keys, as copies share a day, and orphans."""
-    results = [
-        _named("fct_events", f"'{column}'", "unique", _rows(quality.unique(tables["fct_events"], column)))
-        for column in UNIQUE["fct_events"]
-    ]
+def run_day_checks(tables: dict[str, DataFrame], scratch: Scratch) -> DataFrame:
+    """The checks of the fact whose failures add up over days: repeated keys, as copies share a day, and orphans.
+
+    Intermediate tables belong to ``scratch``.
+    """
+    results = []
+    for column in UNIQUE["fct_events"]:
+        failing = quality.unique_by_hash(tables["fct_events"], column, scratch.hold)
+        results.append(_named("fct_events", f"'{column}'", "unique", _rows(failing)))
     for (table, column), (parent, field) in RELATIONSHIPS.items():
         failing = quality.relationships(tables[table], column, tables[parent], field)
         orphans = failing.selectExpr("coalesce(sum(n_records), 0) AS failures")
@@ -55,12 +59,12 @@ def run_day_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, results)
 
 
-def run_checks(tables: dict[str, DataFrame], day_checks: DataFrame | None = None) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], day_checks: DataFrame) -> DataFrame:
     """``table_name, column_name, check_name, failures`` of the 27 checks; a check passes with 0 failures.
 
     Failures are NULL rows, repeated values, unaccepted values, and rows without a parent. One scan per table serves
     all its not-null checks; every other check reads its own column only. ``day_checks`` are the results of
-    :func:`run_day_checks` if these were run before, a part of the days at a time.
+    :func:`run_day_checks`, added up if these were run a part of the days at a time.
     """
     results = []
     for table, columns in NOT_NULL.items():
@@ -72,5 +76,5 @@ def run_checks(tables: dict[str, DataFrame], day_checks: DataFrame | None = None
     for (table, column), values in ACCEPTED.items():
         failing = quality.accepted_values(tables[table], column, values)
         results.append(_named(table, f"'{column}'", "accepted_values", _rows(failing)))
-    results.append(run_day_checks(tables) if day_checks is None else day_checks)
+    results.append(day_checks)
     return reduce(DataFrame.union, results)

@@ -13,7 +13,7 @@ from clickloom.functions.keys import surrogate_key, timestamp_text
 from clickloom.operators import members, quality
 from clickloom.plans import dims, fact, pipeline, reports, staging
 from clickloom.session import Scratch, prepare, work_folder
-from clickloom.sources import monthly_csv, samples
+from clickloom.sources import files, monthly_csv, samples
 from clickloom.sources.tables import Warehouse
 from clickloom.streaming.new_files import process_new_files
 
@@ -27,6 +27,8 @@ SECOND_LOAD_FROM = "2024-01-21"
 KNOWN_PRODUCT, KNOWN_USER, KNOWN_HOUR = "product_id < 50", "user_id < 75", "datetime_hour_utc < '2024-01-16'"
 #: The re-delivery of the look-back query: its first day, its price cut, and the days that the second run looks back.
 REDELIVERED_FROM, PRICE_CUT, LOOKBACK_DAYS = "2024-01-16", 1.0, 5
+#: A look-back over all of the clickstream.
+ALL_DAYS = 40
 
 
 def comparable(result: DataFrame) -> DataFrame:
@@ -160,15 +162,75 @@ def fct_events_incremental(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fct_events_merge_lookback(spark: SparkSession, folder: str) -> DataFrame:
-    """A full run, then a re-delivery at lower prices, of which the look-back takes in the last days only."""
+    return redelivered(spark, folder, new_warehouse(spark)).read("fct_events").drop(S.DAY)
+
+
+def fct_events_merge_clustered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over days of several files each, of which the merge rewrites those with matches."""
+    warehouse = Warehouse(spark, work_folder(spark, "warehouse"), cluster_bytes=0)
+    return redelivered(spark, folder, warehouse).read("fct_events").drop(S.DAY)
+
+
+def sales_by_hour_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales from the daily sums, which were made before the re-delivery and again after it."""
+    warehouse = new_warehouse(spark)
+    redelivered(spark, folder, warehouse, between=pipeline.update_summaries)
+    pipeline.update_summaries(warehouse)
+    return reports.sales_of_hours(warehouse.read("daily_hours"), warehouse.read("dim_datetime"), *reports.HOUR)
+
+
+def top_products_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Popular products from the daily sums, after a run over the first years and one over the later ones."""
+    warehouse = new_warehouse(spark)
+    raw = held(spark, samples.order_lines(spark, folder))
+    for rows in (raw.where("year(event_time) < 1999"), raw.where("year(event_time) >= 1999")):
+        warehouse.append("ecom_events", rows)
+        pipeline.transform(warehouse)
+        pipeline.update_summaries(warehouse)
+    return reports.top_products_of_days(warehouse.read("daily_products"), warehouse.read("dim_products"))
+
+
+def purchase_funnel_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The funnel from the sessions' first times; every session's events come in two runs, and the later ones first."""
     warehouse = new_warehouse(spark)
+    raw = held(spark, samples.clickstream(spark, folder))
+    late = F.coalesce(F.hour("event_time") >= 12, F.lit(False))
+    for rows in (raw.where(late), raw.where(~late)):
+        warehouse.append("ecom_events", rows)
+        pipeline.transform(warehouse, lookback_days=ALL_DAYS)
+        pipeline.update_summaries(warehouse)
+    return reports.funnel_of_sessions(warehouse.read("session_state"))
+
+
+def fct_events_foreign_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The second part of the history comes as files of another writer: other names, and no ingest in them."""
+    warehouse = new_warehouse(spark)
+    first, second, third = by_arrival(spark, folder)
+    warehouse.append("ecom_events", first)
+    pipeline.transform(warehouse)
+    outside = work_folder(spark, "outside")
+    dated = second.withColumn(S.DAY, F.to_date("event_time")).where(f"{S.DAY} IS NOT NULL")
+    dated.hint("rebalance", S.DAY).write.partitionBy(S.DAY).parquet(outside)
+    for day in files.names(spark, outside):
+        for n, name in enumerate(files.names(spark, f"{outside}/{day}") if "=" in day else []):
+            files.move(spark, f"{outside}/{day}/{name}", f"{warehouse.path('ecom_events')}/{day}/copied {n}.parquet")
+    warehouse.append("ecom_events", third)
+    pipeline.transform(warehouse)
+    return warehouse.read("fct_events").drop(S.DAY)
+
+
+def redelivered(
+    spark: SparkSession, folder: str, warehouse: Warehouse, between: Callable[[Warehouse], None] = lambda _: None
+) -> Warehouse:
+    """A full run, then a re-delivery at lower prices, of which the look-back takes in the last days only."""
     raw = samples.clickstream(spark, folder)
     warehouse.append("ecom_events", raw)
     pipeline.transform(warehouse)
+    between(warehouse)
     again = raw.where(F.col("event_time") >= F.lit(REDELIVERED_FROM).cast("timestamp"))
     warehouse.append("ecom_events", again.withColumn("price", F.col("price") - PRICE_CUT))
     pipeline.transform(warehouse, lookback_days=LOOKBACK_DAYS)
-    return warehouse.read("fct_events").drop(S.DAY)
+    return warehouse
 
 
 def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,7 +298,8 @@ def dq_not_null(spark: SparkSession, folder: str) -> DataFrame:
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
     """Event keys before the de-duplication."""
     events = staging.clean(samples.clickstream(spark, folder))
-    return quality.unique(events.select(staging.event_key().alias("event_sk")), "event_sk")
+    keys = held(spark, events.select(staging.event_key().alias("event_sk")))
+    return quality.unique_by_hash(keys, "event_sk", Scratch(spark).hold)
 
 
 def dq_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -385,7 +448,7 @@ def top_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchase_funnel(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.purchase_funnel(star(spark, samples.clickstream(spark, folder))[1])
+    return reports.purchase_funnel(star(spark, samples.clickstream(spark, folder), [])[1])
 
 
 def sales_by_hour(spark: SparkSession, folder: str) -> DataFrame:
@@ -436,6 +499,11 @@ QUERIES: dict[str, Query] = {
     "stream_fact": stream_fact,
     "dq_suite_incremental": dq_suite_incremental,
     "csv_quoted_fields": csv_quoted_fields,
+    "fct_events_merge_clustered": fct_events_merge_clustered,
+    "fct_events_foreign_files": fct_events_foreign_files,
+    "sales_by_hour_merged": sales_by_hour_merged,
+    "top_products_of_days": top_products_of_days,
+    "purchase_funnel_sessions": purchase_funnel_sessions,
     "top_products": top_products,
     "purchase_funnel": purchase_funnel,
     "sales_by_hour": sales_by_hour,

@@ -96,9 +96,6 @@ INGESTS = T.StructType([T.StructField(INGEST, T.StringType()), T.StructField("da
 #: Ingests that the dimensions have taken in.
 DIM_INGESTS = T.StructType([T.StructField(INGEST, T.StringType())])
 
-#: When the folders of days had last changed as something took their rows in.
-DAY_STAMPS = T.StructType([T.StructField("day", T.DateType()), T.StructField("stamp", T.LongType())])
-
 #: What happened to each product on each day, and in each hour.
 DAILY_PRODUCTS = T.StructType(
     [

@@ -23,6 +23,10 @@ from clickloom.sources import files
 BATCH_NAME = r"(?:^|=)(\d{4}-(?:" + "|".join(MONTH_LABELS) + r"))\.csv$"
 
 
+#: The most characters of a CSV record that spans lines.
+RECORD_CHARACTERS = 16 * 1024 * 1024
+
+
 def batch_label(month: str) -> str:
     """``2019-10`` to ``2019-Oct``."""
     match = re.fullmatch(r"(\d{4})-(0[1-9]|1[0-2])", month)
@@ -81,22 +85,37 @@ def records_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     A line begins a record if the quotes before it in its file are even. Each block counts its quotes; the counts of the
     blocks before it, a row per block, tell how a block begins. A record whose lines lie in two blocks is put together
-    from both, like any other.
+    from both, like any other. A record of more than ``RECORD_CHARACTERS``, as a quote that is never closed makes one,
+    fails the load where its lines are read, with the name of its file, before anything gathers them.
     """
     lines = lines_of(spark, paths)
     in_block = Window.partitionBy("file", "block").orderBy("n")
     until = in_block.rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
+    def bounded(column: str, size: Column) -> Column:
+        told = F.concat(F.lit("MALFORMED file "), F.col("file"), F.lit(f": a record of over {RECORD_CHARACTERS} characters"))
+        return F.when(size > RECORD_CHARACTERS, F.raise_error(told).cast("string")).otherwise(F.col(column))
+
     blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("in_it"))
     blocks = blocks.select("file", "block", F.coalesce(F.sum("in_it").over(earlier), F.lit(0)).alias("before"))
     begins = (F.coalesce(F.sum("quotes").over(until), F.lit(0)) + F.col("before")) % 2 == 0
     marked = lines.join(blocks, ["file", "block"]).withColumn("begins", begins.cast("int"))
-    marked = marked.withColumn("record", F.sum("begins").over(in_block))
+    # What a line's record has of this block so far: all up to the line less all before the record's first line.
+    size = F.length("value") + 1
+    marked = marked.withColumns({"record": F.sum("begins").over(in_block), "so_far": F.sum(size).over(in_block)})
+    before_record = F.max(F.when(F.col("begins") == 1, F.col("so_far") - size)).over(in_block)
+    marked = marked.withColumn("value", bounded("value", F.col("so_far") - F.coalesce(before_record, F.lit(0))))
     # Lines at the start of a block that begin no record belong to the last record of the blocks before it.
-    last = marked.groupBy("file", "block").agg(F.max("record").alias("records"))
+    last = marked.groupBy("file", "block").agg(F.max("record").alias("records"), F.max("so_far").alias("size"))
     began = F.when(F.col("records") > 0, F.struct(F.col("block").alias("began_in"), F.col("records").alias("last")))
-    last = last.select("file", "block", F.last(began, ignorenulls=True).over(earlier).alias("open"))
+    # Blocks that lie within one record as a whole.
+    inside = F.when(F.col("records") > 0, 0).otherwise(F.col("size"))
+    until_here = Window.partitionBy("file").orderBy("block")
+    last = last.select("file", "block", "records", F.last(began, ignorenulls=True).over(earlier).alias("open"), inside.alias("inside"))
+    last = last.withColumn("inside", F.sum("inside").over(until_here))
+    at_begin = F.max(F.when(F.col("records") > 0, F.col("inside"))).over(until_here)
+    last = last.withColumn("file", bounded("file", F.col("inside") - F.coalesce(at_begin, F.lit(0)))).select("file", "block", "open")
     placed = marked.join(last, ["file", "block"])
     own = F.col("record") > 0
     keys = [

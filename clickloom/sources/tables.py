@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterable, Sequence
@@ -28,8 +29,8 @@ FILE_BYTES, SPARE_FILES = 128 * 1024 * 1024, 64
 CLUSTER_BYTES = 1024 * 1024 * 1024
 #: Column of the task that read a row, while rows are dealt.
 READ_BY = "_read_by"
-#: A folder changed so lately, in milliseconds, may change again without its stamp telling.
-FRESH_MS = 2000
+#: A folder changed so lately, in milliseconds, may change again without its stamp telling; more where stamps are seconds.
+FRESH_MS, FRESH_SECONDS_MS = 20, 2000
 
 
 class Days(NamedTuple):
@@ -79,12 +80,10 @@ TABLES = {
     "finished_months": Layout(S.FINISHED_MONTHS),
     "ingests": Layout(S.INGESTS),
     "dim_ingests": Layout(S.DIM_INGESTS),
-    "dim_days": Layout(S.DAY_STAMPS),
     "fct_events": Layout(S.FCT_EVENTS, "event_at_utc", ("product_sk", "user_sk")),
     "daily_products": Layout(S.DAILY_PRODUCTS, S.DAY, ("product_sk",)),
     "daily_hours": Layout(S.DAILY_HOURS, S.DAY, ("datetime_sk",)),
     "session_state": Layout(S.SESSION_STATE),
-    "summary_days": Layout(S.DAY_STAMPS),
 }
 
 
@@ -124,6 +123,16 @@ class Warehouse:
         """Days of a day-partitioned table in order, from its folder names alone."""
         return sorted(self.day_stamps(name))
 
+    def _moves(self, name: str, staged: str) -> list[tuple[str, str]]:
+        """What to move where: the whole table if there is none yet, else whole days; their files where the day is there."""
+        if not files.exists(self.spark, self.path(name)):
+            return [(staged, self.path(name))]
+        there, moves = set(files.names(self.spark, self.path(name))), []
+        for entry in files.names(self.spark, staged):
+            each = files.names(self.spark, f"{staged}/{entry}") if entry in there and "=" in entry else [""]
+            moves += [(f"{staged}/{entry}/{f}".rstrip("/"), f"{self.path(name)}/{entry}/{f}".rstrip("/")) for f in each]
+        return moves
+
     def day_stamps(self, name: str) -> dict[date, int]:
         """The days of a table and when their folders last changed, from a listing of one folder."""
         self.recover()
@@ -131,17 +140,26 @@ class Warehouse:
         days = {entry.removeprefix(prefix): stamp for entry, stamp in found.items() if entry.startswith(prefix)}
         return {date.fromisoformat(day): stamp for day, stamp in days.items() if day != NULL_DAY}
 
-    def changed_days(self, name: str, book: str) -> tuple[set[date], DataFrame]:
-        """The days whose folders changed since ``book`` was written, and what to write there when they are taken in.
+    def changed_days(self, name: str, book: str) -> tuple[set[date], dict[date, int]]:
+        """The days whose folders changed since ``book`` was kept, and what to keep there once they are taken in.
 
-        Days that changed a moment ago are not entered, as they may change again within one tick of the clock. A file
-        system that keeps no times for folders has all days looked at.
+        Days that changed a moment ago are not kept, as they may change again within one tick of the clock. On a file
+        system that has no times for folders all days are looked at.
         """
-        stamps, now = self.day_stamps(name), int(time.time() * 1000)
-        known = {row.day: row.stamp for row in self.read(book).collect()} if self.exists(book) else {}
-        settled = [(day, stamp) for day, stamp in sorted(stamps.items()) if 0 < stamp < now - FRESH_MS]
-        changed = {day for day, stamp in stamps.items() if known.get(day) != stamp}
-        return changed, self.spark.createDataFrame(settled, S.DAY_STAMPS)
+        stamps, now, path = self.day_stamps(name), int(time.time() * 1000), self.book_path(book)
+        known = json.loads(files.read_text(self.spark, path)) if files.exists(self.spark, path) else {}
+        changed = {day for day, stamp in stamps.items() if known.get(str(day)) != stamp}
+        fresh = FRESH_SECONDS_MS if all(stamp % 1000 == 0 for stamp in stamps.values()) else FRESH_MS
+        return changed, {day: stamp for day, stamp in stamps.items() if 0 < stamp < now - fresh}
+
+    def book_path(self, book: str) -> str:
+        return f"{self.root}/_books/{book}.json"
+
+    def keep(self, book: str, stamps: dict[date, int]) -> None:
+        """Keep when the folders of days had last changed as their rows were taken in; a number per day."""
+        files.make_folder(self.spark, f"{self.root}/_books")
+        files.delete(self.spark, self.book_path(book))
+        files.write_text(self.spark, self.book_path(book), json.dumps({str(d): s for d, s in sorted(stamps.items())}))
 
     def day_slices(self, name: str, max_bytes: int, first: date = date.min) -> list[Days]:
         """The days from ``first`` on as ranges of at most ``max_bytes`` of stored data, or of one day, in order."""
@@ -213,14 +231,14 @@ class Warehouse:
         if ingest_id is not None:
             rows = rows.withColumn(S.INGEST, F.lit(ingest_id))
         self._write(name, rows, "overwrite", path=f"{staged}/{name}")
-        new = {name: files.files_below(self.spark, f"{staged}/{name}")}
+        moves = self._moves(name, f"{staged}/{name}")
         if ingest_id is not None:
-            folders = sorted({file.split("/")[0] for file in new[name] if "/" in file} - {f"{S.DAY}={NULL_DAY}"})
-            days = [(ingest_id, date.fromisoformat(folder.removeprefix(f"{S.DAY}="))) for folder in folders]
-            entry = self.spark.createDataFrame(days or [(ingest_id, None)], S.INGESTS).coalesce(1)
-            entry.write.parquet(f"{staged}/ingests")
-            new["ingests"] = files.files_below(self.spark, f"{staged}/ingests")
-        moves = [(f"{staged}/{table}/{file}", f"{self.path(table)}/{file}") for table in new for file in new[table]]
+            prefix = f"{S.DAY}="
+            folders = [f for f in files.names(self.spark, f"{staged}/{name}") if f.startswith(prefix)]
+            days = [f.removeprefix(prefix) for f in folders if not f.endswith(NULL_DAY)]
+            rows = [(ingest_id, date.fromisoformat(day)) for day in days] or [(ingest_id, None)]
+            self.spark.createDataFrame(rows, S.INGESTS).coalesce(1).write.parquet(f"{staged}/ingests")
+            moves += self._moves("ingests", f"{staged}/ingests")
         commits.commit(self.spark, self.journals, staged, moves, removes)
 
     def compact(self, name: str, file_bytes: int = FILE_BYTES, spare_files: int = SPARE_FILES) -> None:

@@ -13,7 +13,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import line_dedup, packing, pseudonyms, quality, simhash
-from clickloom.llm.common import documents, stored
+from clickloom.llm.common import KEPT, clear, documents, stored
+
+#: Setting of the session that holds the secret key of the pseudonyms; without it they can be undone by anyone.
+KEY_SETTING = "spark.clickloom.pseudonyms.key"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,7 +39,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced."""
-    return pseudonyms.pseudonymise(docs).select(*docs.columns)
+    return pseudonyms.pseudonymise(docs, spark.conf.get(KEY_SETTING, pseudonyms.KEY)).select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over ``documents``; each stage's result is written and read again."""
-    docs = documents(spark, sf_dir)
+    """The result of the last stage over ``documents``; each stage's result is written and read again, and only the last
+    one's table stays."""
+    docs, before = documents(spark, sf_dir), len(KEPT)
     for name, stage in STAGES:
         docs = stored(spark, f"pipeline-{name}", stage(spark, docs, sf_dir))
+        clear(spark, first=before, but=1)
     return docs

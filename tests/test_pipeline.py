@@ -620,3 +620,159 @@ def test_stream_repeats_a_failed_batch(spark, tmp_path, warehouse, monkeypatch):
     assert process_new_files(*arguments) == 1
     assert warehouse.read("ecom_events").count() == 1
     assert len(facts(warehouse)) == 1
+
+
+def day_files(warehouse, table: str) -> dict:
+    return {d: files.names(warehouse.spark, warehouse.day_path(table, d)) for d in warehouse.days(table)}
+
+
+def test_files_of_other_writers_reach_the_dimensions(spark, warehouse, raw_rows, tmp_path):
+    """Renamed files, and files without an ingest, on a new day and on one that is known."""
+    load(warehouse, raw_rows({"event_time": "2020-01-01 00:00:00"}))
+    for n, day in enumerate(("2020-01-01", "2020-01-02")):
+        rows = raw_rows({"event_time": f"{day} 05:00:00", "user_id": 70 + n, "product_id": 80 + n})
+        rows.coalesce(1).write.parquet(str(tmp_path / day))
+        (name,) = [f for f in files.names(spark, str(tmp_path / day)) if f.endswith(".parquet")]
+        files.move(spark, str(tmp_path / day / name), f"{warehouse.path('ecom_events')}/{DAY}={day}/some other name {n}")
+    pipeline.transform(warehouse)
+    assert {r.user_id for r in warehouse.read("dim_users").collect()} == {2, 70, 71}
+    assert {r.product_id for r in warehouse.read("dim_products").collect()} == {1, 80, 81}
+    assert pipeline.check(warehouse).agg(F.sum("failures")).first()[0] == 0
+
+
+def test_a_run_looks_at_changed_days_only(spark, warehouse, raw_rows, monkeypatch):
+    from clickloom.sources import tables
+
+    monkeypatch.setattr(tables, "FRESH_MS", -1000)
+    load(warehouse, raw_rows(*[{"event_time": f"2020-01-{d:02d} 00:00:00"} for d in range(1, 8)]))
+    looked = []
+    sizes = files.stored_bytes
+    monkeypatch.setattr(files, "stored_bytes", lambda s, path: (looked.append(path), sizes(s, path))[1])
+    pipeline.update_dims(warehouse)
+    assert not [path for path in looked if DAY in path]
+    warehouse.append("ecom_events", raw_rows({"event_time": "2020-01-03 01:00:00", "user_id": 9}))
+    pipeline.update_dims(warehouse)
+    assert {path.split("=")[-1] for path in looked if DAY in path} == {"2020-01-03"}
+    assert {r.user_id for r in warehouse.read("dim_users").collect()} == {2, 9}
+
+
+def test_a_merge_rewrites_the_files_with_matches_only(spark, warehouse, raw_rows):
+    for user in (1, 2, 3):
+        load(warehouse, raw_rows({"user_id": user, "event_time": f"2020-01-05 0{user}:00:00"}))
+    (before,) = day_files(warehouse, "fct_events").values()
+    assert len([f for f in before if f.endswith(".parquet")]) == 3
+    rows = warehouse.read("fct_events").where("hour(event_at_utc) = 2")
+    warehouse.merge("fct_events", rows.withColumn("event_price", F.lit(1.0)), "event_sk")
+    (after,) = day_files(warehouse, "fct_events").values()
+    assert len(set(before) & set(after)) == len(before) - 1
+    prices = {r.event_at_utc.hour: r.event_price for r in warehouse.read("fct_events").collect()}
+    assert prices == {1: 5.0, 2: 1.0, 3: 5.0}
+    rows = warehouse.read("fct_events").where("hour(event_at_utc) = 2")
+    with pytest.raises(DuplicateMergeKey):
+        warehouse.merge("fct_events", rows.unionByName(rows), "event_sk")
+    assert warehouse.read("fct_events").count() == 3
+
+
+@pytest.mark.parametrize("broken", ["move", "delete", "write_text"])
+def test_a_commit_of_several_days_is_whole_or_not_there(spark, warehouse, raw_rows, monkeypatch, broken):
+    load(warehouse, raw_rows(*[{"event_time": f"2020-01-{d:02d} 00:00:00"} for d in range(1, 7)]))
+    delta = warehouse.read("fct_events").drop(DAY).withColumn("event_price", F.lit(1.0))
+    calls, real = [], getattr(files, broken)
+
+    def failing(spark, path, *more):
+        if "/fct_events" in path or "/_commits" in path:
+            calls.append(path)
+            if len(calls) > (0 if broken == "write_text" else 2):
+                raise OSError("lost")
+        return real(spark, path, *more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, broken, failing)
+        with pytest.raises(OSError, match="lost"):
+            warehouse.merge("fct_events", delta, "event_sk")
+    other = Warehouse(spark, warehouse.root)
+    assert [r.event_price for r in other.read("fct_events").collect()] == [5.0 if broken == "write_text" else 1.0] * 6
+    assert all(len([f for f in names if f.endswith(".parquet")]) == 1 for names in day_files(other, "fct_events").values())
+
+
+def test_a_broken_append_is_entered_with_its_rows_or_not_at_all(spark, warehouse, raw_rows, monkeypatch):
+    rows = raw_rows(*[{"event_time": f"2020-01-{d:02d} 00:00:00"} for d in range(1, 4)])
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "move", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            warehouse.append("ecom_events", rows, "batch-1")
+    assert warehouse.ingested("batch-1") and not warehouse.append("ecom_events", rows, "batch-1")
+    assert warehouse.read("ecom_events").count() == 3 and not warehouse.ingested("batch-2")
+
+
+def test_files_of_a_large_day_have_ranges_of_their_own(spark, tmp_path, samples_folder):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"), cluster_bytes=0)
+    raw = samples.order_lines(spark, samples_folder)
+    times = F.timestamp_seconds(F.lit(1_578_182_400) + F.pmod(F.xxhash64("user_id", "price"), F.lit(86_400)))
+    one_day = raw.withColumn("event_time", times)
+    held = registry.held(spark, one_day)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        warehouse.append("ecom_events", held)
+        hot = held.withColumn("product_id", F.lit(7).cast("bigint")).withColumn("user_id", F.lit(7).cast("bigint"))
+        warehouse.append("ecom_events", hot.withColumn("event_time", F.lit("2020-01-06 00:00:00").cast("timestamp")).repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = warehouse.read("ecom_events").groupBy(DAY, F.input_file_name().alias("file"))
+    found = rows.agg(F.min("product_id").alias("low"), F.max("product_id").alias("high"), F.count("*").alias("n")).collect()
+    ranges = sorted((r.low, r.high) for r in found if r[DAY].day == 5)
+    assert len(ranges) > 2 and all(high <= low for (_, high), (low, _) in zip(ranges, ranges[1:]))
+    wanted = ranges[-1][1]
+    assert sum(low <= wanted <= high for low, high in ranges) == 1  # what a search for one product has to read
+    assert len([r for r in found if r[DAY].day == 6]) > 2  # one product and user: spread all the same
+    assert sum(r.n for r in found) == 2 * raw.count()
+
+
+def test_reports_from_summaries_equal_direct_ones(spark, warehouse, samples_folder):
+    raw = registry.held(spark, samples.clickstream(spark, samples_folder))
+
+    def both():
+        pipeline.update_summaries(warehouse)
+        events, hours, products = (warehouse.read(n) for n in ("fct_events", "dim_datetime", "dim_products"))
+        daily_hours, daily_products = warehouse.read("daily_hours"), warehouse.read("daily_products")
+        pairs = [
+            (reports.purchase_funnel(events), reports.funnel_of_sessions(warehouse.read("session_state"))),
+            (reports.sales_by_hour(events, hours), reports.sales_of_hours(daily_hours, hours, *reports.HOUR)),
+            (reports.sales_by_weekday(events, hours), reports.sales_of_hours(daily_hours, hours, *reports.WEEKDAY)),
+            (reports.top_products(events, products), reports.top_products_of_days(daily_products, products)),
+        ]
+        for direct, summed in pairs:
+            assert Counter(map(tuple, direct.collect())) == Counter(map(tuple, summed.collect()))
+
+    load(warehouse, raw.where("user_id % 2 = 0"))
+    both()
+    load(warehouse, raw.where("user_id % 2 = 1").withColumn("price", F.col("price") + 1), lookback_days=40)
+    both()
+    load(warehouse, raw.where("day(event_time) > 25").withColumn("price", F.col("price") / 2), lookback_days=3)
+    both()
+
+
+def test_repeats_are_found_by_hashes_first(spark):
+    values = [("a",), ("a",), (None,), (None,), ("b",), ("c",), ("c",), ("c",)]
+    table, held = spark.createDataFrame(values, "c string"), []
+
+    def hold(label, rows):
+        held.append(rows.collect())
+        return spark.createDataFrame(held[-1], rows.schema), 0
+
+    assert sorted(map(tuple, quality.unique_by_hash(table, "c", hold).collect())) == [("a", 2), ("c", 3)]
+    assert len(held[0]) == 2 and [type(v) for row in held[0] for v in row] == [int, int]
+
+
+@pytest.mark.parametrize("split", ["32k", "128m"])
+def test_a_quote_that_is_never_closed_fails_the_load(spark, tmp_path, monkeypatch, split):
+    monkeypatch.setattr(monthly_csv, "RECORD_CHARACTERS", 100_000)
+    csv(tmp_path, "2019-Oct.csv", GOOD, GOOD.replace("runail", '"open'), *[GOOD] * 3000, GOOD.replace("runail", '"open'))
+    csv(tmp_path, "2019-Nov.csv", *[GOOD.replace("runail", '"a\nb"')] * 3000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        with pytest.raises(Exception, match="MALFORMED file .*2019-Oct.csv: a record of over 100000 characters"):
+            monthly_csv.scan(spark, [str(tmp_path / "2019-Oct.csv")]).count()
+        assert monthly_csv.scan(spark, [str(tmp_path / "2019-Nov.csv")]).count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
