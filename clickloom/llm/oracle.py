@@ -44,7 +44,10 @@ FROM keyed k LEFT JOIN often o ON o.key = k.key GROUP BY doc_id
 """
 
 SECRETS = r"""
-WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || source, '') AS owner, sha256(coalesce(text, '')) AS repository
+    FROM documents
+),
 patterns(kind_no, kind, pattern, grp, least) AS (
     VALUES
     (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
@@ -53,13 +56,13 @@ patterns(kind_no, kind, pattern, grp, least) AS (
     (3, 'bare', '[A-Za-z0-9_+/=-]+', 0, 20)
 ),
 found AS (
-    SELECT doc_id, owner, kind_no, kind, least, regexp_extract_all(t, pattern) AS matches,
+    SELECT doc_id, owner, repository, kind_no, kind, least, regexp_extract_all(t, pattern) AS matches,
            CASE grp WHEN 2 THEN regexp_extract_all(t, pattern, 2) ELSE regexp_extract_all(t, pattern) END AS vals,
            string_split_regex(t, pattern) AS gaps
     FROM docs, patterns
 ),
 each AS (
-    SELECT doc_id, owner, kind_no, kind, least, unnest(matches) AS match, unnest(vals) AS val,
+    SELECT doc_id, owner, repository, kind_no, kind, least, unnest(matches) AS match, unnest(vals) AS val,
            unnest(gaps[1:len(matches)]) AS gap, generate_subscripts(matches, 1) AS place
     FROM found
 ),
@@ -68,7 +71,7 @@ placed AS (
     FROM each
 ),
 tokens AS (
-    SELECT doc_id, owner, kind_no, kind, least, start,
+    SELECT doc_id, owner, repository, kind_no, kind, least, start,
            CASE kind WHEN 'bare' THEN regexp_extract(match, '^[A-Za-z0-9_+-]+') ELSE val END AS val,
            start + CASE kind WHEN 'bare' THEN length(regexp_extract(match, '^[A-Za-z0-9_+-]+')) ELSE length(match) END AS stop
     FROM placed
@@ -82,10 +85,12 @@ clear AS (
         SELECT 1 FROM long b WHERE b.doc_id = a.doc_id AND b.kind <> 'bare' AND b.start < a.stop AND a.start < b.stop
     )
 ),
-owners AS (SELECT val, count(DISTINCT owner) AS owners FROM clear GROUP BY val),
+owners AS (
+    SELECT val, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repository)) AS repositories FROM clear GROUP BY val
+),
 judged AS (
-    SELECT c.*, o.owners >= 3 AS copied,
-           o.owners < 3 AND len(list_distinct(string_split(c.val, ''))) >= 8 AND NOT regexp_matches(
+    SELECT c.*, o.owners, o.repositories, o.owners >= 3 OR o.repositories >= 10 AS copied,
+           o.owners < 3 AND o.repositories < 10 AND len(list_distinct(string_split(c.val, ''))) >= 8 AND NOT regexp_matches(
                c.val, '(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567') AS live
     FROM clear c JOIN owners o ON o.val = c.val
 ),
@@ -97,6 +102,7 @@ SELECT d.doc_id,
        count(*) FILTER (kind = 'hex') AS n_hex,
        sha256(coalesce(string_agg(span, ',' ORDER BY start, kind_no) FILTER (kind <> 'bare'), '')) AS base_sha256,
        coalesce(string_agg(span, ',' ORDER BY start, kind_no), '') AS spans,
+       coalesce(string_agg(owners || ':' || repositories, ',' ORDER BY start, kind_no), '') AS counts,
        count(*) FILTER (live) AS n_live,
        count(*) FILTER (copied) AS n_copied
 FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id

@@ -36,8 +36,10 @@ def op1_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The counts of values are equal here, as the table has one grain only; the twin has none.
-    return secrets.find_secrets(documents(spark, sf_dir)).drop("counts")
+    # The table has no repositories, so each distinct text is one; its source is the owner.
+    found = secrets.find_secrets(documents(spark, sf_dir), repository=None)
+    counts = F.transform("counts", lambda c: F.concat_ws(":", c["owners"], c["repositories"]))
+    return found.withColumn("counts", F.array_join(counts, ","))
 
 
 def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

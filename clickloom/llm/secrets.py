@@ -4,8 +4,8 @@ Three patterns give the base spans: assignments to names such as ``password``, a
 Every value found is counted over the corpus: in how many distinct repositories, and of how many distinct owners. Values
 of many owners, or in very many repositories even of one owner, are copied examples; the others are live if they look
 random. Long mixed tokens next to nothing telling are spans too, of kind ``bare``, if they are live and no base span covers
-them. Owners and repositories are columns, and a repository may be a distinct text. If both are one column, as in
-``documents`` with its ``source``, both counts are equal and only the owners decide.
+them. Owners and repositories are columns, and a repository may be a distinct text, as in ``documents``, where the owner is
+the ``source``. If both are one column, both counts are equal and only the owners decide.
 
 A text is scanned once; what is found, and no text, goes on. All of it is built-in functions. Places are code points,
 ends exclusive. Null texts are empty. Null owners and repositories count as one of their own. Repeated rows are rows of
@@ -100,10 +100,12 @@ def spans(scanned: DataFrame) -> DataFrame:
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    in_row = Window.partitionBy("row_id").orderBy("start")
+    in_row, backward = (Window.partitionBy("row_id").orderBy(o) for o in ("start", F.desc("start")))
     base = F.col("kind") != BARE
-    ends = F.max(F.when(base, F.col("end"))).over(in_row.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    starts = F.min(F.when(base, F.col("start"))).over(in_row.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # Frames that only grow: one with an end that follows would be made anew for each row.
+    grown = Window.unboundedPreceding, Window.currentRow
+    ends = F.max(F.when(base, F.col("end"))).over(in_row.rangeBetween(*grown))
+    starts = F.min(F.when(base, F.col("start"))).over(backward.rangeBetween(*grown))
     found = found.withColumns({"ends": ends, "starts": starts})
     clear = F.coalesce(F.col("ends") <= F.col("start"), F.lit(True))
     clear = clear & F.coalesce(F.col("starts") >= F.col("end"), F.lit(True))
@@ -112,7 +114,8 @@ def spans(scanned: DataFrame) -> DataFrame:
 
 def ownership(found: DataFrame) -> DataFrame:
     """``value_key, owners, repositories``: of how many each value is. Hot values shrink before they are shuffled."""
-    owner, repository = (F.coalesce(F.col(c), F.lit("")) for c in ("owner", "repository"))
+    # An owner without a name is another one than one whose name is empty.
+    owner, repository = (F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("owner", "repository"))
     held = found.groupBy("value_key", owner.alias("owner"), repository.alias("repository")).agg(F.count("*").alias("n"))
     by_owner = held.groupBy("value_key", "owner").agg(F.count("*").alias("repositories"))
     counted = by_owner.groupBy("value_key").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from datetime import date
 
@@ -314,3 +315,26 @@ def test_days_of_a_century_are_permuted(spark):
     )
     bounds = days.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n")).first()
     assert tuple(bounds) == (36525, 36525, "1930-01-01", "2029-12-31")
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    text = " ".join(f"password=hunter2hunter{n:06d}" for n in range(100_000))
+    rows = spark.createDataFrame([(1, text, "s"), (2, None, None)], "doc_id bigint, text string, source string")
+    start = time.monotonic()
+    got = {r.doc_id: r for r in secrets.find_secrets(rows, repository=None).collect()}
+    assert got[1].n_assign == 100_000 and got[2].n_assign == 0 and time.monotonic() - start < 60
+
+
+def test_repositories_alone_can_make_a_copy(spark):
+    values = ["Zq8Lm2Xv9Tr4Kp7Wn3", "Ab1Cd2Ef3Gh4Ij5Kl6"]
+    texts = [f"{n} token={values[0]}" for n in range(10)] + [f"{n} token={values[1]}" for n in range(9)] + [f"0 token={values[1]}"]
+    rows = spark.createDataFrame([(n, t, None if n == 12 else "one") for n, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in secrets.find_secrets(rows, repository=None).collect()}
+    assert [(got[n].n_live, got[n].n_copied) for n in (0, 9, 10, 19)] == [(0, 1), (0, 1), (1, 0), (1, 0)]
+    assert tuple(got[0].counts[0]) == (1, 10) and tuple(got[12].counts[0]) == (2, 9)
+
+
+def test_owners_without_a_name_and_with_an_empty_one_are_two(spark):
+    rows = [(1, "token=Zq8Lm2Xv9Tr4Kp7Wn3", None), (2, "token=Zq8Lm2Xv9Tr4Kp7Wn3", ""), (3, "token=Zq8Lm2Xv9Tr4Kp7Wn3", "a")]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert all(r.n_copied == 1 and tuple(r.counts[0]) == (3, 3) for r in got)
