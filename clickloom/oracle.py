@@ -375,7 +375,7 @@ ORACLE: dict[str, str] = {
     # Of the second part's events, the foreign writer left out those without a time, which no table has anyway.
     "fct_events_foreign_files": sql("SELECT * FROM fct", *star(CLICKSTREAM, fact())),
     "sales_by_hour_merged": sql(sales("hour_utc"), *star(CLICKSTREAM, *LOOKBACK, fact("stg_merged"))),
-    "top_products_of_days": sql(TOP_PRODUCTS, *star(ORDER_LINES, fact())),
+    "top_products_of_days": sql(TOP_PRODUCTS, *star(CLICKSTREAM, fact())),
     "purchase_funnel_sessions": sql(FUNNEL, *star(CLICKSTREAM, fact())),
     "top_products": sql(TOP_PRODUCTS, *star(ORDER_LINES, fact())),
     "purchase_funnel": sql(FUNNEL, *star(CLICKSTREAM, fact())),

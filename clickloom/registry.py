@@ -146,14 +146,18 @@ def loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return rows.where("load = 1"), rows.where("load = 2")
 
 
-def incremental_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+def incremental_warehouse(
+    spark: SparkSession, folder: str, between: Callable[[Warehouse], None] = lambda _: None
+) -> Warehouse:
     """Two runs over the clickstream: all events before the split time, then the others."""
     warehouse = new_warehouse(spark)
     raw = samples.clickstream(spark, folder)
     late = F.coalesce(F.col("event_time") >= F.lit(SECOND_LOAD_FROM).cast("timestamp"), F.lit(False))
-    for rows in (raw.where(~late), raw.where(late)):
-        warehouse.append("ecom_events", rows)
-        pipeline.transform(warehouse)
+    warehouse.append("ecom_events", raw.where(~late))
+    pipeline.transform(warehouse)
+    between(warehouse)
+    warehouse.append("ecom_events", raw.where(late))
+    pipeline.transform(warehouse)
     return warehouse
 
 
@@ -180,13 +184,9 @@ def sales_by_hour_merged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_products_of_days(spark: SparkSession, folder: str) -> DataFrame:
-    """Popular products from the daily sums, after a run over the first years and one over the later ones."""
-    warehouse = new_warehouse(spark)
-    raw = held(spark, samples.order_lines(spark, folder))
-    for rows in (raw.where("year(event_time) < 1999"), raw.where("year(event_time) >= 1999")):
-        warehouse.append("ecom_events", rows)
-        pipeline.transform(warehouse)
-        pipeline.update_summaries(warehouse)
+    """Popular products from the daily sums, after a run over the first days and one over the later ones."""
+    warehouse = incremental_warehouse(spark, folder, between=pipeline.update_summaries)
+    pipeline.update_summaries(warehouse)
     return reports.top_products_of_days(warehouse.read("daily_products"), warehouse.read("dim_products"))
 
 
