@@ -22,7 +22,7 @@ from tests.llm.test_near_duplicates import brute_fingerprint, roots
 def test_all_are_registered():
     found = __spark_entry__.queries()
     assert [name for name in found if re.match(r"op\d+_", name)] == list(queries.QUERIES)
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert found["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
 
 

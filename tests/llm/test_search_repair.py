@@ -14,8 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 
-from clickloom.llm import ball_trees, conversation_repair, norm_buckets, queries
-from tests.compare import differences
+from clickloom.llm import ball_trees, conversation_repair, norm_buckets
 from tests.llm.cases import awkward_texts, odd_rows, sentence
 
 # Ranked lexical search
@@ -320,9 +319,3 @@ def test_a_conversation_without_rows_after_damage(spark):
     frame = spark.createDataFrame([(5, turn, "user", "Hi.")], "conv_id bigint, turn bigint, role string, text string")
     (row,) = conversation_repair.repair(conversation_repair.damaged(frame)).collect()
     assert tuple(row) == (5, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
-
-
-@pytest.mark.parametrize("name", ["op11_norm_buckets", "op12_conversation_repair", "op13_ball_trees"])
-def test_query_equals_its_twin(spark, samples_folder, name):
-    assert name in queries.ORACLE
-    assert differences(spark, samples_folder, name) == []
