@@ -36,7 +36,7 @@ def test_staged_by_type(clickstream):
     rows = (
         staging.stg_ecom_events(clickstream)
         .groupBy("event_type")
-        .agg(F.count("*"), reports.revenue(F.col("event_price")))
+        .agg(F.count("*"), reports.cents(F.col("event_price")).cast("double"))
         .collect()
     )
     assert {r[0]: tuple(r[1:]) for r in rows} == {
