@@ -1,11 +1,13 @@
 """Packing of tokenized documents into sequences by swap-based local search.
 
 A document's ids and the end id are cut into pieces only if they are more than a sequence holds. Pieces are dealt to
-blocks of bounded size and packed best fit, longest first. Sequences that are not full are taken apart and go to fewer
-blocks, until one block holds all that is left or taking apart no longer helps. There pieces are moved and swapped
-between underfull sequences (one, one for one, two for one), as long as that increases the sum of squared fills, until
-sequences are empty and there are as few as the pieces must have, or no exchange is left. So only lengths are shuffled,
-never texts or ids, and no task packs more than a block.
+blocks of bounded size. In each block they are packed best fit, longest first; then pieces are moved and swapped between
+underfull sequences (one, one for one, two for one), as long as that increases the sum of squared fills, until sequences
+are empty and there are as few as the pieces must have, or no exchange is left. If none is left too early, the block
+starts once more from best fit in the order of its keys, and the better packing stays. The emptiest sequences of all
+blocks are taken apart and go to a quarter as many blocks, until one block has searched what is left. So underfull
+sequences of different blocks meet at every size, only lengths are shuffled, never texts or ids, and no task packs more
+than a block.
 
 Null texts are empty: their sequence is the end id alone. Repeated rows and equal ids are pieces of their own. An empty
 table gives no rows. Input columns other than ``doc_id`` and ``text`` are not looked at.
@@ -29,8 +31,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that a task packs at a time.
 BLOCK_PIECES = 8192
-#: Sequences of more pieces exchange single ones only.
-CROWDED_PIECES = 48
+#: Blocks whose emptiest sequences go to one block of the next turn.
+MERGED_BLOCKS = 4
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -67,11 +69,13 @@ class Sequences:
         self.members: list[list[int]] = []
         self.fill: list[int] = []
 
-    def best_fit(self) -> None:
-        """Each piece, longest first, into the fullest sequence that has room, found by its free tokens."""
+    def best_fit(self, order: np.ndarray | None = None) -> None:
+        """Each piece, longest first or in the given order, into the fullest sequence that has room, found by its free
+        tokens."""
+        order = np.argsort(-self.lengths, kind="stable") if order is None else order
         with_room: list[list[int]] = [[] for _ in range(self.capacity + 1)]
         free_sizes = np.zeros(self.capacity + 1, bool)
-        for piece in np.argsort(-self.lengths, kind="stable").tolist():
+        for piece in order.tolist():
             length = int(self.lengths[piece])
             found = int(free_sizes[length:].argmax()) + length
             if free_sizes[found]:
@@ -96,17 +100,23 @@ class Sequences:
             self.fill[sequence] = int(self.lengths[self.members[sequence]].sum())
 
     def units(self, sequences: list[int]) -> tuple[np.ndarray, ...]:
-        """All pieces of these sequences, and all twos in one that is not too crowded: length, sequence, pieces (-1: no
-        second piece)."""
-        first = [np.asarray(self.members[s]) for s in sequences]
-        second = [np.full(len(f), -1) for f in first]
-        owner = [np.full(len(f), s) for f, s in zip(first, sequences)]
-        for pieces, sequence in zip(first[:], sequences):
-            if len(pieces) <= CROWDED_PIECES:
-                i, j = np.triu_indices(len(pieces), 1)
-                first.append(pieces[i])
-                second.append(pieces[j])
-                owner.append(np.full(len(i), sequence))
+        """What each of these sequences can give: length, sequence, pieces (-1: no second piece).
+
+        Pieces of one length are alike, so a unit for each length and each two lengths does; as the lengths in a sequence
+        add up to its fill at most, there are never more of these than it holds tokens, about.
+        """
+        first, second, owner = [], [], []
+        for sequence in sequences:
+            pieces = np.asarray(self.members[sequence])
+            _, at, many = np.unique(self.lengths[pieces], return_index=True, return_counts=True)
+            i, j = np.triu_indices(len(at), 1)
+            alike = at[many > 1]
+            # Another piece of the same length, by looking from the other end.
+            _, behind = np.unique(self.lengths[pieces[::-1]], return_index=True)
+            other = (len(pieces) - 1 - behind)[many > 1]
+            first += [pieces[at], pieces[at[i]], pieces[alike]]
+            second += [np.full(len(at), -1), pieces[at[j]], pieces[other]]
+            owner.append(np.full(len(at) + len(i) + len(alike), sequence))
         one, two, owner = map(np.concatenate, (first, second, owner))
         length = self.lengths[one] + np.where(two >= 0, self.lengths[two], 0)
         return length, owner, one, two
@@ -155,11 +165,18 @@ class Sequences:
                 chosen.append((source, target, own, other))
         return chosen
 
+    def count(self) -> int:
+        return sum(1 for members in self.members if members)
+
+    def needed(self) -> int:
+        """As few sequences as the pieces must have."""
+        large = int((self.lengths > self.capacity // 2).sum())
+        return max(-(-int(self.lengths.sum()) // self.capacity), large)
+
     def search(self) -> None:
         """Exchange as long as there are more sequences than the pieces must have and an exchange is left."""
-        total, large = int(self.lengths.sum()), int((self.lengths > self.capacity // 2).sum())
-        needed = max(-(-total // self.capacity), large)
-        while sum(1 for members in self.members if members) > needed:
+        needed = self.needed()
+        while self.count() > needed:
             chosen = self.exchanges()
             if not chosen:
                 return
@@ -167,33 +184,59 @@ class Sequences:
                 self.exchange(*exchange)
 
 
-def pack_block(rows: pa.Table, capacity: int, base: int, search: bool) -> pa.Table:
-    """Place the pieces of one block; its sequences are numbered from ``base`` + block * 2^20."""
+def packed_by_search(lengths: np.ndarray, order: np.ndarray, capacity: int) -> Sequences:
+    """The best of two searches: from best fit by length and, if that stops early, by the given order."""
+    best = Sequences(lengths, capacity)
+    best.best_fit()
+    best.search()
+    if best.count() > best.needed():
+        again = Sequences(lengths, capacity)
+        again.best_fit(order)
+        again.search()
+        best = min(best, again, key=Sequences.count)
+    return best
+
+
+def handed_on(packed: Sequences, quota: int) -> list[int]:
+    """The emptiest sequences that are not full, with ``quota`` pieces together, but at least one sequence."""
+    chosen, held = [], 0
+    is_open = [n for n, members in enumerate(packed.members) if members and packed.fill[n] < packed.capacity]
+    for number in sorted(is_open, key=lambda n: packed.fill[n]):
+        held += len(packed.members[number])
+        if chosen and held > quota:
+            break
+        chosen.append(number)
+    return chosen
+
+
+def pack_block(rows: pa.Table, capacity: int, base: int, quota: int) -> pa.Table:
+    """Place the pieces of one block; its sequences are numbered from ``base`` + block * 2^20. Those to be taken apart
+    again, of ``quota`` pieces, are marked open."""
     rows = rows.sort_by([("length", "descending"), ("piece_key", "ascending")])
     lengths = rows["length"].to_numpy()
-    packed = Sequences(lengths, capacity)
-    packed.best_fit()
-    if search:
-        packed.search()
+    keys = rows["piece_key"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    packed = packed_by_search(lengths, np.argsort(keys, kind="stable"), capacity)
     sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
     is_open = np.zeros(len(rows), bool)
     for number, members in enumerate(packed.members):
         sequence[members] = number
         offset[members] = np.cumsum(lengths[members]) - lengths[members]
-        is_open[members] = packed.fill[number] < capacity
+    for number in handed_on(packed, quota) if quota else ():
+        is_open[packed.members[number]] = True
     sequence += base + (rows["block"][0].as_py() << 20)
     placed = rows.drop_columns("block").append_column("sequence_id", pa.array(sequence))
     return placed.append_column("offset", pa.array(offset)).append_column("open", pa.array(is_open))
 
 
-def block_task(capacity: int, base: int, search: bool) -> Callable[[pa.Table], pa.Table]:
-    return lambda block: pack_block(block, capacity, base, search)
+def block_task(capacity: int, base: int, quota: int) -> Callable[[pa.Table], pa.Table]:
+    return lambda block: pack_block(block, capacity, base, quota)
 
 
 def pack(cut_pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """Give each piece a sequence and a place in it: ``sequence_id``, ``offset``.
 
-    Takes the columns of :func:`pieces`. Sequence numbers only tell sequences apart.
+    Takes the columns of :func:`pieces`. Sequence numbers only tell sequences apart. Every turn has at most a quarter of
+    the blocks of the one before, so the number of turns grows with the logarithm of the pieces.
     """
     spark = cut_pieces.sparkSession
     rows = stored(spark, "pieces", cut_pieces.withColumn("piece_key", F.monotonically_increasing_id()))
@@ -201,22 +244,17 @@ def pack(cut_pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, block_pieces: i
         {"sequence_id": -1 - F.col("piece_key"), "offset": F.lit(0).cast("bigint")}
     )
     done, loose = [whole], rows.where(F.col("length") < capacity)
-    count, turn, last = loose.count(), 0, False
+    count, turn = loose.count(), 0
+    blocks = -(-count // block_pieces)
     while count:
-        blocks = -(-count // block_pieces)
-        last = last or blocks == 1
+        fewer = -(-blocks // MERGED_BLOCKS) if blocks > 1 else 0
         dealt = loose.withColumn("block", F.pmod(F.xxhash64("piece_key", F.lit(turn)), F.lit(blocks)))
-        task = block_task(capacity, turn << 50, search=last)
+        task = block_task(capacity, turn << 50, quota=block_pieces * fewer // blocks)
         placed = stored(spark, "packed", dealt.groupBy("block").applyInArrow(task, PLACED))
-        if last:
-            done.append(placed.drop("open"))
-            break
-        left = placed.where("open").count()
-        if left * 2 > count:  # pieces too coarse to be mended by taking apart: exchange them in their blocks
-            last = True
-            continue
         done.append(placed.where("not open").drop("open"))
-        loose, count, turn = placed.where("open").drop("sequence_id", "offset", "open"), left, turn + 1
+        loose = placed.where("open").drop("sequence_id", "offset", "open")
+        count = loose.count() if fewer else 0
+        blocks, turn = min(fewer, -(-count // block_pieces)), turn + 1
     packed = done[0]
     for part in done[1:]:
         packed = packed.unionByName(part)

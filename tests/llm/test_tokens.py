@@ -127,6 +127,38 @@ def test_search_keeps_pieces_and_never_needs_more(lengths):
     assert all(sum(lengths[i] for i in m) <= 40 for m in filled)
 
 
+def coarse_pieces(spark, n):
+    """Pieces of 900 to 1900 tokens: three or so to a sequence, so best fit alone does badly."""
+    lengths = np.random.default_rng(1).integers(900, 1901, n).tolist()
+    rows = [(i, 0, 0, length, 0) for i, length in enumerate(lengths)]
+    return lengths, spark.createDataFrame(rows, packing.PIECES)
+
+
+def test_block_size_hardly_matters(spark):
+    lengths, pieces = coarse_pieces(spark, 4000)
+    bound = -(-sum(lengths) // 4096)
+    best_fit = packing.Sequences(np.asarray(lengths), 4096)
+    best_fit.best_fit()
+    for block in (8192, 1000, 300):
+        placed = packing.pack(pieces, block_pieces=block).collect()
+        fills = Counter()
+        for row in placed:
+            fills[row.sequence_id] += row.length
+        assert sorted(row.doc_id for row in placed) == list(range(4000)) and max(fills.values()) <= 4096
+        assert len(fills) <= 1.035 * bound < 0.95 * best_fit.count()
+
+
+def test_crowded_sequences_exchange_two_for_one():
+    # 60 pieces of one token each crowd two sequences; only two of them for one of length 2 fill both.
+    lengths = np.asarray([2] + [1] * 60 + [38])
+    packed = packing.Sequences(lengths, 101)
+    packed.members, packed.fill = [[0, *range(1, 60)], [60, 61]], [61, 39]
+    gives = set(zip(*(column.tolist() for column in packed.units([0])[:2])))
+    assert gives == {(2, 0), (1, 0), (3, 0)} | {(2, 0)}
+    packed.search()
+    assert packed.count() == packed.needed() == 1
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit_decreasing_by_segment_tree(lengths):
