@@ -2,10 +2,13 @@
 
 A rolling hash over the last bytes cuts each text where its content says so, so equal passages give equal chunks
 wherever they stand. Chunks found in several texts are encoded by one of them, the owner; the others refer to its ids.
-Where chunks meet, tokens may run across the join. The join is repaired by encoding the text around it anew, from the
-left chunk's last sync point to the right chunk's first. A sync point is a space between two marks that are no white
-space: no word of the vocabulary's pattern runs across it, whatever stands around, so from there on the ids agree
-exactly with those stored. A chunk without two sync points is encoded with its neighbours.
+Chunks that come again inside one text are encoded once there, too.
+
+Where chunks meet, tokens may run across the join. It is repaired by encoding the text around it anew, from the left
+chunk's last sync point to the right chunk's first, and through every chunk between them that has no two sync points, until
+both ends are such points. A sync point is a place where a word of the vocabulary's pattern ends whatever stands
+around: white space behind any other character, or a mark of a sentence behind a letter. From there on the ids agree
+exactly with those stored. Texts of any script have such places where they have spaces, line breaks or these marks.
 
 The work goes by distinct text: rows with equal texts share one result. Null texts are empty, with no tokens. Repeated
 rows each get a row. An empty table gives no rows. Input columns other than ``doc_id`` and ``text`` are not looked at.
@@ -15,7 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -26,16 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import batch_of, map_rows, slices, stored, whole_text
-from clickloom.llm.tokens import decode, encoder
+from clickloom.llm.tokens import decode, encoder, id_bytes
 
-#: A chunk ends where the low bits of the hash over the last WINDOW bytes are 0, every 2^CUT_BITS bytes on average.
-WINDOW, CUT_BITS = 32, 10
+#: A chunk ends where the low bits of the hash over the last WINDOW bytes are 0, every 2^CUT_BITS bytes on average. Shorter
+#: chunks find more of what texts share, at 16 bytes of hash for each.
+WINDOW, CUT_BITS = 32, 8
 #: Bytes that the rolling hash takes on at a time.
 SCAN_BYTES = 1 << 22
 
-#: A space between two marks; letters of any script and all other characters stay out, as engines class them apart.
-MARK = r"[!-~À-ÖØ-öø-ÿ]"
-SYNC = re.compile(rf"(?<={MARK}) (?={MARK})")
+#: What no engine takes for white space, and white space for all of them.
+SOLID, WHITE = r"[^\s\x1c-\x1f\x85\u180e\u200b-\u200f\u2028-\u202f\u205f-\u206f\ufeff]", r"[ \n\t]"
+#: Letters in all engines (Latin, Greek, Cyrillic, Arabic, Japanese, Chinese, Korean), and marks of a sentence.
+LETTER, STOP = "[A-Za-zα-ωА-яء-غぁ-ゖァ-ヺ一-龥가-힣]", "[.,;:!?)،؛؟。、，．：；！？）」』]"
+SYNC = re.compile(f"(?<={SOLID})(?={WHITE})|(?<={LETTER})(?={STOP})")
 
 
 @lru_cache(maxsize=1)
@@ -132,7 +139,8 @@ FOUND = (
 )
 FOUND_NAMES = [part.split()[0] for part in FOUND.split(", ")]
 FOUND_TYPES = [pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.string()]
-#: Kinds of rows: a text's whole result, an owner's chunk, a part of a text that refers to chunks.
+#: Kinds of rows: a text's whole result, an owner's chunk, a part of a text that refers to chunks: ids of its own, then
+#: those of the chunk (in the last part: none).
 WHOLE, OWNED, PART = 0, 1, 2
 
 
@@ -142,6 +150,51 @@ def summary(ids: bytes, path: str) -> tuple[int, str, str]:
     return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
 
 
+def narrow(ids: bytes, path: str) -> bytes:
+    """Ids in as few bytes as the vocabulary needs, for the way through a shuffle."""
+    return np.frombuffer(ids, "<u4").astype("<u2").tobytes() if len(id_bytes(path)) <= 1 << 16 else ids
+
+
+def widened(ids: bytes, path: str) -> bytes:
+    """What :func:`narrow` was given."""
+    return np.frombuffer(ids, "<u2").astype("<u4").tobytes() if len(id_bytes(path)) <= 1 << 16 else ids
+
+
+def parts_of(
+    text: str, owned: set[bytes], others: set[bytes], encode: Callable[[str], bytes]
+) -> tuple[list[tuple[bytes, bytes | None]], dict[bytes, bytes]]:
+    """The text's ids in parts, each its own ids and the chunk of another text that follows them (in the last: none), and
+    the ids of the chunks that it owns.
+
+    A chunk's ids run from its first sync point to its last one; what lies between two chunks is a join.
+    """
+    found = chunks(text)
+    names = [digest(chunk) for chunk in found]
+    again = {name for name, times in Counter(names).items() if times > 1}
+    parts: list[tuple[bytes, bytes | None]] = []
+    known: dict[bytes, bytes] = {}
+    own: list[bytes] = []
+    join: list[str] = []
+    for chunk, name in zip(found, names, strict=True):
+        part = chunk.decode()
+        bounds = synced(part) if name in owned or name in others or name in again else None
+        if bounds is None:
+            join.append(part)
+            continue
+        first, last = bounds
+        own.append(encode("".join([*join, part[:first]])))
+        join = [part[last:]]
+        if name in others:
+            parts.append((b"".join(own), name))
+            own = []
+            continue
+        if name not in known:
+            known[name] = encode(part[first:last])
+        own.append(known[name])
+    own.append(encode("".join(join)))
+    return [*parts, (b"".join(own), None)], {name: ids for name, ids in known.items() if name in owned}
+
+
 def encode_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Encode what each text owns; texts that refer to chunks of others come out in parts."""
     encode = encoder(path).encode
@@ -149,33 +202,12 @@ def encode_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
     for keys, texts, owned_chunks, other_chunks in slices(batches):
         rows: list[tuple] = []
         for key, pressed, owned, others in zip(keys, texts, owned_chunks, other_chunks, strict=True):
-            text = unpress.decompress(pressed).decode()
-            owned, others = set(owned or ()), set(others or ())
-            parts: list[tuple[bytes | None, bytes | None]] = []
-            known: dict[bytes, bytes] = {}
-            waiting: list[str] = []
-            for chunk in chunks(text) if owned or others else ():
-                part, name = chunk.decode(), digest(chunk)
-                bounds = synced(part) if name in owned or name in others else None
-                if bounds is None:
-                    waiting.append(part)
-                    continue
-                first, last = bounds
-                # The join: from the last sync point before it to the first one behind it.
-                parts.append((encode("".join([*waiting, part[:first]])), None))
-                waiting = [part[last:]]
-                if name in others:
-                    parts.append((None, name))
-                    continue
-                if name not in known:
-                    known[name] = encode(part[first:last])
-                    rows.append((OWNED, name, None, known[name], None, None, None, None))
-                parts.append((known[name], None))
-            parts.append((encode("".join(waiting) if parts else text), None))
-            if any(name for _, name in parts):
-                rows += [(PART, key, n, ids, name, None, None, None) for n, (ids, name) in enumerate(parts)]
+            parts, stored_chunks = parts_of(unpress.decompress(pressed).decode(), set(owned or ()), set(others or ()), encode)
+            rows += [(OWNED, name, None, narrow(ids, path), None, None, None, None) for name, ids in stored_chunks.items()]
+            if len(parts) > 1:
+                rows += [(PART, key, n, narrow(ids, path), name, None, None, None) for n, (ids, name) in enumerate(parts)]
             else:
-                rows.append((WHOLE, key, None, None, None, *summary(b"".join(ids for ids, _ in parts), path)))
+                rows.append((WHOLE, key, None, None, None, *summary(parts[0][0], path)))
             if len(rows) >= 512:
                 yield batch_of(list(zip(*rows)), FOUND_TYPES, FOUND_NAMES)
                 rows = []
@@ -188,7 +220,8 @@ def join_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
     for batch in batches:
         for at in range(batch.num_rows):
             key, parts = (batch.column(i)[at].as_py() for i in range(2))
-            found = (key, *summary(b"".join(part["ids"] for part in parts), path))
+            ids = b"".join(part["ids"] + (part["chunk_ids"] or b"") for part in parts)
+            found = (key, *summary(widened(ids, path), path))
             yield batch_of([[value] for value in found], types, ["key", *FOUND_NAMES[-3:]])
 
 
@@ -196,6 +229,23 @@ def join_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Reco
 SALTS = 16
 
 
+def chunk_uses(texts: DataFrame) -> DataFrame:
+    """``text_key, owned, others``: of each distinct text with shared chunks, those that it is to encode for all, and
+    those that others encode. The owner of a chunk is the text with the smallest key."""
+    # Copies of a text have one key, so they share no chunk by themselves.
+    listed = stored(texts.sparkSession, "chunks", map_rows(texts, list_chunks, "text_key binary, chunk binary"))
+    ends = listed.groupBy("chunk").agg(F.min("text_key").alias("owner"), F.max("text_key").alias("last"))
+    shared = ends.where("owner < last").drop("last")
+    salt = F.pmod(F.xxhash64("text_key"), F.lit(SALTS)).cast("int")
+    copies = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    uses = listed.withColumn("salt", salt).join(copies, ["chunk", "salt"])
+    is_owner = F.col("text_key") == F.col("owner")
+    return uses.groupBy("text_key").agg(
+        F.collect_set(F.when(is_owner, F.col("chunk"))).alias("owned"),
+        F.collect_set(F.when(~is_owner, F.col("chunk"))).alias("others"),
+    )
+
+
 def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each whole text, by the vocabulary file at ``path``.
 
@@ -204,31 +254,19 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     texts = rows.select("text")
-    # A chunk's texts are counted after equal pairs of text and chunk are one, so copies of a text count once.
-    listed = stored(spark, "chunks", map_rows(texts, list_chunks, "text_key binary, chunk binary").distinct())
-    counted = listed.groupBy("chunk").agg(F.count("*").alias("texts"), F.min("text_key").alias("owner"))
-    shared = counted.where("texts > 1").drop("texts")
-    salt = F.pmod(F.xxhash64("text_key"), F.lit(SALTS)).cast("int")
-    copies = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    uses = listed.withColumn("salt", salt).join(copies, ["chunk", "salt"])
-    is_owner = F.col("text_key") == F.col("owner")
-    uses = uses.groupBy("text_key").agg(
-        F.collect_list(F.when(is_owner, F.col("chunk"))).alias("owned"),
-        F.collect_list(F.when(~is_owner, F.col("chunk"))).alias("others"),
-    )
     distinct = map_rows(texts, press, "text_key binary, pressed binary").groupBy("text_key")
-    with_uses = distinct.agg(F.first("pressed").alias("pressed")).join(uses, "text_key", "left")
+    with_uses = distinct.agg(F.first("pressed").alias("pressed")).join(chunk_uses(texts), "text_key", "left")
     found = stored(spark, "encoded", map_rows(with_uses, partial(encode_texts, path=path), FOUND))
 
     parts = found.where(F.col("kind") == PART).select("key", "place", "ids", "chunk")
     owned = found.where(F.col("kind") == OWNED).select(F.col("key").alias("chunk"), F.col("ids").alias("chunk_ids"))
     owned = owned.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    by_name = parts.where(F.col("chunk").isNotNull()).drop("ids")
+    by_name = parts.where(F.col("chunk").isNotNull())
     by_name = by_name.withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)).cast("int"))
-    looked_up = by_name.join(owned, ["chunk", "salt"]).select("key", "place", F.col("chunk_ids").alias("ids"))
-    own = parts.where(F.col("chunk").isNull()).select("key", "place", "ids")
-    in_order = own.unionByName(looked_up).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("parts")
+    looked_up = by_name.join(owned, ["chunk", "salt"]).select("key", "place", "ids", "chunk_ids")
+    last = parts.where(F.col("chunk").isNull()).select("key", "place", "ids", F.lit(None).cast("binary").alias("chunk_ids"))
+    in_order = last.unionByName(looked_up).groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("place", "ids", "chunk_ids"))).alias("parts")
     )
     result = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     joined = map_rows(in_order, partial(join_parts, path=path), f"key binary, {result}")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ from clickloom.llm import chunk_reuse, packing, token_output, tokens
 from tests.llm import cases
 
 BYTES, WORDS = Tokenizer.from_file(cases.BYTE_FILE), Tokenizer.from_file(cases.WORD_FILE)
-PARTS = [*"aB 's\n\t.,1é½İıſ中\x85\xa0Σ<|", "<|endoftext|>", "'ll", "  ", "\u200d", "😀"]
+PARTS = [*"aB 's\n\t.,1é½İıſ中。жع؟한\x85\xa0\u2028Σ<|", "<|endoftext|>", "'ll", "  ", "\u200d", "😀"]
 AWKWARD = st.lists(st.sampled_from(PARTS), max_size=12).map("".join)
 
 
@@ -69,6 +70,64 @@ def test_encode_documents_equals_the_library(spark):
     assert Counter(tuple(row) for row in got.collect()) == want
 
 
+SCRIPTS = {
+    "latin": ("abcdefghijklmnopqrstuvwxyz", " ", ". "),
+    "cyrillic": ("абвгдежзийклмнопрстуфхцчшщъыьэюя", " ", ". "),
+    "chinese": ("的一是不了人我在有他这中大来上国", "", "。"),  # sentences end, words do not
+}
+
+
+def written(rng: random.Random, script: str, words: int) -> str:
+    letters, space, stop = SCRIPTS[script]
+    found = ["".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(words)]
+    return "".join(word + (stop if n % 6 == 5 else space) for n, word in enumerate(found))
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_shared_passages_are_encoded_once(spark, script):
+    rng = random.Random(3)
+    passage = written(rng, script, 900)
+    texts = [written(rng, script, rng.randrange(5, 60)) + passage + written(rng, script, 40) for _ in range(8)]
+    rows = cases.documents(spark, [*texts, texts[0]])
+    encode, bytes_encoded = tokens.encoder(cases.BYTE_FILE).encode, Counter()
+    uses = {bytes(row.text_key): row for row in chunk_reuse.chunk_uses(rows.select("text")).collect()}
+    owners = Counter()
+    for text in texts:
+        key = chunk_reuse.digest(text.encode())
+
+        def counted(part: str) -> bytes:
+            bytes_encoded[key] += len(part.encode())
+            return encode(part)
+
+        parts, chunks = chunk_reuse.parts_of(text, set(uses[key].owned), set(uses[key].others), counted)
+        owners.update(list(chunks))
+        assert len(parts) > 1 or not uses[key].others
+    assert owners and set(owners.values()) == {1}
+    # All texts but the owner of the passage encode little but what they have alone and the joins.
+    joins = 0.3 if SCRIPTS[script][1] else 0.7
+    alone = {chunk_reuse.digest(t.encode()): len(t.encode()) - len(passage.encode()) for t in texts}
+    spared = [key for key in alone if bytes_encoded[key] - alone[key] < joins * len(passage.encode())]
+    assert len(spared) == 7
+    got = chunk_reuse.encode_documents(rows, cases.BYTE_FILE).collect()
+    want = {(n, hashlib.sha256(np.asarray(ids_of(BYTES, t), "<u4").tobytes()).hexdigest()) for n, t in enumerate([*texts, texts[0]])}
+    assert {(row.doc_id, row.ids_sha256) for row in got} == want
+
+
+def test_passages_that_come_again_in_one_text_are_encoded_once():
+    rng = random.Random(4)
+    passage = written(rng, "latin", 900)
+    text = "\n".join([passage, written(rng, "latin", 30), passage, passage])
+    sizes: list[int] = []
+
+    def counted(part: str) -> bytes:
+        sizes.append(len(part))
+        return tokens.encoder(cases.BYTE_FILE).encode(part)
+
+    parts, owned = chunk_reuse.parts_of(text, set(), set(), counted)
+    assert len(parts) == 1 and not owned and sum(sizes) < 1.7 * len(passage)
+    assert np.frombuffer(parts[0][0], "<u4").tolist() == ids_of(BYTES, text)
+
+
 def test_encode_documents_of_nothing(spark):
     assert chunk_reuse.encode_documents(cases.documents(spark, ["a"]).limit(0), cases.BYTE_FILE).count() == 0
 
