@@ -34,7 +34,7 @@ from clickloom.llm.tokens import decode, encoder, id_bytes
 
 #: A chunk ends where the low bits of the hash over the last WINDOW bytes are 0, every 2^CUT_BITS bytes on average. Shorter
 #: chunks find more of what texts share, at 16 bytes of hash for each.
-WINDOW, CUT_BITS = 32, 8
+WINDOW, CUT_BITS = 32, 9
 #: Bytes that the rolling hash takes on at a time.
 SCAN_BYTES = 1 << 22
 
