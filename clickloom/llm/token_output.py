@@ -102,7 +102,7 @@ Segment = tuple[int | None, int, int, bytes]
 def rows_of(segments: list[Segment], first: int, width: int, dtype: str, pad_id: int) -> Iterator[pa.RecordBatch]:
     """The packed rows of some segments (doc_id, piece, start, ids), numbered from ``first``."""
     bins = best_fit_decreasing([len(ids) // 4 for *_, ids in segments], width)
-    padding = np.full(width, pad_id, dtype)
+    padding, most = np.full(width, pad_id, dtype), np.iinfo(dtype).max
     for start in range(0, len(bins), BATCH_ROWS):
         out: list[list] = [[] for _ in ROW_NAMES]
         for number, members in enumerate(bins[start : start + BATCH_ROWS], first + start):
@@ -110,7 +110,10 @@ def rows_of(segments: list[Segment], first: int, width: int, dtype: str, pad_id:
             lengths = [len(ids) // 4 for *_, ids in parts]
             ends = np.cumsum(lengths).tolist()
             matrix_row = padding.copy()
-            matrix_row[: ends[-1]] = np.frombuffer(b"".join(ids for *_, ids in parts), "<u4")
+            row_ids = np.frombuffer(b"".join(ids for *_, ids in parts), "<u4")
+            if row_ids.max() > most:
+                raise ValueError(f"id {row_ids.max()} is more than {dtype} holds")
+            matrix_row[: ends[-1]] = row_ids
             starts = [0, *ends[:-1]]
             row = (number, ends[-1], len(parts), matrix_row.tobytes(), [0, *ends], starts)
             for column, value in zip(out, (*row, *map(list, zip(*(p[:3] for p in parts)))), strict=True):
@@ -151,7 +154,7 @@ def packed_rows(
     """The packed matrix, a row per row: ids in ``dtype``, cumulative segment lengths, position resets, and which
     document, piece and token of the document each segment starts at.
 
-    ``dtype`` must hold all ids; ``<u2`` does for vocabularies of up to 65,536. ``row_id`` only tells rows apart.
+    ``dtype`` must hold all ids, or the job fails; ``<u2`` does for vocabularies of up to 65,536. ``row_id`` only tells rows apart.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     settings = {"width": width, "end_id": end_id, "pad_id": pad_id, "dtype": dtype, "gathered": gathered_tokens}

@@ -252,3 +252,11 @@ def test_packed_rows_and_back(spark):
     assert not found
     assert packed.select("row_id").distinct().count() == packed.count()
     assert token_output.packed_rows(rows.limit(0), cases.BYTE_FILE).count() == 0
+
+
+def test_ids_that_do_not_fit_fail():
+    segments = [(1, 0, 0, np.asarray([5, 70_000], "<u4").tobytes())]
+    with pytest.raises(ValueError, match="70000"):
+        list(token_output.rows_of(segments, 0, 4, "<u2", 0))
+    (batch,) = token_output.rows_of(segments, 0, 4, "<u4", 0)
+    assert np.frombuffer(batch["ids"][0].as_py(), "<u4").tolist() == [5, 70_000, 0, 0]
