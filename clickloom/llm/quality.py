@@ -3,13 +3,15 @@
 Every line gets a vector of measures (length, kinds of characters, repeated words and lines), next to which stand those
 of the line before and after. The field labels lines good or bad; neighbouring labels hold together by learned weights.
 Forward and backward passes give each line's probability of being good, and a document's score is their mean, weighted
-by length. Lines are labelled through their documents: a line of a good document counts as good.
+by length. A long document is measured in pieces of whole lines, which hand on their edges and the hashes of their lines, so
+memory goes by its longest line and a few numbers for each line. Lines are labelled through their documents: a line of a good document counts as good.
 
 The field is fitted on a bounded sample of labelled documents of any length, the one with the smallest hashes, on the
 driver; of a long document a run of lines is taken, measured in the whole document. Scoring reads every whole text once, a
 batch of lines at a time, without a shuffle. Nothing but the text goes into a score.
 
-Null texts are empty: one empty line. Repeated rows get the same score. An empty table gives no rows. Documents with
+Null texts are empty: one empty line. Repeated rows get the same score; of different texts with one id the fit takes the
+one with the smallest hash. An empty table gives no rows. Documents with
 contradicting labels are not learned from; without two classes to learn from, all scores are 0.5.
 """
 
@@ -33,7 +35,7 @@ FIT_DOCUMENTS, FIT_LINES = 2000, 400
 #: Lines of each class at which no more documents are taken.
 FIT_TOTAL = 200_000
 FIT_STEPS, RATE, DECAY = 400, 0.08, 1e-3
-#: Bytes of text that are measured at a time; one document is never cut.
+#: Bytes of text that are measured at a time, up to the end of a line.
 MEASURED_BYTES = 1 << 18
 GOOD_FROM = 0.3
 
@@ -58,6 +60,8 @@ KINDS = byte_kinds()
 PLACES = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 BYTES = np.cumsum(np.full(256, 0xC2B2AE3D27D4EB4F, np.uint64))
 MEASURES = 16
+#: The measure that looks at all earlier lines: whether one of them is the same.
+REPEATED = 14
 
 
 def sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -128,6 +132,23 @@ def measures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return document, length, np.stack(found, axis=1).astype(np.float64)
 
 
+def line_pieces(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Lengths and measures of a document's lines, a bounded number of bytes and one line at a time."""
+    seen, start = np.zeros(0, np.uint64), 0
+    while start <= len(data):
+        end = data.find(b"\n", start + MEASURED_BYTES)
+        end = len(data) if end < 0 else end
+        _, length, values = measures([data[start:end]])
+        if start or end < len(data):
+            part = np.frombuffer(data[start:end] + b"\n", np.uint8)
+            ends = np.flatnonzero(part == 10)
+            names = hashes(part, np.r_[0, ends[:-1] + 1], ends)
+            values[:, REPEATED] = np.maximum(values[:, REPEATED], np.isin(names, seen))
+            seen = np.union1d(seen, names)
+        yield length, values
+        start = end + 1
+
+
 def with_neighbours(document: np.ndarray, values: np.ndarray) -> np.ndarray:
     """The measures of each line, of the line before and after (zeros at a document's ends), and a constant."""
     n = len(values)
@@ -218,10 +239,54 @@ def fit(document: np.ndarray, values: np.ndarray, good: np.ndarray) -> Field:
     return Field(theta[:WIDTH], theta[WIDTH:].reshape(2, 2), centre, spread)
 
 
+def good_lines(evidence: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """The probabilities of :func:`marginals` for one document of many lines, a number for each line at a time."""
+    (s00, s01), (s10, s11) = np.exp(chain - chain.max()).tolist()
+    odds = np.exp(np.clip(evidence, -40, 40))
+    forward, backward = np.empty(len(odds)), np.empty(len(odds))
+    good = None
+    for at, odd in enumerate(odds):
+        good, bad = (odd, 1.0) if good is None else (odd * (bad * s01 + good * s11), bad * s00 + good * s10)
+        good = forward[at] = good / (good + bad)
+        bad = 1 - good
+    good = backward[-1] = 0.5
+    for at in range(len(odds) - 1, 0, -1):
+        good, bad = odds[at] * good, 1 - good
+        good, bad = s10 * bad + s11 * good, s00 * bad + s01 * good
+        good = backward[at - 1] = good / (good + bad)
+    both = forward * backward
+    return both / (both + (1 - forward) * (1 - backward))
+
+
+def long_score(data: bytes, field: Field) -> float:
+    """The score of one document, measured in pieces."""
+    lengths, evidence = [], []
+    edge = held = None
+    for length, values in line_pieces(data):
+        lengths.append(length)
+        if held is not None:
+            evidence.append(piece_evidence(edge, held, values[:1], field))
+            edge = held[-1:]
+        held = values
+    evidence.append(piece_evidence(edge, held, None, field))
+    good = good_lines(np.concatenate(evidence), field.chain)
+    return float(np.clip(np.average(good, weights=np.concatenate(lengths) + 1.0), 0, 1))
+
+
+def piece_evidence(before: np.ndarray | None, values: np.ndarray, after: np.ndarray | None, field: Field) -> np.ndarray:
+    """The evidence of a piece's lines, given the line before and the line after it, if there are."""
+    rows = np.concatenate([part for part in (before, values, after) if part is not None])
+    first = 0 if before is None else 1
+    around = with_neighbours(np.zeros(len(rows)), rows)[first : first + len(values)]
+    return field.evidence(around)
+
+
 def document_scores(texts: list[bytes], field: Field | None) -> np.ndarray:
     """Each document's probability of good lines, weighted by their lengths."""
     if field is None:
         return np.full(len(texts), 0.5)
+    if len(texts) == 1 and len(texts[0]) > MEASURED_BYTES:
+        return np.asarray([long_score(texts[0], field)])
     document, length, values = measures(texts)
     good, _ = marginals(field.evidence(with_neighbours(document, values)), document, field.chain)
     weight = length + 1.0
@@ -230,15 +295,16 @@ def document_scores(texts: list[bytes], field: Field | None) -> np.ndarray:
 
 
 def groups(texts: list[str]) -> Iterator[list[bytes]]:
-    """Documents, a bounded number of bytes at a time."""
+    """Documents, a bounded number of bytes at a time; one that is more stands alone."""
     held: list[bytes] = []
     size = 0
     for text in texts:
-        held.append(text.encode())
-        size += len(held[-1])
-        if size >= MEASURED_BYTES:
+        data = text.encode()
+        if held and size + len(data) > MEASURED_BYTES:
             yield held
             held, size = [], 0
+        held.append(data)
+        size += len(data)
     if held:
         yield held
 
@@ -261,9 +327,12 @@ def measure_lines(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.R
     for batch in batches:
         for text, label in zip(batch["text"].to_pylist(), batch["quality"].to_pylist(), strict=True):
             data = text.encode()
-            _, _, values = measures([data])
-            start = zlib.crc32(data) % (max(len(values) - most, 0) + 1)
-            values = values[start : start + most]
+            start = zlib.crc32(data) % (max(data.count(b"\n") + 1 - most, 0) + 1)
+            taken, at = [], 0
+            for _, values in line_pieces(data):
+                taken.append(values[max(start - at, 0) : max(start + most - at, 0)])
+                at += len(values)
+            values = np.concatenate(taken)
             yield batch_of([[label], [values.tobytes()]], [pa.int32(), pa.binary()], ["quality", "lines"])
 
 
@@ -303,7 +372,8 @@ def learn(
         return None
     # A bounded list: at most fit_documents ids of each class.
     few = spark.createDataFrame(list(chosen.items()), "doc_id bigint, quality int")
-    texts = rows.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).select("text", "quality")
+    texts = rows.join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality")
+    texts = texts.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("text", "quality")
     found = map_rows(texts, partial(measure_lines, most=fit_lines), "quality int, lines binary").collect()
     found.sort(key=lambda row: (row.quality, bytes(row.lines)))  # whatever the order of the tasks
     values = [np.frombuffer(row.lines, np.float64).reshape(-1, MEASURES) for row in found]

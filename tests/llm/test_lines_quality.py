@@ -206,3 +206,48 @@ def test_scores_of_awkward_documents(spark):
     assert quality.learn(rows, labels.limit(0)) is None
     clash = labels.unionByName(labels.selectExpr("doc_id", "1 - quality AS quality", "toxic"))
     assert quality.learn(rows, clash) is None
+
+
+def any_field(seed=2):
+    rng = np.random.default_rng(seed)
+    width = quality.WIDTH
+    return quality.Field(rng.normal(0, 0.3, width), rng.normal(0, 1, (2, 2)), rng.normal(0, 0.1, width), np.full(width, 0.7))
+
+
+@settings(max_examples=60, deadline=None)
+@given(lines=st.lists(st.sampled_from(["", "Éa b b!", "| HI |", "plain words here", "1 2 3", "x" * 30]), max_size=30), size=st.integers(1, 60))
+def test_pieces_of_a_document_score_like_the_whole(lines, size):
+    data, field = "\n".join(lines).encode(), any_field()
+    document, length, values = quality.measures([data])
+    good, _ = quality.marginals(field.evidence(quality.with_neighbours(document, values)), document, field.chain)
+    want = (good * (length + 1)).sum() / (length + 1).sum()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "MEASURED_BYTES", size)
+        pieces = list(quality.line_pieces(data))
+        assert np.concatenate([p[0] for p in pieces]).tolist() == length.tolist()
+        assert np.allclose(np.concatenate([p[1] for p in pieces]), values, rtol=0, atol=0)
+        assert quality.long_score(data, field) == pytest.approx(want, abs=1e-9)
+        assert quality.document_scores([data], field)[0] == pytest.approx(want, abs=1e-9)
+
+
+def test_document_scores_by_all_labelings():
+    texts, field = ["", "Éa b b!\nplain words here\n\n| HI |", "one line"], any_field()
+    for text in texts:
+        data = text.encode()
+        document, _, values = quality.measures([data])
+        evidence = field.evidence(quality.with_neighbours(document, values))
+        weights = [len(line) + 1 for line in data.split(b"\n")]
+        total = found = 0.0
+        for labels in product((0, 1), repeat=len(weights)):
+            power = sum(e for e, label in zip(evidence, labels, strict=True) if label)
+            mass = np.exp(power + sum(field.chain[a, b] for a, b in zip(labels, labels[1:])))
+            total += mass
+            found += mass * sum(w for w, label in zip(weights, labels, strict=True) if label) / sum(weights)
+        assert quality.document_scores([data], field)[0] == pytest.approx(found / total, abs=1e-9)
+
+
+def test_one_text_of_each_repeated_id_is_learned_from(spark):
+    rows, labels = labelled(spark)
+    more = rows.unionByName(rows.withColumn("text", rows.text.substr(3, 40)))
+    one, other = (quality.learn(more.repartition(n), labels) for n in (1, 7))
+    assert np.array_equal(one.weights, other.weights) and np.array_equal(one.chain, other.chain)
