@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import clickloom
-from clickloom.session import work_folder
+from clickloom.session import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITION_BYTES, work_folder
 from clickloom.sources import files
 
 #: Rows of a batch that are turned into Python objects at a time.
@@ -56,9 +56,10 @@ def clear(spark: SparkSession, first: int = 0, but: int = 0) -> None:
     del KEPT[first:last]
 
 
-def partitions(spark: SparkSession) -> int:
-    """Shuffle partitions that the session asks for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark: SparkSession, moved: int = 0) -> int:
+    """Shuffle partitions that the session asks for, more of them if so many bytes are moved that these would be large."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(-(-moved // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS))
 
 
 def ship(spark: SparkSession) -> None:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import partitions, whole_text
 from clickloom.llm.expressions import let, numbers
+from clickloom.session import SHUFFLED_PER_STORED, bytes_read
 
 SHINGLE_WORDS = 5
 #: Bins and stored bits of each; a hash's high bits are its bin.
@@ -141,10 +142,8 @@ def as_text(packed: Column) -> Column:
     return F.array_join(F.transform(packed, lambda n: F.lower(F.lpad(F.hex(n), 16, "0"))), "")
 
 
-def id_ranges(ids: DataFrame, key: str) -> Column:
+def id_ranges(ids: DataFrame, key: str, wanted: int) -> Column:
     """A number for the range of ids that an id is in, in the order of ids; about as many ids to each."""
-    spark = ids.sparkSession
-    wanted = RANGES_PER_PARTITION * partitions(spark)
     cuts = min(wanted, MAX_QUANTILES)
     shares = [n / cuts for n in range(cuts + 1)]
     found = ids.agg(F.percentile_approx(key, shares, 50 * cuts)).first()[0] or []
@@ -180,13 +179,15 @@ def with_next(rows: DataFrame, derived: dict[str, Column]) -> DataFrame:
     """The rows ``doc_id, text`` with derived columns, and ``next_<name>`` of the text and these columns: what the row
     that follows by ``doc_id, text`` has.
 
-    Ids are cut into many ranges, each sorted by a task of its own. The first row of a range also goes to the range
-    before it, to be the last one's successor there; so no task sees all rows.
+    Ids are cut into many ranges, dealt to the tasks in turn, so that each task has as many; how many there are goes by
+    the bytes of the table. The first row of a range also goes to the range before it, to be the last one's successor
+    there; so no task sees all rows.
     """
     smallest = -(1 << 63)
+    tasks = partitions(rows.sparkSession, SHUFFLED_PER_STORED * bytes_read(rows))
     keyed = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(smallest)).alias("id_key"))
-    ranged = keyed.withColumn("range", id_ranges(keyed, "id_key"))
-    # The first ids of the ranges: as many rows as ranges, whose number depends on the cluster, not on the table.
+    ranged = keyed.withColumn("range", id_ranges(keyed, "id_key", RANGES_PER_PARTITION * tasks))
+    # The first ids of the ranges: as many rows as ranges, some for each task.
     firsts = ranged.groupBy("range").agg(F.min("id_key").alias("id_key"))
     last_range = firsts.agg(F.max("range")).first()[0]
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.lit(last_range)).alias("range")
@@ -195,9 +196,10 @@ def with_next(rows: DataFrame, derived: dict[str, Column]) -> DataFrame:
     no_id = F.lit(None).cast("bigint").alias("doc_id")
     guards = leading.agg(F.min("text").alias("text")).select(no_id, "text", "id_key", "range")
     both = ranged.withColumn("guard", F.lit(False)).unionByName(guards.withColumn("guard", F.lit(True)))
-    order = Window.partitionBy("range").orderBy("guard", "id_key", "text")
-    followed = both.withColumns(derived).withColumns({f"next_{v}": F.lead(v).over(order) for v in ("text", *derived)})
-    return followed.where("not guard").drop("guard", "range", "id_key")
+    order = Window.partitionBy("task", "range").orderBy("guard", "id_key", "text")
+    dealt = both.withColumns(derived).withColumn("task", (F.col("range") % tasks).cast("int")).repartitionById(tasks, "task")
+    followed = dealt.withColumns({f"next_{v}": F.lead(v).over(order) for v in ("text", *derived)})
+    return followed.where("not guard").drop("guard", "task", "range", "id_key")
 
 
 def edited_fingerprints(documents: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from clickloom.llm.common import SLICE_ROWS, batch_of, map_rows, partitions, stored, whole_text
 from clickloom.llm.components import components
+from clickloom.session import bytes_read
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
 #: The generator polynomial of the binary Golay code of length 23, dimension 12, covering radius 3.
@@ -166,6 +167,13 @@ def anchors(points: np.ndarray, max_bits: int, parts: int) -> tuple[np.ndarray,
     return tuple(map(np.concatenate, (which, anchor, home)))
 
 
+@lru_cache(maxsize=4)
+def anchors_of_one(max_bits: int, parts: int) -> float:
+    """Anchors that a point goes to, on average."""
+    some = np.random.default_rng(SEED).integers(-(1 << 63), (1 << 63) - 1, 256)
+    return len(anchors(some, max_bits, parts)[0]) / len(some)
+
+
 #: Points that are dealt to their anchors at a time.
 DEALT_POINTS = 2048
 
@@ -266,10 +274,11 @@ def found_links(held: list[np.ndarray], max_bits: int) -> pa.RecordBatch:
 
 def point_links(points: DataFrame, max_bits: int = MAX_BITS, parts: int = PARTS) -> DataFrame:
     """Links ``a, b`` that connect all of the distinct points that differ in at most ``max_bits`` bits."""
-    spark = points.sparkSession
-    spread = points.repartition(partitions(spark), "point")
+    spark, stored_bytes = points.sparkSession, bytes_read(points)
+    spread = points.repartition(partitions(spark, stored_bytes), "point")
     dealt = map_rows(spread, partial(deal, max_bits=max_bits, parts=parts), "anchor bigint, home boolean, point bigint")
-    by_anchor = dealt.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor")
+    moved = int(stored_bytes * anchors_of_one(max_bits, parts))
+    by_anchor = dealt.repartition(partitions(spark, moved), "anchor").sortWithinPartitions("anchor")
     return map_rows(by_anchor, partial(compare, max_bits=max_bits), "a bigint, b bigint").distinct()
 
 

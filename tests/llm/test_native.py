@@ -12,6 +12,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom import session
+from clickloom.llm import common as shared
 from clickloom.llm import fingerprints, pseudonyms, secrets
 from tests.llm import cases
 
@@ -65,6 +67,17 @@ def test_fingerprints(spark, monkeypatch, quantiles):
     assert max(map(abs, errors)) < 0.25 and sum(map(abs, errors)) / len(errors) < 0.03
 
 
+def test_ranges_of_ids_are_dealt_evenly(spark, tmp_path, monkeypatch):
+    texts = [f"{n} " * 50 for n in range(4000)]
+    cases.documents(spark, texts).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).select("doc_id", "text")
+    monkeypatch.setattr(shared, "SHUFFLE_PARTITION_BYTES", session.bytes_read(rows) // 15)
+    dealt = fingerprints.with_next(rows, {}).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert len(sizes) >= 30 and max(sizes) < 2 * 4000 / len(sizes)
+    assert all(r.next_text == texts[(r.doc_id + 1) % 4000] for r in dealt.collect())
+
+
 def test_fingerprints_of_one_and_of_none(spark):
     one = cases.documents(spark, ["one two three four five six seven eight"])
     row = fingerprints.edited_fingerprints(one).first()

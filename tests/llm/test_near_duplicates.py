@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickloom.llm import components, embedding_dedup, simhash
+from clickloom import session
+from clickloom.llm import common, components, embedding_dedup, simhash
 from tests.llm import cases
 
 
@@ -102,6 +104,19 @@ def test_point_links(spark, n):
     assert roots(points, found) == roots(points, pairs)
 
 
+def test_anchors_are_dealt_by_the_bytes_of_the_points(spark, tmp_path, monkeypatch):
+    points = clusters(random.Random(3), 300)
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    spark.createDataFrame([(s,) for s in signed], "point bigint").write.parquet(str(tmp_path / "points"))
+    rows = spark.read.parquet(str(tmp_path / "points"))
+    monkeypatch.setattr(common, "SHUFFLE_PARTITION_BYTES", session.bytes_read(rows))
+    plan = simhash.point_links(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"anchor#\d+L\], 12\d\b", plan)
+    pairs = [(a, b) for i, a in enumerate(points) for b in points[:i] if (a ^ b).bit_count() <= 2]
+    found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.point_links(rows).collect()]
+    assert roots(points, found) == roots(points, pairs)
+
+
 def test_crowded_anchor_without_all_pairs():
     points = clusters(random.Random(9), 500)
     assert len(points) > simhash.CROWDED
